@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .store import workers_find_library
+
 PIECES_KEPT = 400_000
 PAIRS_KEPT = 2_000_000
 
@@ -185,4 +187,5 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str
                 columns.append(pa.array(all_ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
+    workers_find_library(docs.sparkSession)
     return docs.select(*keep, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)

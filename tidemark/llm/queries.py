@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, license_scan, risk_rules
+from . import bpe, decontaminate, license_scan, line_dedup, minhash_forest, risk_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
@@ -24,14 +28,25 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.groups(table(spark, sf_dir, "documents"), width=5, percent=85)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = risk_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), alpha=0.05)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_license_scan": op3_license_scan,
     "op4_bpe_codec": op4_bpe_codec,
+    "op6_minhash_forest": op6_minhash_forest,
+    "op7_decontamination": op7_decontamination,
     "op9_risk_rules": op9_risk_rules,
 }
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -17,6 +20,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def workers_find_library(spark: SparkSession) -> None:
+    """Python workers import this library by name: the folder it lies in goes on their search path."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(x for x in (root, known.get("PYTHONPATH")) if x)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and return a scan of it.
 
@@ -27,3 +37,15 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: A table of integer keys up to this many rows (some 30 MB) may go to every executor.
+MOST_KEYS = 1_000_000
+
+
+def matching(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows of df whose `on` is in keys, a settled table of that one integer column.
+
+    A small key table is broadcast after it has been counted, so that df is not shuffled; a larger one is joined by a shuffle.
+    """
+    return df.join(F.broadcast(keys) if keys.count() <= MOST_KEYS else keys, on, "left_semi")
