@@ -1,6 +1,6 @@
 """Line deduplication by an exact set-similarity join.
 
-A line is the set of its lower-cased words. Lines are ordered by (doc_id, row, line number); a line is removed if an
+A line is the set of its words, split at spaces. Lines are ordered by (doc_id, row, line number); a line is removed if an
 earlier line has the same set or one of Jaccard similarity >= percent / 100. Lines with equal sets are one node, so a
 line that stands in a third of all documents costs one row. The words of each set are sorted by rarity (count of the
 word's bucket over all documents, then the word's hash: one order for all lines). Two sets can only be similar if they
@@ -19,17 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .decontaminate import row_key
-from .risk_rules import SPACE
 from .store import matching, settled
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 16
 PERCENT = 90
 ORDER = ("doc_id", "row", "line_no")
 MOST_LINES = 4_000_000
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), SPACE, -1), "")
+    return F.array_remove(F.split(line, " ", -1), "")
 
 
 def _bucket(hash_: Column) -> Column:
@@ -38,7 +37,8 @@ def _bucket(hash_: Column) -> Column:
 
 def rarity(docs: DataFrame) -> Column:
     """An array literal with 8 log2(count) of each bucket of words, over all documents: BUCKETS bytes whatever the input."""
-    words = docs.select(F.explode(_words(F.col("text").cast("string"))).alias("w"))
+    lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line"))
+    words = lines.select(F.explode(F.split("line", " ", -1)).alias("w"))
     counts = words.groupBy(_bucket(F.xxhash64("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     ranks = ["0"] * BUCKETS
     for row in counts.select("bucket", F.least(F.lit(127), F.floor(4 * F.log2(1 + F.col("n")))).cast("string").alias("rank")).toLocalIterator():
@@ -50,18 +50,23 @@ def _least_overlap(one: Column, two: Column, percent: int) -> Column:
     return F.ceil(percent * (one + two) / (100 + percent))
 
 
-def sets_of_lines(docs: DataFrame, ranks: Column) -> DataFrame:
-    """doc_id, row, line_no, words: each line with a word, its words as longs, rarest first."""
-    lines = docs.select("doc_id", row_key().alias("row"), F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)).alias("line_no", "line"))
-    split = lines.select(*ORDER, _words(F.col("line")).alias("w"))
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, row, line_no, line: the lines with a word."""
+    lines = docs.select("doc_id", row_key().alias("row"), F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
+    return lines.where(F.trim("line") != "")
+
+
+def sets_of_lines(lines: DataFrame, ranks: Column) -> DataFrame:
+    """doc_id, row, line_no, words: the words of each line as longs, rarest first."""
     # The rank takes the upper bits, the hash the others: sorting the numbers sorts by rarity.
-    number = lambda w: F.shiftleft(F.get(ranks, _bucket(F.xxhash64(w))).cast("long"), 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << 56) - 1)))
-    return split.where(F.size("w") > 0).select(*ORDER, F.sort_array(F.array_distinct(F.transform("w", number))).alias("words"))
+    hashed = lines.select(*ORDER, F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)).alias("h"))
+    number = lambda h: F.shiftleft(F.get(ranks, _bucket(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    return hashed.select(*ORDER, F.sort_array(F.transform(F.array_distinct("h"), number)).alias("words"))
 
 
 def nodes(docs: DataFrame, ranks: Column, percent: int) -> DataFrame:
     """doc_id, row, line_no, two keys of the set, its size and its prefix (empty where only an equal set can be similar)."""
-    lines = sets_of_lines(docs, ranks)
+    lines = sets_of_lines(lines_of(docs), ranks)
     size = F.size("words")
     prefix = size - F.ceil(percent * size / 100).cast("int") + 1
     # The smallest set that can be similar to one with a word more or less.
@@ -81,7 +86,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, ranks: Column, percent: int) ->
     sides = settled(pairs.select(F.explode(F.array("x", "y")).alias("place")).select("place.*").distinct(), "line-places")
     rows = settled(sides.select("row").distinct(), "line-rows")
     keyed = matching(docs.select("doc_id", "text", row_key().alias("row")), rows, "row").dropDuplicates(["row"]).drop("row")
-    sets = settled(sets_of_lines(keyed, ranks).join(sides.select("row", "line_no"), ["row", "line_no"], "left_semi").select(F.struct(*ORDER).alias("place"), "words"), "line-sets")
+    needed = lines_of(keyed).join(sides.select("row", "line_no"), ["row", "line_no"], "left_semi")
+    sets = settled(sets_of_lines(needed, ranks).select(F.struct(*ORDER).alias("place"), "words"), "line-sets")
     both = pairs.join(sets.select(F.col("place").alias("x"), F.col("words").alias("wx")), "x").join(sets.select(F.col("place").alias("y"), F.col("words").alias("wy")), "y")
     shared = F.size(F.array_intersect("wx", "wy"))
     return both.where(100 * shared >= percent * (F.size("wx") + F.size("wy") - shared)).select("x").distinct()

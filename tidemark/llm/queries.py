@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, license_scan, line_dedup, minhash_forest, risk_rules
+from . import bpe, decontaminate, license_scan, line_dedup, minhash_forest, quality_rank, risk_rules, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3, of=4, remainder=2)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rank.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5, of=3, remainder=1)
+
+
 def op6_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.groups(table(spark, sf_dir, "documents"), width=5, percent=85)
 
@@ -42,9 +50,11 @@ def op9_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op3_license_scan": op3_license_scan,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_quality_rank": op5_quality_rank,
     "op6_minhash_forest": op6_minhash_forest,
     "op7_decontamination": op7_decontamination,
     "op9_risk_rules": op9_risk_rules,

@@ -45,15 +45,20 @@ class _Powers:
 POWERS = _Powers()
 
 
-def word_hashes(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs without ASCII white space, A-Z lowered) of texts laid end to end; words of each text."""
-    solid = ~SPACE[text]
+def word_places(text: np.ndarray, ends: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word (run without bytes of gaps) of texts laid end to end, and the byte behind it."""
+    solid = ~gaps[text]
     before, after = np.zeros_like(solid), np.zeros_like(solid)
     before[1:], after[:-1] = solid[:-1], solid[1:]
     starts_of = np.concatenate(([0], ends[:-1]))
     before[starts_of[starts_of < len(text)]] = False
     after[ends[ends > 0] - 1] = False
-    first, last = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+    return np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+
+
+def word_hashes(text: np.ndarray, ends: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, A-Z lowered, of texts laid end to end; number of words of each text."""
+    first, last = word_places(text, ends, gaps)
     up, down = POWERS.upto(len(text))
     sums = np.concatenate(([np.uint64(0)], np.cumsum((LOWER[text].astype(np.uint64) + np.uint64(1)) * up)))
     hashes = mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) if len(first) else np.zeros(0, np.uint64)
@@ -81,17 +86,22 @@ def sets_of(words: np.ndarray, counts: np.ndarray, width: int) -> Iterator[np.nd
             at += n
 
 
-def text_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
-    """The shingle set of each text of an Arrow string column (null: empty), in chunks of bounded memory."""
+def text_chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The texts of an Arrow string column (null: empty) as chunks of bytes, of about CHUNK bytes or one text, with their ends."""
     column = column.cast(pa.large_binary()).fill_null(b"")
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     at = 0
+    while at < len(column):
+        to = min(max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1), len(column))
+        yield data[offsets[at] : offsets[to]], offsets[at + 1 : to + 1] - offsets[at]
+        at = to
+
+
+def text_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """The shingle set of each text of an Arrow string column."""
     with np.errstate(over="ignore"):
-        while at < len(column):
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
-            to = min(to, len(column))
-            words, counts = word_hashes(data[offsets[at] : offsets[to]], offsets[at + 1 : to + 1] - offsets[at])
+        for text, ends in text_chunks(column):
+            words, counts = word_hashes(text, ends)
             yield from sets_of(words, counts, width)
-            at = to
