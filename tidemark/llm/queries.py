@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, license_scan, line_dedup, minhash_forest, quality_rank, risk_rules, toxicity
+from . import bpe, chat_format, decontaminate, license_scan, line_dedup, minhash_forest, pii_surrogates, quality_rank, risk_rules, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,20 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = chat_format.against_neighbours(table(spark, sf_dir, "conversations"))
+    learned = lambda spans: F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return chat_format.format_pairs(pairs, "conv_id").select(
+        "conv_id", F.col("n_common").cast("long").alias("n_common"), F.md5("prompt").alias("prompt_md5"), F.md5("chosen").alias("chosen_md5"), F.md5("rejected").alias("rejected_md5"),
+        learned("chosen_spans").alias("chosen_learned"), learned("rejected_spans").alias("rejected_learned"),
+    )
+
+
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pii_surrogates.replace(table(spark, sf_dir, "documents"), secret="tidemark")
+    return done.select("doc_id", "text", "n_entities", F.array_join("kinds", ",").alias("kinds"))
+
+
 def op9_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = risk_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), alpha=0.05)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,7 +72,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_rank": op5_quality_rank,
     "op6_minhash_forest": op6_minhash_forest,
     "op7_decontamination": op7_decontamination,
+    "op8_chat_format": op8_chat_format,
     "op9_risk_rules": op9_risk_rules,
+    "op10_pii_surrogates": op10_pii_surrogates,
 }
 
 ORACLES: dict[str, str] = {}
