@@ -29,7 +29,7 @@ from .store import workers_find_library
 WINDOW, STRIDE = 32, 24
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 12, 4, 8, 8
 GRAMS = 512
-LONGEST = 20_000
+LONGEST = 8_000
 ROWS = 2048
 GAPS = SPACE.copy()
 GAPS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -67,9 +67,10 @@ class Network:
         """The input of each word, (words, WORD_DIM + CHAR_DIM)."""
         if not len(first):
             return np.zeros((0, WORD_DIM + CHAR_DIM), np.float32)
-        sums = np.cumsum(self.w["gram"][grams], axis=0, dtype=np.float64)
-        spans = sums[last - 1] - sums[first] + self.w["gram"][grams[first]]
-        return np.concatenate((self.w["word"][numbers], (spans / (last - first)[:, None]).astype(np.float32)), axis=1)
+        # Sums of words and of the gaps behind them in turn; a row more, so that the last word has an end.
+        rows = self.w["gram"][np.append(grams, 0)]
+        spans = np.add.reduceat(rows, np.stack((first, last), axis=1).ravel())[::2]
+        return np.concatenate((self.w["word"][numbers], spans / (last - first)[:, None].astype(np.float32)), axis=1)
 
     def states(self, gates: np.ndarray, keep: list | None = None) -> np.ndarray:
         """gates (WINDOW, 2, rows, 3 HIDDEN): what the inputs add. Direction 1 reads backwards. States (WINDOW, 2, rows, HIDDEN)."""
@@ -152,9 +153,12 @@ class Network:
         for d in (0, 1):
             g["into"][d] = inputs.T @ d_table[1:, d]
             d_in += d_table[1:, d] @ self.w["into"][d].T
-        np.add.at(g["word"], numbers, d_in[:, :WORD_DIM])
+        by_number = np.argsort(numbers, kind="stable")
+        met, begin = np.unique(numbers[by_number], return_index=True)
+        g["word"][met] = np.add.reduceat(d_in[by_number, :WORD_DIM], begin)
         sizes = ends - first
-        np.add.at(g["gram"], grams, np.repeat(d_in[:, WORD_DIM:] / sizes[:, None], sizes, axis=0).astype(np.float32))
+        per_byte = np.repeat(d_in[:, WORD_DIM:] / sizes[:, None], sizes, axis=0)
+        g["gram"] = np.stack([np.bincount(grams, per_byte[:, k], GRAMS) for k in range(CHAR_DIM)], axis=1).astype(np.float32)
         return g
 
     def score(self, column: pa.Array) -> np.ndarray:
@@ -195,20 +199,34 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int =
     if not toxic.any() or toxic.all():
         return None
     column, rng = pa.array(texts, pa.string()), np.random.default_rng(seed)
-    (text, ends), *more = [(np.concatenate([c[0] for c in chunks]), np.concatenate([c[1] + s for c, s in zip(chunks, np.cumsum([0, *[len(c[0]) for c in chunks[:-1]]]), strict=True)])) for chunks in [list(text_chunks(column))]]
+    chunks = list(text_chunks(column))
+    # In how many texts each word stands.
+    seen = []
     with np.errstate(over="ignore"):
-        hashes, counts = word_hashes(text, ends, GAPS)
-    owner = np.repeat(np.arange(len(ends)), counts)
-    per_text = np.unique(np.stack((hashes, owner.astype(np.uint64))), axis=1)[0]
-    values, in_texts = np.unique(per_text, return_counts=True)
+        for text, ends in chunks:
+            hashes, counts = word_hashes(text, ends, GAPS)
+            seen += [np.unique(part) for part in np.split(hashes, np.cumsum(counts)[:-1])]
+    values, in_texts = np.unique(np.concatenate(seen), return_counts=True)
     net = Network(values[in_texts >= least_texts], seed)
-    numbers, grams, first, last, counts = net.words(text, ends)
+    read = [net.words(text, ends) for text, ends in chunks]
+    del chunks, seen
+    bytes_before = np.cumsum([0, *[len(r[1]) for r in read[:-1]]])
+    numbers, grams, counts = (np.concatenate([r[i] for r in read]) for i in (0, 1, 4))
+    first, last = (np.concatenate([r[i] + before for r, before in zip(read, bytes_before, strict=True)]) for i in (2, 3))
     windows, of = windows_of(counts)
+
+    def logits() -> np.ndarray:
+        """Chunk by chunk, as `score` does."""
+        found = []
+        for words in read:
+            found.append(net.logits(net.gates(net.inputs(*words[:4])), windows_of(words[4])[0]))
+        return np.concatenate(found)
+
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
     steps = 0
     for turn in range(rounds):
         if turn:
-            logit = net.logits(net.gates(net.inputs(numbers, grams, first, last)), windows)
+            logit = logits()
         else:
             logit = rng.random(len(windows))
         # The worst window stands for its text; a clean text adds two windows by chance.
@@ -225,8 +243,8 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int =
             spans = [grams[a:b] for a, b in zip(first[used - 1], last[used - 1], strict=True)]
             wanted = toxic[of[at]].astype(np.float32)
             # Some words are read by their characters alone, so that these carry meaning too.
-            read = np.where(rng.random(len(used)) < forget, len(net.vocabulary), numbers[used - 1])
-            g = net.step(read, (np.concatenate(spans), np.cumsum([len(x) for x in spans])), local, wanted)
+            numbered = np.where(rng.random(len(used)) < forget, len(net.vocabulary), numbers[used - 1])
+            g = net.step(numbered, (np.concatenate(spans), np.cumsum([len(x) for x in spans])), local, wanted)
             steps += 1
             for k, v in g.items():
                 m, s = moment[k]
@@ -238,14 +256,12 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int =
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 800, most_clean: int = 2000, of: int = 4, remainder: int = 2) -> Network | None:
-    sample = labelled(docs, labels, "toxic", of, remainder).where(F.length("text") <= LONGEST)
-    parts = [sample.where(F.col("__label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("text", "__label").toArrow() for label, most in ((1, most_toxic), (0, most_clean))]
-    rows = pa.concat_tables(parts)
+def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 500, most_clean: int = 1300, of: int = 4, remainder: int = 2) -> Network | None:
+    rows = labelled(docs, labels, "toxic", of, remainder, {1: most_toxic, 0: most_clean}, F.length("text") <= LONGEST).orderBy(F.xxhash64("doc_id"), "doc_id", "text").toArrow()
     return fit(rows["text"].to_pylist(), rows["__label"].to_numpy() == 1)
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most_toxic: int = 800, most_clean: int = 2000, of: int = 4, remainder: int = 2, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most_toxic: int = 500, most_clean: int = 1300, of: int = 4, remainder: int = 2, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, held_out, score, predicted for each row of docs."""
     workers_find_library(docs.sparkSession)
     net = train(docs, labels, most_toxic, most_clean, of, remainder)
