@@ -194,7 +194,7 @@ def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(place < counts[of][:, None], begin[of][:, None] + place + 1, 0), of
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int = 80, batch: int = 96, least_texts: int = 5, forget: float = 0.2, decay: float = 0.02, seed: int = 3) -> Network | None:
+def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int = 80, batch: int = 96, least_texts: int = 8, forget: float = 0.2, decay: float = 0.02, seed: int = 3) -> Network | None:
     """Train on texts with their labels; None if one label is missing."""
     if not toxic.any() or toxic.all():
         return None
@@ -256,12 +256,12 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int =
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 500, most_clean: int = 1300, of: int = 4, remainder: int = 2) -> Network | None:
+def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 700, most_clean: int = 3000, of: int = 4, remainder: int = 2) -> Network | None:
     rows = labelled(docs, labels, "toxic", of, remainder, {1: most_toxic, 0: most_clean}, F.length("text") <= LONGEST).orderBy(F.xxhash64("doc_id"), "doc_id", "text").toArrow()
     return fit(rows["text"].to_pylist(), rows["__label"].to_numpy() == 1)
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most_toxic: int = 500, most_clean: int = 1300, of: int = 4, remainder: int = 2, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most_toxic: int = 700, most_clean: int = 3000, of: int = 4, remainder: int = 2, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, held_out, score, predicted for each row of docs."""
     workers_find_library(docs.sparkSession)
     net = train(docs, labels, most_toxic, most_clean, of, remainder)
