@@ -1,14 +1,387 @@
-"""The queries over the driver tables, and the SQL that each must agree with."""
+"""The queries over the driver tables, and the SQL that each must agree with.
+
+Doubles are rounded on both sides, since sums are taken in another order.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import names
+from ..operators import asof, bars, decisions, features, labels, ml, options, pairs, predicates, sequential
+from ..operators import windows as W
+from ..sources import driver_tables as tables
+from . import oracles as sql
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+HOUR = 3600
+LADDER = {"horizon": 4, "step": 0.01, "most": 4, "fee": 0.0005}
+
+
+def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
+    def keep(f: Query) -> Query:
+        QUERIES[name] = f
+        if oracle is not None:
+            ORACLES[name] = oracle
+        return f
+
+    return keep
+
+
+def rounded(df: DataFrame, columns: str, digits: int = 6) -> list:
+    return [F.round(c, digits).alias(c) for c in columns.split()]
+
+
+def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bars.uniform_bars(tables.ticks(spark, sf_dir), tables.quotes(spark, sf_dir), HOUR)
+
+
+@query("scan_ticks", f"WITH {sql.TICKS} SELECT symbol, us, seq, side, price, amount FROM ticks")
+def scan_ticks(spark, sf_dir):
+    return tables.ticks(spark, sf_dir)
+
+
+@query("scan_candles", f"WITH {sql.CANDLES} SELECT symbol, t, open, high, low, close, round(volume, 6) AS volume, trades FROM candles")
+def scan_candles(spark, sf_dir):
+    return tables.candles(spark, sf_dir).withColumn("volume", F.round("volume", 6))
+
+
+BARS = "open high low close vwap volume buy_volume sell_volume imbalance"
+
+
+@query("trade_bars", f"WITH {sql.TICKS}, {sql.trade_bars(HOUR)} SELECT symbol, t, trades, {sql.rounded(BARS)} FROM tbars")
+def trade_bars(spark, sf_dir):
+    df = bars.trade_bars(tables.ticks(spark, sf_dir), HOUR)
+    return df.select("symbol", "t", "trades", *rounded(df, BARS))
+
+
+GRID = f"{BARS} bid ask bid_size ask_size"
+
+
+@query("uniform_bars", f"WITH {sql.uniform(HOUR)} SELECT symbol, t, day, has_trade, trades, {sql.rounded(GRID)} FROM bars")
+def uniform_bars(spark, sf_dir):
+    df = hourly(spark, sf_dir)
+    return df.select("symbol", "t", "day", "has_trade", "trades", *rounded(df, GRID))
+
+
+@query("flat_bars", f"WITH {sql.uniform(HOUR)}, {sql.FLAT} SELECT symbol, t, {sql.rounded('open high low close vwap')} FROM flat")
+def flat_bars(spark, sf_dir):
+    df = bars.flat_where_empty(hourly(spark, sf_dir))
+    return df.select("symbol", "t", *rounded(df, "open high low close vwap"))
+
+
+@query("coarser_bars", f"WITH {sql.uniform(HOUR)} SELECT symbol, t // 14400 * 14400 AS t, round(arg_min(open, t) FILTER (open IS NOT NULL), 6) AS open, round(max(high), 6) AS high, round(min(low), 6) AS low, round(arg_max(close, t) FILTER (close IS NOT NULL), 6) AS close, round(sum(volume), 6) AS volume FROM bars GROUP BY ALL")
+def coarser_bars(spark, sf_dir):
+    df = bars.coarser(hourly(spark, sf_dir), 4 * HOUR)
+    return df.select("symbol", "t", *rounded(df, "open high low close volume"))
+
+
+@query("keep_last_per_hour", f"WITH {sql.TICKS} SELECT symbol, us // 3600000000 * 3600 AS t, last(seq ORDER BY us, seq) AS seq, round(last(price ORDER BY us, seq), 6) AS price FROM ticks GROUP BY 1, 2")
+def keep_last_per_hour(spark, sf_dir):
+    ticks = tables.ticks(spark, sf_dir).withColumn("t", bars.bar_of(F.col("us"), HOUR))
+    last = ticks.groupBy("symbol", "t").agg(F.max_by(F.struct("seq", "price"), F.struct("us", "seq")).alias("x"))
+    return last.select("symbol", "t", "x.seq", F.round("x.price", 6).alias("price"))
+
+
+@query("tail_without_open_bar", f"WITH {sql.CANDLES}, n AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY t DESC) AS n FROM candles) SELECT symbol, t, close FROM n WHERE n BETWEEN 2 AND 21")
+def tail_without_open_bar(spark, sf_dir):
+    w = W.series().orderBy(F.desc("t"))
+    return tables.candles(spark, sf_dir).withColumn("n", F.row_number().over(w)).where(F.col("n").between(2, 21)).select("symbol", "t", "close")
+
+
+@query("missing_share", f"WITH {sql.uniform(HOUR)} SELECT symbol, count(open) AS known, count(*) AS slots, round(1 - count(open) / count(*), 6) AS missing FROM bars GROUP BY 1 HAVING 1 - count(open) / count(*) > 0.05")
+def missing_share(spark, sf_dir):
+    by = hourly(spark, sf_dir).groupBy("symbol").agg(F.count("open").alias("known"), F.count(F.lit(1)).alias("slots"))
+    return by.withColumn("missing", F.round(1 - F.col("known") / F.col("slots"), 6)).where(1 - F.col("known") / F.col("slots") > 0.05)
+
+
+@query("most_volatile", f"WITH {sql.CANDLES}, r AS (SELECT symbol, ln(close) - ln(lag(close) OVER (PARTITION BY symbol ORDER BY t)) AS r FROM candles) SELECT symbol, round(stddev_samp(r), 6) AS volatility FROM r GROUP BY 1 ORDER BY stddev_samp(r) DESC, symbol LIMIT 3")
+def most_volatile(spark, sf_dir):
+    r = F.log("close") - F.lag(F.log("close")).over(W.series())
+    by = tables.candles(spark, sf_dir).select("symbol", r.alias("r")).groupBy("symbol").agg(F.stddev_samp("r").alias("v"))
+    return by.orderBy(F.desc("v"), "symbol").limit(3).select("symbol", F.round("v", 6).alias("volatility"))
+
+
+@query("asof_closed_bars", f"WITH {sql.uniform(HOUR)}, four AS (SELECT symbol, t // 14400 * 14400 AS t4, arg_max(close, t) FILTER (close IS NOT NULL) AS c4 FROM bars GROUP BY ALL) SELECT b.symbol, b.t, round(b.close, 6) AS close, round(f.c4, 6) AS context_close, f.t4 AS context_t FROM bars b ASOF LEFT JOIN four f ON b.symbol = f.symbol AND b.t >= f.t4 + 14400")
+def asof_closed_bars(spark, sf_dir):
+    base = hourly(spark, sf_dir)
+    met = asof.closed_bars(base.select("symbol", "t", "close"), bars.coarser(base, 4 * HOUR), 4 * HOUR, "context_")
+    return met.select("symbol", "t", *rounded(met, "close context_close"), "context_t")
+
+
+@query("asof_quotes", f"WITH {sql.TICKS}, {sql.QUOTES} SELECT t.symbol, t.seq, round(t.price, 6) AS price, round(q.bid, 6) AS bid, q.seq AS quote_seq FROM ticks t ASOF LEFT JOIN quotes q ON t.symbol = q.symbol AND t.us >= q.us")
+def asof_quotes(spark, sf_dir):
+    quotes = tables.quotes(spark, sf_dir).select("symbol", "us", "seq", "bid")
+    met = asof.as_of(tables.ticks(spark, sf_dir).select("symbol", "us", "seq", "price"), quotes, "symbol", "us", "us", "quote_")
+    return met.select("symbol", "seq", F.round("price", 6).alias("price"), F.round("quote_bid", 6).alias("bid"), "quote_seq")
+
+
+@query("rolling_moments", f"""WITH {sql.CANDLES}, x AS (SELECT symbol, t, close / 1000 AS c FROM candles), f AS (SELECT symbol, t, {sql.mean('c', 20)} AS mean, {sql.rolled('stddev_samp(c)', 'c', 20)} AS std, {sql.rolled('skewness(c)', 'c', 20)} AS skew, {sql.rolled('kurtosis(c)', 'c', 20)} AS kurt,
+  {sql.rolled('quantile_cont(c, 0.4)', 'c', 20)} AS q40, coalesce({"CASE WHEN count(c) OVER w >= 10 THEN 100 * (c - min(c) OVER w) / nullif(max(c) OVER w - min(c) OVER w, 0) END"}, 50) AS rank,
+  100.0 * len(list_filter(list(c) OVER p, lambda v: v < c)) / nullif(len(list(c) OVER p), 0) AS below FROM x WINDOW w AS (PARTITION BY symbol ORDER BY t ROWS 19 PRECEDING), p AS (PARTITION BY symbol ORDER BY t ROWS BETWEEN 19 PRECEDING AND 1 PRECEDING)) SELECT symbol, t, {sql.rounded("mean std q40 rank below", 7)}, {sql.rounded("skew kurt", 5)} FROM f""")
+def rolling_moments(spark, sf_dir):
+    w, c = W.series(), F.col("c")
+    x = tables.candles(spark, sf_dir).select("symbol", "t", (F.col("close") / 1000).alias("c"))
+    df = x.select("symbol", "t", W.mean(c, 20, w).alias("mean"), W.std(c, 20, w).alias("std"), W.skew(c, 20, w).alias("skew"), W.kurtosis(c, 20, w).alias("kurt"), W.quantile(c, 0.4, 20, w).alias("q40"), W.rank_in_range(c, 20, w).alias("rank"), W.share_below(c, 20, w).alias("below"))
+    return df.select("symbol", "t", *rounded(df, "mean std q40 rank below", 7), *rounded(df, "skew kurt", 5))
+
+
+@query("forward_extremes", f"WITH {sql.CANDLES} SELECT symbol, t, min(low) OVER w AS lowest, max(high) OVER w AS highest, sum(CASE WHEN close > open THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY t ROWS 2 PRECEDING) = 3 AS streak FROM candles WINDOW w AS (PARTITION BY symbol ORDER BY t ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)")
+def forward_extremes(spark, sf_dir):
+    w = W.series()
+    return tables.candles(spark, sf_dir).select("symbol", "t", F.min("low").over(W.next_rows(5, w)).alias("lowest"), F.max("high").over(W.next_rows(5, w)).alias("highest"), W.streak(F.col("close") > F.col("open"), 3, w).alias("streak"))
+
+
+@query("slope_so_far", f"WITH {sql.CANDLES} SELECT symbol, t, CASE WHEN count(*) OVER w >= 10 THEN round(regr_slope(close, volume) OVER w, 4) END AS slope FROM candles WINDOW w AS (PARTITION BY symbol ORDER BY t ROWS UNBOUNDED PRECEDING)")
+def slope_so_far(spark, sf_dir):
+    return tables.candles(spark, sf_dir).select("symbol", "t", F.round(W.slope_so_far(F.col("close"), F.col("volume"), W.series()), 4).alias("slope"))
+
+
+PRICED = "range_pct open_close_pct close_in_range return_1 return_2 return_3 volume_change volume_ratio"
+
+
+@query("price_features", f"WITH {sql.CANDLES}, {sql.PRICE.format(source='candles')} SELECT symbol, t, {sql.rounded(PRICED)} FROM price")
+def price_features(spark, sf_dir):
+    df = features.price_features(tables.candles(spark, sf_dir))
+    return df.select("symbol", "t", *rounded(df, PRICED))
+
+
+QUOTED = "mid spread relative_spread micro_gap book_imbalance order_flow"
+
+
+@query("quote_features", f"""WITH {sql.uniform(HOUR)}, raw AS (SELECT *, (bid + ask) / 2 AS mid, ask - bid AS s, (bid * ask_size + ask * bid_size) / (bid_size + ask_size + 1e-10) AS m, (bid_size - ask_size) / (bid_size + ask_size + 1e-10) AS b,
+  (bid_size - lag(bid_size) OVER w) - (ask_size - lag(ask_size) OVER w) AS o FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY t)), f AS (SELECT symbol, t, mid, lag(s) OVER w AS spread, lag(s / mid) OVER w AS relative_spread, lag(m - mid) OVER w AS micro_gap, lag(b) OVER w AS book_imbalance, lag(o) OVER w AS order_flow
+  FROM raw WINDOW w AS (PARTITION BY symbol ORDER BY t)) SELECT symbol, t, {sql.rounded(QUOTED)} FROM f""")
+def quote_features(spark, sf_dir):
+    df = features.quote_features(hourly(spark, sf_dir))
+    return df.select("symbol", "t", *rounded(df, QUOTED))
+
+
+@query("flow_features", f"""WITH {sql.uniform(HOUR)}, f AS (SELECT symbol, t, trades / ({sql.mean('trades', 12, 1)} + 1e-10) AS intensity, CASE WHEN true THEN {sql.mean('imbalance', 12, 3)} END AS imbalance_mean, {sql.rolled('stddev_samp(imbalance)', 'imbalance', 12, 3)} AS imbalance_std FROM bars) SELECT symbol, t, {sql.rounded('intensity imbalance_mean imbalance_std')} FROM f""")
+def flow_features(spark, sf_dir):
+    df = features.flow_features(hourly(spark, sf_dir), 12)
+    return df.select("symbol", "t", *rounded(df, "intensity imbalance_mean imbalance_std"))
+
+
+@query("clock_features", f"WITH {sql.uniform(HOUR)} SELECT symbol, t, round(((t + 3600) % 14400) / 14400, 6) AS cycle_progress, (14400 - (t + 3600) % 14400) % 14400 AS secs_to_boundary, (8 - ((t % 86400) // 3600) % 8) % 8 BETWEEN 1 AND 2 AS before_funding FROM bars")
+def clock_features(spark, sf_dir):
+    df = hourly(spark, sf_dir).withColumns(features.clock_features(F.col("t"), HOUR, 4 * HOUR))
+    return df.select("symbol", "t", F.round("cycle_progress", 6).alias("cycle_progress"), "secs_to_boundary", "before_funding")
+
+
+INDICATED = "sma_7 sma_25 momentum rate_of_change williams_r cci band_upper band_lower stochastic_k money_flow balance_of_power ultimate simple_rsi on_balance_volume parkinson"
+_W14 = "(PARTITION BY symbol ORDER BY t ROWS 13 PRECEDING)"
+_BP = "sum(CASE WHEN pc IS NOT NULL THEN close - least(low, pc) END) OVER (PARTITION BY symbol ORDER BY t ROWS {n} PRECEDING) / nullif(sum(CASE WHEN pc IS NOT NULL THEN greatest(high, pc) - least(low, pc) END) OVER (PARTITION BY symbol ORDER BY t ROWS {n} PRECEDING), 0)"
+
+
+@query("indicators", f"""WITH {sql.CANDLES}, a AS (SELECT *, (high + low + close) / 3 AS tp, lag(close) OVER w AS pc, lag((high + low + close) / 3) OVER w AS ptp, close - lag(close) OVER w AS d, (high + low + close) / 3 * volume AS flow,
+  CASE WHEN count(high) OVER v >= 5 THEN 100 * (close - min(low) OVER v) / nullif(max(high) OVER v - min(low) OVER v, 0) END AS k FROM candles WINDOW w AS (PARTITION BY symbol ORDER BY t), v AS (PARTITION BY symbol ORDER BY t ROWS 4 PRECEDING)),
+  b AS (SELECT *, {sql.mean('tp', 14)} AS tpm, list(tp) OVER {_W14} AS tps FROM a),
+  f AS (SELECT symbol, t, {sql.mean('close', 7)} AS sma_7, {sql.mean('close', 25)} AS sma_25, close - lag(close, 10) OVER w AS momentum, 100 * (close / nullif(lag(close, 10) OVER w, 0) - 1) AS rate_of_change,
+  CASE WHEN count(high) OVER x >= 14 THEN -100 * (max(high) OVER x - close) / nullif(max(high) OVER x - min(low) OVER x, 0) END AS williams_r, (tp - tpm) / nullif(0.015 * list_sum(list_transform(tps, lambda v: abs(v - tpm))) / 14, 0) AS cci,
+  {sql.mean('close', 20)} + 2 * {sql.rolled('stddev_pop(close)', 'close', 20)} AS band_upper, {sql.mean('close', 20)} - 2 * {sql.rolled('stddev_pop(close)', 'close', 20)} AS band_lower, {sql.mean('k', 3)} AS stochastic_k,
+  CASE WHEN count(pc) OVER x >= 14 THEN 100 * sum(CASE WHEN tp > ptp THEN flow ELSE 0 END) OVER x / nullif(sum(CASE WHEN tp > ptp THEN flow WHEN tp < ptp THEN flow ELSE 0 END) OVER x, 0) END AS money_flow, (close - open) / nullif(high - low, 0) AS balance_of_power,
+  CASE WHEN count(pc) OVER (PARTITION BY symbol ORDER BY t ROWS 27 PRECEDING) >= 28 THEN 100 * (4 * {_BP.format(n=6)} + 2 * {_BP.format(n=13)} + {_BP.format(n=27)}) / 7 END AS ultimate,
+  CASE WHEN count(pc) OVER x >= 14 THEN 100 * sum(greatest(d, 0)) OVER x / nullif(sum(abs(d)) OVER x, 0) END AS simple_rsi, sum(sign(d) * volume) OVER (PARTITION BY symbol ORDER BY t ROWS UNBOUNDED PRECEDING) AS on_balance_volume,
+  CASE WHEN count(high) OVER x >= 14 THEN sqrt(avg(ln(high / low) ** 2) OVER x / (4 * ln(2))) END AS parkinson FROM b WINDOW w AS (PARTITION BY symbol ORDER BY t), x AS {_W14}) SELECT symbol, t, {sql.rounded(INDICATED, 4)} FROM f""")
+def indicators(spark, sf_dir):
+    df = features.indicators(tables.candles(spark, sf_dir))
+    return df.select("symbol", "t", *rounded(df, INDICATED, 4))
+
+
+@query("recursive_indicators")
+def recursive_indicators(spark, sf_dir):
+    df = sequential.recursive_indicators(tables.candles(spark, sf_dir))
+    return df.select("symbol", "t", *rounded(df, "ema_12 macd macd_signal rsi atr adx"))
+
+
+@query("parabolic_stop")
+def parabolic_stop(spark, sf_dir):
+    df = sequential.parabolic_stop(tables.candles(spark, sf_dir))
+    return df.select("symbol", "t", F.round("stop", 4).alias("stop"))
+
+
+@query("long_quantiles", f"WITH {sql.CANDLES} SELECT symbol, t, round({sql.rolled('quantile_cont(close, 0.5)', 'close', 120)}, 4) AS close_q50, round({sql.rolled('quantile_cont(close, 0.9)', 'close', 120)}, 4) AS close_q90 FROM candles")
+def long_quantiles(spark, sf_dir):
+    df = sequential.rolling_quantile(tables.candles(spark, sf_dir), "close", (0.5, 0.9), 120, 120)
+    return df.select("symbol", "t", *rounded(df, "close_q50 close_q90", 4))
+
+
+ANCHOR = "1-URGENT"
+
+
+@query("against_anchor", f"""WITH {sql.CANDLES}, m AS (SELECT c.*, a.close AS a FROM candles c LEFT JOIN (SELECT t, close FROM candles WHERE symbol = '{ANCHOR}') a USING (t)), r AS (SELECT *, close / nullif(lag(close) OVER w, 0) - 1 AS r0, a / nullif(lag(a) OVER w, 0) - 1 AS ar0 FROM m WINDOW w AS (PARTITION BY symbol ORDER BY t)),
+  p AS (SELECT *, CASE WHEN ar0 IS NOT NULL THEN r0 END AS r, CASE WHEN r0 IS NOT NULL THEN ar0 END AS ar FROM r), f AS (SELECT symbol, t, CASE WHEN count(ar) OVER w >= 30 AND var_pop(ar) OVER w > 1e-12 THEN covar_samp(r, ar) OVER w / var_pop(ar) OVER w END AS beta, CASE WHEN count(ar) OVER w >= 30 THEN covar_pop(r, ar) OVER w / nullif(stddev_pop(r) OVER w * stddev_pop(ar) OVER w, 0) END AS correlation,
+  ln(close) - ln(a) AS log_spread, r0 - ar0 AS relative_strength FROM p WINDOW w AS (PARTITION BY symbol ORDER BY t ROWS 29 PRECEDING)) SELECT symbol, t, {sql.rounded('beta correlation log_spread relative_strength', 5)} FROM f""")
+def against_anchor(spark, sf_dir):
+    candles = tables.candles(spark, sf_dir)
+    df = features.against_anchor(candles, candles.where(F.col("symbol") == ANCHOR).select("t", "close"), 30)
+    return df.select("symbol", "t", *rounded(df, "beta correlation log_spread relative_strength", 5))
+
+
+@query("ladder_target", f"WITH {sql.CANDLES}, {sql.LADDER.format(source='candles', h=4, step=0.01, top=3, fee=0.0005)} SELECT symbol, t, rungs_long, rungs_short, {sql.rounded('target_long target_short')} FROM ladder")
+def ladder_target(spark, sf_dir):
+    df = labels.ladder_target(tables.candles(spark, sf_dir), **LADDER)
+    return df.select("symbol", "t", "rungs_long", "rungs_short", *rounded(df, "target_long target_short"))
+
+
+@query("three_way_label", f"WITH {sql.CANDLES}, g AS (SELECT symbol, CASE WHEN g > 0.02 THEN 1 WHEN g < -0.02 THEN -1 WHEN g IS NOT NULL THEN 0 END AS label FROM (SELECT symbol, lead(close, 2) OVER (PARTITION BY symbol ORDER BY t) / nullif(close, 0) - 1 AS g FROM candles)) SELECT symbol, label, count(*) AS n FROM g WHERE label IS NOT NULL GROUP BY 1, 2")
+def three_way_label(spark, sf_dir):
+    gain = labels.forward_return(F.col("close"), 2, W.series())
+    return tables.candles(spark, sf_dir).select("symbol", labels.three_way(gain, 0.02).alias("label")).where("label is not null").groupBy("symbol", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("target_within_bar", f"""WITH {sql.uniform(HOUR)}, {sql.FLAT}, known AS (SELECT * FROM flat WHERE close IS NOT NULL), base AS (SELECT * FROM known WHERE t % 14400 = 0), want AS (SELECT symbol, t, close, unnest(range(0, 6)) AS k FROM base), met AS (SELECT w.symbol, w.t, w.close AS base_close, w.k, m.high AS fh, m.close AS fc FROM want w JOIN known m ON m.symbol = w.symbol AND m.t = w.t + 14400 + w.k * 3600),
+  f AS (SELECT symbol, t, count(*) AS n, min(k) FILTER (WHERE fh >= base_close * 1.01) AS hit, arg_max(fc, k) / first(base_close) - 1 AS drift FROM met GROUP BY 1, 2) SELECT b.symbol, b.t, CAST(CASE WHEN n = 6 THEN hit END AS INTEGER) AS hit_at, round(CASE WHEN n = 6 THEN CASE WHEN hit IS NOT NULL THEN 0.01 ELSE drift END - 0.0005 END, 6) AS target FROM base b LEFT JOIN f ON f.symbol = b.symbol AND f.t = b.t""")
+def target_within_bar(spark, sf_dir):
+    fine = bars.flat_where_empty(hourly(spark, sf_dir)).where("close is not null")
+    df = labels.within_bar(fine.where(F.col("t") % (4 * HOUR) == 0), fine, 4 * HOUR, HOUR, 6, 0.01, 0.0005)
+    return df.select("symbol", "t", "hit_at", F.round("target", 6).alias("target"))
+
+
+@query("predicate_slices", f"""WITH {sql.CANDLES}, {sql.PRICE.format(source='candles')}, q AS (SELECT *, {sql.mean('close', 7)} AS sma_7, {sql.rolled('quantile_cont(range_pct, 0.5)', 'range_pct', 20)} AS range_pct_q50 FROM price)
+  SELECT symbol, t, 'volume_surge_and_above_average' AS predicate, 'long' AS side FROM q WHERE volume_ratio > 2 AND close > sma_7 UNION ALL SELECT symbol, t, 'rising_and_wide_range_or_quiet_volume', 'short' FROM q WHERE return_1 < 0 AND (coalesce(range_pct > range_pct_q50, false) OR coalesce(volume_ratio < 1, false))""")
+def predicate_slices(spark, sf_dir):
+    w = W.series()
+    rows = features.price_features(tables.candles(spark, sf_dir))
+    rows = rows.select("*", W.mean(F.col("close"), 7, w).alias("sma_7"), W.quantile(F.col("range_pct"), 0.5, 20, w).alias("range_pct_q50"))
+    stack = [("volume_surge_and_above_average", "long"), ("rising_and_wide_range_or_quiet_volume", "short")]
+    return predicates.sliced(rows, stack).select("symbol", "t", "predicate", "side")
+
+
+VOTES = """sig AS (SELECT symbol, t, CASE WHEN m % 2 = 0 THEN 'long' ELSE 'short' END AS side, return_1 * (CASE WHEN m % 2 = 0 THEN 1 ELSE -1 END) * m AS prediction, 0.05 AS threshold FROM price, range(1, 6) r(m)), v AS (SELECT symbol, t, CAST(sum(CASE WHEN prediction > threshold AND side = 'long' THEN 1 ELSE 0 END) AS BIGINT) AS longs, CAST(sum(CASE WHEN prediction > threshold AND side = 'short' THEN 1 ELSE 0 END) AS BIGINT) AS shorts, max(CASE WHEN prediction > threshold THEN prediction - threshold END) AS best_margin FROM sig GROUP BY 1, 2)"""
+
+
+@query("votes", f"WITH {sql.CANDLES}, {sql.PRICE.format(source='candles')}, {VOTES} SELECT symbol, t, longs, shorts, round(best_margin, 6) AS best_margin, CASE WHEN greatest(longs, shorts) >= 2 THEN CAST(sign(longs - shorts) * 1.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS quantity FROM v")
+def votes(spark, sf_dir):
+    rows = features.price_features(tables.candles(spark, sf_dir)).select("symbol", "t", "return_1", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("m"))
+    even = F.col("m") % 2 == 0
+    signals = rows.select("symbol", "t", F.when(even, "long").otherwise("short").alias("side"), (F.col("return_1") * F.when(even, 1).otherwise(-1) * F.col("m")).alias("prediction"), F.lit(0.05).alias("threshold"))
+    df = decisions.votes(signals, 1.5, least=2)
+    return df.select("symbol", "t", "longs", "shorts", F.round("best_margin", 6).alias("best_margin"), "quantity")
+
+
+@query("hold_and_size", f"WITH {sql.CANDLES}, s AS (SELECT symbol, t, close, CASE WHEN close / nullif(lag(close) OVER w, 0) - 1 > 0.1 THEN 1 WHEN close / nullif(lag(close) OVER w, 0) - 1 < -0.1 THEN -1 ELSE 0 END AS side FROM candles WINDOW w AS (PARTITION BY symbol ORDER BY t)) SELECT symbol, t, side, coalesce(last_value(nullif(side, 0) IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY t ROWS 3 PRECEDING), 0) AS held FROM s")
+def hold_and_size(spark, sf_dir):
+    w = W.series()
+    move = W.change(F.col("close"), 1, w)
+    rows = tables.candles(spark, sf_dir).select("symbol", "t", F.when(move > 0.1, 1).when(move < -0.1, -1).otherwise(0).alias("side"))
+    return rows.select("*", decisions.held_on(F.col("side"), 3, w).alias("held"))
+
+
+@query("islands", f"WITH {sql.CANDLES}, g AS (SELECT symbol, t, CASE WHEN t - lag(t) OVER (PARTITION BY symbol ORDER BY t) = 86400 THEN 0 ELSE 1 END AS n FROM candles), i AS (SELECT *, CAST(sum(n) OVER (PARTITION BY symbol ORDER BY t) AS BIGINT) AS island FROM g) SELECT symbol, island, min(t) AS first, max(t) AS last, count(*) AS n FROM i GROUP BY 1, 2")
+def islands(spark, sf_dir):
+    return bars.gaps(tables.candles(spark, sf_dir), tables.DAY)
+
+
+@query("corrected_bars", f"WITH {sql.CANDLES} SELECT symbol, t, CASE WHEN t % 604800 = 0 THEN close * 2 ELSE close END AS close, t % 604800 = 0 AS reconciled FROM candles")
+def corrected_bars(spark, sf_dir):
+    candles = tables.candles(spark, sf_dir).select("symbol", "t", "close")
+    return bars.corrected(candles, candles.where(F.col("t") % 604_800 == 0).withColumn("close", F.col("close") * 2), ("close",))
+
+
+@query("reconciled_positions", f"WITH {sql.CANDLES}, l AS (SELECT symbol, max(t) AS t, sum(volume) % 7 - 3 AS q FROM candles GROUP BY 1), c AS (SELECT symbol, q AS claimed, t FROM l WHERE symbol <> '5-LOW'), a AS (SELECT symbol, -abs(q) AS actual FROM l WHERE symbol <> '1-URGENT') SELECT symbol, round(claimed, 4) AS claimed, round(actual, 4) AS actual, CASE WHEN claimed IS NULL THEN 'orphan' WHEN actual IS NULL THEN 'missing' WHEN sign(claimed) <> sign(actual) THEN 'drifted' WHEN t < 0 THEN 'stale' ELSE 'agreed' END AS state FROM c FULL JOIN a USING (symbol)")
+def reconciled_positions(spark, sf_dir):
+    last = tables.candles(spark, sf_dir).groupBy("symbol").agg(F.max("t").alias("t"), (F.sum("volume") % 7 - 3).alias("quantity"))
+    df = decisions.reconciled(last.where("symbol <> '5-LOW'"), last.where("symbol <> '1-URGENT'").withColumn("quantity", -F.abs("quantity")), F.lit(0))
+    return df.select("symbol", *rounded(df, "claimed actual", 4), "state")
+
+
+@query("pair_hedges", f"WITH {sql.PAIRS} SELECT pair, round(first(hedge), 6) AS hedge, count(*) AS n, round(stddev_samp(spread), 6) AS deviation FROM spreads GROUP BY 1")
+def pair_hedges(spark, sf_dir):
+    df = pairs.hedged(pairs.aligned(tables.candles(spark, sf_dir)))
+    return df.groupBy("pair").agg(F.round(F.max("hedge"), 6).alias("hedge"), F.count(F.lit(1)).alias("n"), F.round(F.stddev_samp("spread"), 6).alias("deviation"))
+
+
+@query("mean_reversion", f"WITH {sql.PAIRS}, s AS (SELECT pair, lag(spread) OVER w AS s, spread - lag(spread) OVER w AS d FROM spreads WINDOW w AS (PARTITION BY pair ORDER BY t)), f AS (SELECT pair, count(s) AS n, -regr_slope(d, s) AS speed, regr_intercept(d, s) / -regr_slope(d, s) AS level, sqrt(var_pop(d) - regr_slope(d, s) ** 2 * var_pop(s)) AS deviation FROM s WHERE s IS NOT NULL GROUP BY 1) SELECT pair, n, {sql.rounded('speed level deviation')}, CASE WHEN speed > 0 THEN round(ln(2) / speed, 6) END AS half_life FROM f")
+def mean_reversion(spark, sf_dir):
+    df = pairs.reversion(pairs.hedged(pairs.aligned(tables.candles(spark, sf_dir))))
+    return df.select("pair", "n", *rounded(df, "speed level deviation half_life"))
+
+
+@query("pair_performance", f"""WITH {sql.PAIRS}, p AS (SELECT *, CASE WHEN z > 1.5 THEN -1.0 WHEN z < -1.5 THEN 1.0 ELSE 0.0 END AS position FROM scores), g AS (SELECT *, coalesce(lag(position) OVER w, 0) AS before, coalesce(spread - lag(spread) OVER w, 0) AS moved FROM p WINDOW w AS (PARTITION BY pair ORDER BY t)), d AS (SELECT pair, t // 86400 * 86400 AS day, sum(before * moved - abs(position - before) * 0.001) AS gain FROM g GROUP BY 1, 2),
+  e AS (SELECT *, sum(gain) OVER (PARTITION BY pair ORDER BY day ROWS UNBOUNDED PRECEDING) AS e FROM d), u AS (SELECT *, e - max(e) OVER (PARTITION BY pair ORDER BY day ROWS UNBOUNDED PRECEDING) AS u FROM e) SELECT pair, count(gain) AS days, round(sum(gain), 5) AS total, round(avg(gain) / nullif(stddev_samp(gain), 0) * sqrt(365), 5) AS sharpe, round(min(u), 5) AS drawdown FROM u GROUP BY 1""")
+def pair_performance(spark, sf_dir):
+    rows = pairs.scored(pairs.hedged(pairs.aligned(tables.candles(spark, sf_dir))))
+    held = rows.withColumn("position", pairs.threshold_position(F.col("z"), F.lit(1.5)))
+    df = pairs.performance(pairs.daily(pairs.gains(held, 0.001)))
+    return df.select("pair", "days", *rounded(df, "total sharpe drawdown", 5))
+
+
+@query("pair_sweep", f"""WITH {sql.PAIRS}, s AS (SELECT pair, t, spread, z, enter, fee FROM scores, (VALUES (1.0), (2.0)) a(enter), (VALUES (0.0), (0.002)) b(fee)), p AS (SELECT *, CASE WHEN z > enter THEN -1.0 WHEN z < -enter THEN 1.0 ELSE 0.0 END AS position FROM s), g AS (SELECT *, coalesce(lag(position) OVER w, 0) AS before, coalesce(spread - lag(spread) OVER w, 0) AS moved FROM p WINDOW w AS (PARTITION BY pair, enter, fee ORDER BY t)),
+  r AS (SELECT pair, CAST(enter AS DOUBLE) AS enter, CAST(fee AS DOUBLE) AS fee, round(sum(before * moved - abs(position - before) * fee), 5) AS total, CAST(sum(CASE WHEN position <> before THEN 1 ELSE 0 END) AS BIGINT) AS trades FROM g GROUP BY 1, 2, 3) SELECT * FROM r""")
+def pair_sweep(spark, sf_dir):
+    rows = pairs.sweep(pairs.scored(pairs.hedged(pairs.aligned(tables.candles(spark, sf_dir)))), [1.0, 2.0], [0.0, 0.002])
+    w = W.series("pair", "enter", "fee")
+    held = rows.withColumn("position", pairs.threshold_position(F.col("z"), F.col("enter")))
+    before, moved = F.coalesce(F.lag("position").over(w), F.lit(0.0)), F.coalesce(F.col("spread") - F.lag("spread").over(w), F.lit(0.0))
+    steps = held.select("pair", "enter", "fee", (before * moved - F.abs(F.col("position") - before) * F.col("fee")).alias("gain"), (F.col("position") != before).cast("int").alias("traded"))
+    return steps.groupBy("pair", "enter", "fee").agg(F.round(F.sum("gain"), 5).alias("total"), F.sum("traded").alias("trades"))
+
+
+@query("walk_forward_windows", f"WITH {sql.CANDLES}, w AS (SELECT symbol, t, close, t // 2592000 * 2592000 + k * 2592000 AS \"window\" FROM candles, range(0, 4) r(k)) SELECT symbol, \"window\", t >= \"window\" AS test, count(*) AS n, round(avg(close), 7) AS mean FROM w WHERE t >= \"window\" - 7776000 GROUP BY ALL")
+def walk_forward_windows(spark, sf_dir):
+    rows = pairs.walk_forward(tables.candles(spark, sf_dir), 90 * tables.DAY, 30 * tables.DAY)
+    return rows.groupBy("symbol", "window", "test").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("close"), 7).alias("mean"))
+
+
+@query("score_positions")
+def score_positions(spark, sf_dir):
+    rows = pairs.scored(pairs.hedged(pairs.aligned(tables.candles(spark, sf_dir))))
+    return sequential.positions_by_score(rows, by=("pair",), stop=4.0, longest=60).select("pair", "t", F.round("z", 6).alias("z"), "position")
+
+
+@query("kalman_hedge")
+def kalman_hedge(spark, sf_dir):
+    return sequential.kalman_hedge(pairs.aligned(tables.candles(spark, sf_dir)), by=("pair",)).select("pair", "t", F.round("hedge", 6).alias("hedge"))
+
+
+PANEL = "spot_open spot_close atm iv_call iv_put term_ratio oi_call oi_put put_call skew_25 wing_mean_25"
+
+
+@query("option_panel", f"""WITH {sql.CHAIN}, p AS (SELECT asset, day, first(spot_open) AS spot_open, first(spot_close) AS spot_close, first(weekly) AS weekly, first(monthly) AS monthly, first(atm) AS atm, avg(iv) FILTER (expiry = weekly AND strike = atm AND kind = 'call') AS iv_call, avg(iv) FILTER (expiry = weekly AND strike = atm AND kind = 'put') AS iv_put,
+  median(iv) FILTER (expiry = weekly AND kind = 'call') / nullif(median(iv) FILTER (expiry = monthly AND kind = 'call'), 0) AS term_ratio, sum(open_interest) FILTER (kind = 'call') AS oi_call, sum(open_interest) FILTER (kind = 'put') AS oi_put FROM base LEFT JOIN atms USING (asset, day) GROUP BY 1, 2),
+  f AS (SELECT p.*, oi_put / nullif(oi_call, 0) AS put_call, wp - wc AS skew_25, (wp + wc) / 2 AS wing_mean_25 FROM p LEFT JOIN wings USING (asset, day)) SELECT asset, day, weekly, monthly, {sql.rounded(PANEL)} FROM f""")
+def option_panel(spark, sf_dir):
+    df = options.daily_panel(tables.option_chain(spark, sf_dir))
+    return df.select("asset", "day", "weekly", "monthly", *rounded(df, PANEL))
+
+
+@query("rank_correlation", f"WITH {sql.CANDLES}, {sql.PRICE.format(source='candles')}, b AS (SELECT symbol, volume_ratio AS x, lead(return_1) OVER (PARTITION BY symbol ORDER BY t) AS y FROM price), k AS (SELECT symbol, rank() OVER (PARTITION BY symbol ORDER BY x) + (count(*) OVER (PARTITION BY symbol, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY symbol ORDER BY y) + (count(*) OVER (PARTITION BY symbol, y) - 1) / 2.0 AS ry FROM b WHERE x IS NOT NULL AND y IS NOT NULL) SELECT symbol, count(*) AS n, round(covar_pop(rx, ry) / nullif(stddev_pop(rx) * stddev_pop(ry), 0), 6) AS spearman FROM k GROUP BY 1")
+def rank_correlation(spark, sf_dir):
+    rows = features.price_features(tables.candles(spark, sf_dir)).withColumn("next", F.lead("return_1").over(W.series()))
+    return ml.spearman(rows, "volume_ratio", "next", "symbol").withColumn("spearman", F.round("spearman", 6))
+
+
+@query("embedding_clusters")
+def embedding_clusters(spark, sf_dir):
+    return ml.clustered(tables.table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding", 8, 5).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("bare_symbols", "SELECT event_id, regexp_replace(regexp_replace(upper(event_type), '[_/-]', '', 'g'), 'X', 'X') AS symbol FROM events")
+def bare_symbols(spark, sf_dir):
+    raw = F.concat(F.when(F.col("event_id") % 2 == 0, "venue_venue_").otherwise("perp_"), F.col("event_type"))
+    return tables.table(spark, sf_dir, "events").select("event_id", names.bare_symbol(raw, ("VENUE",), ("PERP", "SPOT")).alias("symbol"))
+
+
+@query("new_codes", "WITH k AS (SELECT 'click' AS name, 7 AS number), n AS (SELECT name, 7 + row_number() OVER (ORDER BY name) AS number FROM (SELECT DISTINCT event_type AS name FROM events WHERE event_type <> 'click')) SELECT name, CAST(number AS INTEGER) AS number, 'f' || lpad(CAST(number AS VARCHAR), 3, '0') AS code FROM (SELECT * FROM k UNION ALL SELECT * FROM n)")
+def new_codes(spark, sf_dir):
+    known = spark.createDataFrame([("click", 7)], "name string, number int")
+    return names.with_new_codes(known, tables.table(spark, sf_dir, "events").select(F.col("event_type").alias("name")), "f")
 
 
 def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Ticks to hourly bars on a full grid, features, a ladder target and the rows that pass a predicate."""
+    rows = features.price_features(bars.flat_where_empty(hourly(spark, sf_dir)))
+    rows = rows.withColumn("sma_7", W.mean(F.col("close"), 7, W.series()))
+    df = predicates.sliced(labels.ladder_target(rows, **LADDER), [("volume_surge_and_above_average", "long")])
+    return df.select("symbol", "t", "predicate", "side", *rounded(df, "close volume_ratio sma_7 target_long"))
+
+
+QUERIES["flagship"] = FLAGSHIP
+ORACLES["flagship"] = f"WITH {sql.uniform(HOUR)}, {sql.FLAT}, {sql.PRICE.format(source='flat')}, q AS (SELECT *, {sql.mean('close', 7)} AS sma_7 FROM price), {sql.LADDER.format(source='q', h=4, step=0.01, top=3, fee=0.0005)} SELECT symbol, t, 'volume_surge_and_above_average' AS predicate, 'long' AS side, {sql.rounded('close volume_ratio sma_7 target_long')} FROM ladder WHERE volume_ratio > 2 AND close > sma_7"
