@@ -324,10 +324,10 @@ def pair_sweep(spark, sf_dir):
     return steps.groupBy("pair", "enter", "fee").agg(F.round(F.sum("gain"), 5).alias("total"), F.sum("traded").alias("trades"))
 
 
-@query("walk_forward_windows", f"WITH {sql.CANDLES}, w AS (SELECT symbol, t, close, t // 2592000 * 2592000 + k * 2592000 AS \"window\" FROM candles, range(0, 4) r(k)) SELECT symbol, \"window\", t >= \"window\" AS test, count(*) AS n, round(avg(close), 7) AS mean FROM w WHERE t >= \"window\" - 7776000 GROUP BY ALL")
+@query("walk_forward_windows", f"WITH {sql.CANDLES}, w AS (SELECT symbol, t, close, t // 2592000 * 2592000 + k * 2592000 AS \"window\" FROM candles, range(0, 4) r(k)) SELECT symbol, \"window\", t >= \"window\" AS test, count(*) AS n, round(sum(close), 2) AS total FROM w WHERE t >= \"window\" - 7776000 GROUP BY ALL")
 def walk_forward_windows(spark, sf_dir):
     rows = pairs.walk_forward(tables.candles(spark, sf_dir), 90 * tables.DAY, 30 * tables.DAY)
-    return rows.groupBy("symbol", "window", "test").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("close"), 7).alias("mean"))
+    return rows.groupBy("symbol", "window", "test").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("close"), 2).alias("total"))
 
 
 @query("score_positions")
