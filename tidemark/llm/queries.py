@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat_format, decontaminate, license_scan, line_dedup, minhash_forest, pii_surrogates, quality_rank, risk_rules, toxicity
+from .oracles import ORACLES as ORACLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,5 +77,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_risk_rules": op9_risk_rules,
     "op10_pii_surrogates": op10_pii_surrogates,
 }
-
-ORACLES: dict[str, str] = {}
