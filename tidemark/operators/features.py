@@ -79,7 +79,7 @@ def indicators(bars: DataFrame, w: WindowSpec | None = None) -> DataFrame:
         whole(W.ratio(100 * up, up + down), 14).alias("money_flow"), W.ratio(c - o, h - low).alias("balance_of_power"),
         whole(100 * (4 * buying(7) + 2 * buying(14) + buying(28)) / 7, 28).alias("ultimate"), whole(W.ratio(100 * gain, gain + loss), 14).alias("simple_rsi"),
         F.sum(F.sign("__d") * v).over(W.so_far(w)).alias("on_balance_volume"),
-        F.sqrt(W.mean(F.pow(F.log(h / low), F.lit(2.0)), 14, w) / (4 * 0.6931471805599453)).alias("parkinson"),
+        F.sqrt(W.mean(F.pow(F.log(F.when((low > 0) & (h > 0), h / F.when(low > 0, low))), F.lit(2.0)), 14, w) / (4 * 0.6931471805599453)).alias("parkinson"),
     )
 
 

@@ -34,7 +34,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def rounded(df: DataFrame, columns: str, digits: int = 6) -> list:
-    return [F.round(c, digits).alias(c) for c in columns.split()]
+    return [(F.round(c, digits) + 0.0).alias(c) for c in columns.split()]  # no negative zeros
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,10 +346,10 @@ PANEL = "spot_open spot_close atm iv_call iv_put term_ratio oi_call oi_put put_c
 
 @query("option_panel", f"""WITH {sql.CHAIN}, p AS (SELECT asset, day, first(spot_open) AS spot_open, first(spot_close) AS spot_close, first(weekly) AS weekly, first(monthly) AS monthly, first(atm) AS atm, avg(iv) FILTER (expiry = weekly AND strike = atm AND kind = 'call') AS iv_call, avg(iv) FILTER (expiry = weekly AND strike = atm AND kind = 'put') AS iv_put,
   median(iv) FILTER (expiry = weekly AND kind = 'call') / nullif(median(iv) FILTER (expiry = monthly AND kind = 'call'), 0) AS term_ratio, sum(open_interest) FILTER (kind = 'call') AS oi_call, sum(open_interest) FILTER (kind = 'put') AS oi_put FROM base LEFT JOIN atms USING (asset, day) GROUP BY 1, 2),
-  f AS (SELECT p.*, oi_put / nullif(oi_call, 0) AS put_call, wp - wc AS skew_25, (wp + wc) / 2 AS wing_mean_25 FROM p LEFT JOIN wings USING (asset, day)) SELECT asset, day, weekly, monthly, {sql.rounded(PANEL)} FROM f""")
+  f AS (SELECT p.*, oi_put / nullif(oi_call, 0) AS put_call, wp - wc AS skew_25, (wp + wc) / 2 AS wing_mean_25 FROM p LEFT JOIN wings USING (asset, day)) SELECT asset, day, weekly, monthly, {sql.rounded(PANEL, 9)} FROM f""")
 def option_panel(spark, sf_dir):
     df = options.daily_panel(tables.option_chain(spark, sf_dir))
-    return df.select("asset", "day", "weekly", "monthly", *rounded(df, PANEL))
+    return df.select("asset", "day", "weekly", "monthly", *rounded(df, PANEL, 9))
 
 
 @query("rank_correlation", f"WITH {sql.CANDLES}, {sql.PRICE.format(source='candles')}, b AS (SELECT symbol, volume_ratio AS x, lead(return_1) OVER (PARTITION BY symbol ORDER BY t) AS y FROM price), k AS (SELECT symbol, rank() OVER (PARTITION BY symbol ORDER BY x) + (count(*) OVER (PARTITION BY symbol, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY symbol ORDER BY y) + (count(*) OVER (PARTITION BY symbol, y) - 1) / 2.0 AS ry FROM b WHERE x IS NOT NULL AND y IS NOT NULL) SELECT symbol, count(*) AS n, round(covar_pop(rx, ry) / nullif(stddev_pop(rx) * stddev_pop(ry), 0), 6) AS spearman FROM k GROUP BY 1")

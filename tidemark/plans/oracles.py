@@ -32,7 +32,7 @@ FLAT = "flat AS (SELECT * REPLACE (coalesce(open, close) AS open, coalesce(high,
 
 def rounded(columns: str, digits: int = 6) -> str:
     """round(x, digits) AS x for each name."""
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns.split())
+    return ", ".join(f"round({c}, {digits}) + 0.0 AS {c}" for c in columns.split())
 
 
 def mean(x: str, n: int, least: int | None = None) -> str:
