@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quality_rank import held_out, labelled
@@ -261,26 +261,33 @@ def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 700, most_clean:
     return fit(rows["text"].to_pylist(), rows["__label"].to_numpy() == 1)
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most_toxic: int = 700, most_clean: int = 3000, of: int = 4, remainder: int = 2, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep, held_out, score, predicted for each row of docs."""
-    workers_find_library(docs.sparkSession)
-    net = train(docs, labels, most_toxic, most_clean, of, remainder)
+def _scored(docs: DataFrame, net: Network | None, keep: list[str], held: Column) -> DataFrame:
+    """c0, c1, ... for the columns in keep, __held, __score."""
     weights = docs.sparkSession.sparkContext.broadcast(net)  # some hundred kilobytes
-    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], held_out(F.col("doc_id"), of, remainder).alias("held_out"), F.col("text").cast("string").alias("__text"))
+    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], held.alias("__held"), F.col("text").cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = weights.value
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             found = own.score(texts) if own is not None else np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.float64())], names=[*batch.schema.names[:-1], "__score"])
+
+    schema = ", ".join([*[f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)], "__held boolean, __score double"])
+    return rows.mapInArrow(run, schema)
+
 
-    schema = ", ".join([*[f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)], "held_out boolean, score double"])
-    scored = rows.mapInArrow(run, schema)
-    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most_toxic: int = 700, most_clean: int = 3000, of: int = 4, remainder: int = 2) -> DataFrame:
+    """doc_id, held_out, score, predicted for each row of docs."""
+    workers_find_library(docs.sparkSession)
+    net = train(docs, labels, most_toxic, most_clean, of, remainder)
+    scored = _scored(docs, net, ["doc_id"], held_out(F.col("doc_id"), of, remainder))
+    return scored.select(F.col("c0").alias("doc_id"), F.col("__held").alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= threshold).cast("int").alias("predicted"))
 
 
-def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most_toxic: int = 700, most_clean: int = 3000, of: int = 4, remainder: int = 2) -> DataFrame:
     """The rows of docs that are not toxic, with all their columns."""
-    scored = score(docs, labels, threshold, keep=tuple(dict.fromkeys(docs.columns)))
-    return scored.where("predicted = 0").select(*docs.columns)
+    workers_find_library(docs.sparkSession)
+    net = train(docs, labels, most_toxic, most_clean, of, remainder)
+    clean = _scored(docs, net, docs.columns, F.lit(False)).where(F.col("__score") < threshold)
+    return clean.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
