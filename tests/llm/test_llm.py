@@ -203,6 +203,8 @@ def test_bpe_agrees_with_tiktoken(spark):
         ids = want.encode_ordinary(text)
         assert r["ids"] == ids and r["n_tokens"] == len(ids) and r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    bare = bpe.encode_texts(docs_of(spark, [None, ""]), path, public.PATTERN, with_ids=True).collect()
+    assert [(r["ids"], r["n_tokens"]) for r in bare] == [([], 0)] * 2
 
 
 def test_quality_ranks_unseen_documents(spark):

@@ -6,18 +6,21 @@ last token of the prefix before it. Whether one token may follow another depends
 remembered. The table encodes every prefix of the text, an appended text continues it, and after an edit it is refilled
 only until it agrees with the old one again.
 
-Spark deals the rows; each task fills one table for each distinct piece of its texts (bounded memory) and streams Arrow
-batches. Defined results: null text counts as empty (no tokens, digests of nothing); repeated rows are encoded row by
-row; an empty table gives an empty table; extra columns are ignored, those in keep are passed on.
+Spark deals the rows; each task fills one table for each distinct piece of its texts, remembers a bounded number of
+pieces and pairs, and streams Arrow batches. Defined results: null text counts as empty (no tokens, digests of nothing);
+repeated rows are encoded row by row; an empty table gives an empty table; extra columns are ignored, those in keep are
+passed on.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -26,8 +29,8 @@ from pyspark.sql import types as T
 
 from .store import workers_find_library
 
-PIECES_KEPT = 400_000
-PAIRS_KEPT = 2_000_000
+PIECES_KEPT = 300_000
+PAIRS_KEPT = 500_000
 
 
 class PrefixCoder:
@@ -38,7 +41,7 @@ class PrefixCoder:
         self.token = {rank: text for text, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._edges: dict[int, tuple[list[tuple[int, float]], list[tuple[int, float]]] | None] = {}
-        self._follows: dict[tuple[int, int], bool] = {}
+        self._follows: dict[int, bool] = {}
 
     def _halves(self, text: bytes) -> tuple[bytes, bytes] | None:
         """The two parts that the last merge of this token joins; None if merging never arrives at the token."""
@@ -69,7 +72,8 @@ class PrefixCoder:
         A merge across the border takes place if its rank is below the next merge at the border's left side (the left
         one goes first among equals) and not above the next one at its right side.
         """
-        known = self._follows.get((first, second))
+        pair = first << 32 | second
+        known = self._follows.get(pair)
         if known is None:
             known = True
             for a, a_ends in self.edges(first)[1]:
@@ -79,7 +83,7 @@ class PrefixCoder:
                         known = False
             if len(self._follows) >= PAIRS_KEPT:
                 self._follows.clear()
-            self._follows[first, second] = known
+            self._follows[pair] = known
         return known
 
     def _last(self, text: bytes, end: int, table: list[int]) -> int:
@@ -173,7 +177,7 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str
         ids_of, bytes_of = _memos(ranks_path)
         split = regex.compile(pattern).findall
         for batch in batches:
-            counts, ids_digests, text_digests, all_ids = [], [], [], []
+            counts, ids_digests, text_digests, all_ids = [], [], [], array("i")
             for text in batch.column(batch.num_columns - 1):
                 ids = list(map(ids_of.__getitem__, split(text.as_py() or "")))
                 joined = ",".join(ids)
@@ -181,10 +185,11 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str
                 ids_digests.append(hashlib.sha256(joined.encode()).hexdigest())
                 text_digests.append(hashlib.sha256(b"".join(map(bytes_of.__getitem__, ids))).hexdigest())
                 if with_ids:
-                    all_ids.append([int(i) for i in joined.split(",")] if joined else [])
+                    all_ids.extend(map(int, joined.split(",")) if joined else ())
             columns = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
             if with_ids:
-                columns.append(pa.array(all_ids, pa.list_(pa.int32())))
+                ends = pa.array(np.cumsum([0, *counts], dtype=np.int32), pa.int32())
+                columns.append(pa.ListArray.from_arrays(ends, pa.Array.from_buffers(pa.int32(), len(all_ids), [None, pa.py_buffer(all_ids)])))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     workers_find_library(docs.sparkSession)
