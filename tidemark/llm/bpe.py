@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from .store import workers_find_library
 
-PIECES_KEPT = 300_000
+PIECES_KEPT = 300_000  # and as many of the generation before
 PAIRS_KEPT = 500_000
 
 
@@ -138,16 +138,18 @@ def coder(path: str) -> PrefixCoder:
 
 
 class _Memo(dict):
-    """Ids of a piece, written as decimals with commas; forgets all when full."""
+    """Ids of a piece, written as decimals with commas. When full, only pieces met again since are kept."""
 
     def __init__(self, own: PrefixCoder):
         super().__init__()
-        self.own = own
+        self.own, self.before = own, {}
 
     def __missing__(self, piece: str) -> str:
         if len(self) >= PIECES_KEPT:
+            self.before = dict(self)
             self.clear()
-        self[piece] = ids = ",".join(map(str, self.own.encode(piece.encode())))
+        ids = self.before.get(piece)
+        self[piece] = ids = ",".join(map(str, self.own.encode(piece.encode()))) if ids is None else ids
         return ids
 
 
