@@ -249,6 +249,49 @@ def test_near_copies_against_brute_force(spark):
         assert (got[d]["n_shingles"], got[d]["component_id"], got[d]["kept"]) == (len(sets[d]), find(d), find(d) == d)
 
 
+def test_near_copies_of_dense_groups(spark):
+    """Stars, trees and two-level groups of variants, whose links the forest alone does not all find."""
+    rng = random.Random(12)
+    family = []
+
+    def variant(of, group):
+        w = list(of)
+        for at in rng.sample(range(len(w)), 2):
+            w[at] = f"z{rng.random()}"
+        family.append((group, w))
+        return w
+
+    star, tree, hub = words(140, 31, 9000), [words(140, 32, 9000)], words(140, 33, 9000)
+    for _ in range(1000):
+        variant(star, "star")
+        tree.append(variant(rng.choice(tree), "tree"))
+    middle = [variant(hub, "two") for _ in range(30)]
+    for _ in range(1000):
+        variant(rng.choice(middle), "two")
+    family += [("star", star), ("tree", tree[0]), ("two", hub)]
+    rng.shuffle(family)
+    # Brute force over all pairs of a group.
+    want = {}
+    for group in ("star", "tree", "two"):
+        ids = [d for d, (g, _) in enumerate(family) if g == group]
+        sets = [shingles(" ".join(family[d][1])) for d in ids]
+        number = {x: i for i, x in enumerate(set().union(*sets))}
+        table = np.zeros((len(ids), len(number)), np.float32)
+        for i, s in enumerate(sets):
+            table[i, [number[x] for x in s]] = 1
+        common, size = table @ table.T, table.sum(axis=1)
+        near = 100 * common >= 85 * (size[:, None] + size - common)
+        least = np.arange(len(ids))
+        while True:
+            lower = np.where(near, least, len(ids)).min(axis=1)
+            if (lower == least).all():
+                break
+            least = lower
+        want |= {d: ids[x] for d, x in zip(ids, least.tolist(), strict=True)}
+    got = {r["doc_id"]: r["component_id"] for r in minhash_forest.groups(docs_of(spark, [" ".join(w) for _, w in family])).collect()}
+    assert got == want
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(30)] + [(500, 499), (499, 499)]
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -7,6 +7,11 @@ one does. Neighbours whose minhashes mostly agree are candidates, links are conf
 candidate fails in a dense region, its best connected neighbour is tried as well. Equal sets are one node from the
 start, so thousands of copies cost one row.
 
+What the forest leaves open is settled exactly. In any one order of all shingles, two sets that are similar enough share
+one of their first few (prefix filter); the order puts shingles that are common in a sample last. Only shingles whose
+nodes lie in different components are looked at: some rounds tie nodes to the best connected node of a shingle, then all
+pairs of nodes in different components that sizes and places allow are confirmed on the full sets.
+
 Defined results: null and empty texts have no shingles and are linked with nothing; copies, repeated rows and ties go
 to the smallest doc_id; rows without a doc_id belong to the group of their text but never represent it (component_id
 may be null then, kept is false); different texts under one doc_id count as one node; an empty table gives an empty
@@ -30,6 +35,10 @@ TREES, DEPTH = 16, 8
 NEIGHBOURS = 2
 AGREEING = 5
 SET_BATCH = 200_000
+#: Texts sampled for the order of shingles, how often a shingle stands in them to count as common, and how many of these count. Results do not depend on them.
+SAMPLED, COMMON, MOST_COMMON = 20_000, 4, 100_000
+HUB_ROUNDS = 3
+SALTED = 500
 MULTIPLIERS = mixed(np.arange(1000, 1000 + TREES * DEPTH, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -41,20 +50,47 @@ def minhashes(values: np.ndarray) -> bytes:
     return (least >> np.uint64(32)).astype(">u4").tobytes()
 
 
-def sketch(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, two keys of the whole set, and its minhashes (null without shingles)."""
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are common in a sample of texts, in ascending order, and the rank of each by its frequency."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    sample = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // SAMPLED))) == 0).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *text_sets(batch.column(0), width)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
+
+    counted = sample.mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+    values = counted.orderBy(F.desc("n"), "shingle").limit(MOST_COMMON).toArrow()["shingle"].to_numpy().view(np.uint64)
+    ranks = len(values) - np.arange(len(values))
+    order = np.argsort(values)
+    return values[order], ranks[order]
+
+
+def prefix(values: np.ndarray, percent: int, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a set of which each similar enough set has one among its own: common ones come last."""
+    known, ranks = common
+    if len(known) and len(values):
+        at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+        values = values[np.lexsort((values, np.where(known[at] == values, ranks[at], 0)))]
+    return values[: len(values) - -(-percent * len(values) // 100) + 1]
+
+
+def sketch(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, n_shingles, two keys of the whole set, its minhashes (null without shingles) and its prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, one, two, signs = [], [], [], []
+            counts, one, two, signs, heads = [], [], [], [], []
             for values in text_sets(batch.column(1), width):
                 counts.append(len(values))
                 one.append(int(mixed(values).sum().view(np.int64)) if len(values) else 0)
                 two.append(int(mixed(values ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)) if len(values) else 0)
                 signs.append(minhashes(values) if len(values) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.binary())], names=["doc_id", "n_shingles", "key1", "key2", "signature"])
+                heads.append(prefix(values, percent, common).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.binary()), pa.array(heads, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "key1", "key2", "signature", "head"])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, key1 bigint, key2 bigint, signature binary"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, key1 bigint, key2 bigint, signature binary, head array<bigint>"
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
@@ -149,15 +185,51 @@ def hubs_of_failed(tried: DataFrame) -> DataFrame:
     return proposed.select(F.least("a", "hub").alias("a"), F.greatest("a", "hub").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
 
 
+def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
+    """node, component of the links and of all those between different components that they lack."""
+    heads = classes.select("node", "n_shingles", F.posexplode("head").alias("at", "shingle"))
+    shared = settled(heads.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("shingle"), "shared")
+    heads = settled(heads.join(shared, "shingle", "left_semi"), "heads")
+    rounds = 0
+    while True:
+        found = settled(components(links), "components")
+        degree = links.union(links.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
+        placed = settled(heads.join(found.join(degree, "node"), "node", "left").select("shingle", "node", "n_shingles", "at", F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")), "placed")
+        top = F.max(F.struct("degree", "node", "n_shingles", "component")).alias("hub")
+        mixed_up = placed.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), top).where("low < high").select("shingle", "n", "hub")
+        left = settled(placed.join(mixed_up, "shingle"), "open")
+        if left.isEmpty():
+            return found
+        sizes = lambda one, two: 100 * F.least(one, two) >= percent * F.greatest(one, two)
+        if rounds < HUB_ROUNDS:
+            met = left.where((F.col("component") != F.col("hub.component")) & sizes(F.col("n_shingles"), F.col("hub.n_shingles"))).select("node", F.col("hub.node").alias("other"))
+        else:
+            # A shingle of n nodes is dealt over n / SALTED tasks.
+            salts = F.ceil(F.col("n") / SALTED).cast("int")
+            x = left.select("shingle", F.pmod(F.xxhash64("node"), salts).cast("int").alias("salt"), "node", "n_shingles", "at", "component")
+            y = left.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("node").alias("other"), F.col("n_shingles").alias("n2"), F.col("at").alias("at2"), F.col("component").alias("component2"))
+            most = F.least(F.col("n_shingles") - F.col("at"), F.col("n2") - F.col("at2"))
+            met = x.join(y, ["shingle", "salt"]).where((F.col("node") < F.col("other")) & (F.col("component") != F.col("component2")) & sizes(F.col("n_shingles"), F.col("n2")) & similar(most, F.col("n_shingles"), F.col("n2"), percent)).select("node", "other")
+        pairs = settled(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "met")
+        more = settled(confirm(docs, pairs, width, percent).where("linked").select("a", "b"), "more")
+        none = more.isEmpty()
+        if none and rounds >= HUB_ROUNDS:
+            return found
+        links = settled(links.union(more), "all-links")
+        if rounds >= HUB_ROUNDS:
+            return components(links)
+        rounds = HUB_ROUNDS if none else rounds + 1
+
+
 def groups(docs: DataFrame, width: int = 5, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id integer, text)."""
     workers_find_library(docs.sparkSession)
-    sketches = settled(sketch(docs, width), "sketches")
-    classes = settled(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "signature")).alias("first")).select("key1", "key2", F.col("first.doc_id").cast("bigint").alias("node"), "first.signature"), "classes")
+    sketches = settled(sketch(docs, width, percent, common_shingles(docs, width)), "sketches")
+    classes = settled(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "head")).alias("first")).select("key1", "key2", F.col("first.doc_id").cast("bigint").alias("node"), "first.n_shingles", "first.signature", "first.head"), "classes")
     tried = settled(confirm(docs, settled(candidates(classes), "candidates"), width, percent), "tried")
     more = settled(hubs_of_failed(tried), "hubs")
-    links = tried.where("linked").union(confirm(docs, more, width, percent).where("linked")).select("a", "b")
-    of_class = classes.select("key1", "key2", "node").join(components(links), "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component"))
+    links = settled(tried.where("linked").union(confirm(docs, more, width, percent).where("linked")).select("a", "b"), "forest-links")
+    of_class = classes.select("key1", "key2", "node").join(completed(docs, classes, links, width, percent), "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component"))
     found = sketches.where("n_shingles > 0").select("doc_id", "n_shingles", "key1", "key2").join(of_class, ["key1", "key2"], "left").select("doc_id", "n_shingles", "component")
     empty = sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
     return found.unionByName(empty).select("doc_id", "n_shingles", F.col("component").cast(docs.schema["doc_id"].dataType).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False)).alias("kept"))
