@@ -413,6 +413,18 @@ def test_pipeline_keeps_columns_and_catches_planted_rows(spark, tmp_path):
     assert got[42]["n_tokens"] == 0 and all(got[i]["decoded_sha256"] == hashlib.sha256(texts[i].encode()).hexdigest() for i in range(40))
 
 
+def test_pipeline_drops_near_copies_from_four_fifths_on(spark):
+    import corpus_pipeline
+
+    base = words(120, 41, 9000)
+    near, far = list(base), list(base)
+    near[30], near[80] = "other", "another"  # 106 of 126 shingles: 0.84
+    far[20], far[60], far[100] = "x", "y", "z"  # 101 of 131: 0.77
+    assert 0.80 <= len(shingles(" ".join(base)) & shingles(" ".join(near))) / len(shingles(" ".join(base)) | shingles(" ".join(near))) < 0.85
+    left = corpus_pipeline.drop_near_copies(spark, docs_of(spark, [" ".join(base), " ".join(near), " ".join(far)]), "")
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 2]
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
