@@ -413,6 +413,15 @@ def test_pipeline_keeps_columns_and_catches_planted_rows(spark, tmp_path):
     assert got[42]["n_tokens"] == 0 and all(got[i]["decoded_sha256"] == hashlib.sha256(texts[i].encode()).hexdigest() for i in range(40))
 
 
+def test_quality_cutoff_keeps_the_true_share_of_labels(spark):
+    texts = [" ".join(words(40, i)) + "!" * (i % 7) for i in range(600)]
+    known = spark.createDataFrame([(i, int(random.Random(i).random() < 0.85), 0) for i in range(600)], LABELS)
+    got = quality_rank.score(docs_of(spark, texts), known, most_labelled=50).toPandas()
+    assert abs(got.predicted.mean() - 0.85) < 0.12
+    values = np.random.default_rng(1).random(31)
+    assert abs(quality_rank.weighted_quantile(values, np.ones(31), 0.2) - np.quantile(values, 0.2)) < 1e-12
+
+
 def test_pipeline_drops_near_copies_from_four_fifths_on(spark):
     import corpus_pipeline
 
