@@ -422,6 +422,13 @@ def test_quality_cutoff_keeps_the_true_share_of_labels(spark):
     assert abs(quality_rank.weighted_quantile(values, np.ones(31), 0.2) - np.quantile(values, 0.2)) < 1e-12
 
 
+def test_a_file_with_many_licences_keeps_all(spark):
+    chosen = ["bsd", "isc", "mpl-2.0", "mit-grant", "apache-2.0", "unlicense", "lgpl"]
+    text = "\n\n".join(t.text + " filler words between" for t in license_scan.TEMPLATES if t.label in chosen)
+    got = {r["doc_id"]: r["labels"].split(",") for r in license_scan.scan(docs_of(spark, [text, "nothing of that kind"])).collect()}
+    assert set(chosen) <= set(got[0]) and got[1] == [""]
+
+
 def test_pipeline_drops_near_copies_from_four_fifths_on(spark):
     import corpus_pipeline
 

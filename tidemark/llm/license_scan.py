@@ -1,7 +1,8 @@
 """Licence scan with a positional index over rare template words.
 
 A template is a short licence text with a label and a mandatory key phrase. The index maps each template word to its
-postings (template, position). In each file the licence words with the highest IDF are looked up; every place of such a
+postings (template, position). In each file the licence words with the highest IDF are looked up, and so are the two
+rarest words of each key phrase of which all words are there, so that no template is lost to others; every place of such a
 word and every posting of it vote for an alignment (template, place - position), so that votes of words that stand in
 the right order meet in one alignment. An aligned template counts if its key phrase stands there word for word and
 enough of its other words agree. The key phrases of the base list are looked up by their own rarest word in every file,
@@ -102,9 +103,15 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), templates: tuple[
     posting_map = F.create_map(*[c for w in by_idf for c in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(i).alias("p")) for t, i in postings[w]]).cast("array<struct<t:int,p:int>>"))])
     shapes = F.array(*[F.struct(F.lit(x.label).alias("label"), _strings(x.words).alias("words"), _strings(x.key.split()).alias("key"), F.lit(x.key_at).alias("key_at")) for x in templates])
 
+    rarest_two = lambda words: sorted(set(words), key=lambda w: (-weights[w], w))[:VOTES]
+    # A key phrase of a single word does not give two votes: all words of its template are looked up.
+    needed = [(t.key.split(), rarest_two(t.key.split()) if len(set(t.key.split())) >= VOTES else t.words) for t in templates]
+
     cut = docs.select(*keep, words_of(F.col("text")).alias("__w"))
-    rare = F.slice(F.array_intersect(_strings(by_idf), F.col("__w")), 1, looked_up)
-    present = F.array_union(rare, F.array_intersect(_strings(anchors), F.col("__w")))
+    cut = cut.select("*", F.array_intersect(_strings(by_idf), F.col("__w")).alias("__met"))
+    rare = F.slice("__met", 1, looked_up)
+    of_keys = F.flatten(F.array(*[F.when(F.size(F.array_except(_strings(key), F.col("__met"))) == 0, _strings(two)).otherwise(_strings([])) for key, two in needed]))
+    present = F.array_union(F.array_union(rare, of_keys), F.array_intersect(_strings(anchors), F.col("__met")))
     looked = cut.select(*keep, "__w", F.size("__w").cast("long").alias("n_words"), present.alias("__present"))
     # Without a phrase's rarest word or two words of a template there is nothing to align.
     places = F.filter(F.transform("__w", lambda w, i: F.when(F.array_contains("__present", w), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull())
