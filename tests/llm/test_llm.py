@@ -429,6 +429,19 @@ def test_a_file_with_many_licences_keeps_all(spark):
     assert set(chosen) <= set(got[0]) and got[1] == [""]
 
 
+def test_upper_case_secrets_go_and_names_do_not_run_out(spark, monkeypatch):
+    secret = "9233A8EC" * 4 + "0123ABCD"
+    texts = [f'TOKEN = "{secret}"', f"again {secret}", f"lower {secret.lower()}"]
+    got = {r["doc_id"]: r["text"] for r in pii_surrogates.replace(docs_of(spark, texts), "k").collect()}
+    shown = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"', got[0]).group(1)
+    assert shown != secret and got[1] == f"again {shown}" and re.fullmatch(r"lower [0-9a-f]{40}", got[2]) and secret.lower() not in got[2]
+    monkeypatch.setattr(pii_surrogates, "LATIN", ("al", "be") * 8)
+    monkeypatch.setattr(pii_surrogates, "ROUNDS", 12)
+    names = [f"Mr. {a}{b}ston" for a in "BCDFGHKL" for b in "aeiouy"]
+    got = [r["text"] for r in pii_surrogates.replace(docs_of(spark, names), "k").collect()]
+    assert len(set(got)) == len(names) and not set(got) & set(names)
+
+
 def test_pipeline_drops_near_copies_from_four_fifths_on(spark):
     import corpus_pipeline
 

@@ -22,7 +22,7 @@ from .store import settled
 #: What each type looks like. An alternative can only begin where a word or number begins, so long words cost linear time.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,64})(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,64})(?![0-9A-Za-z])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d)",
     "card": r"(?<!\d)\d{4}(?:[ -]?\d{4}){3}(?!\d)",
     "phone": r"(?<![\d+])\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]?\d{2,4}){2,3}(?!\d)",
@@ -31,7 +31,7 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS.values())
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа")
-#: Syllables of surrogate names; two or three of them make one.
+#: Syllables of surrogate names; three of them make one, and each turn adds one, so names do not run out.
 LATIN = ("al", "be", "cor", "da", "el", "fin", "gar", "ho", "in", "jo", "ka", "lem", "mor", "na", "or", "per")
 CYRILLIC = ("ал", "бе", "вор", "да", "ел", "фин", "гор", "хо", "ин", "ко", "ла", "лем", "мор", "на", "ор", "пер")
 ROUNDS = 50
@@ -81,7 +81,9 @@ def surrogate(kind: Column, entity: Column, turn: Column, secret: str) -> Column
         inside = (i >= head) & (i < F.length(entity) - tail)
         pick = lambda letters: F.substring(F.lit(letters), _draw(stream, i, len(letters)) + 1, F.lit(1))
         hexed = (kind == "secret") & (head == 0)
-        return F.when(~inside, c).when(hexed, pick("0123456789abcdef")).when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz")).when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c)
+        # Hex keeps its case; a digit may become a letter of the case that the entity has.
+        upper = c.rlike("[A-F]") | (c.rlike("[0-9]") & entity.rlike("[A-F]") & ~entity.rlike("[a-f]"))
+        return F.when(~inside, c).when(hexed & upper, pick("0123456789ABCDEF")).when(hexed, pick("0123456789abcdef")).when(c.rlike("[0-9]"), pick("0123456789")).when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz")).when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(c)
 
     # substring with Column arguments is not lazy about types, so positions are ints throughout.
     shaped = F.array_join(F.transform(F.split(entity, ""), lambda c, i: char(c, i)), "")
@@ -89,9 +91,9 @@ def surrogate(kind: Column, entity: Column, turn: Column, secret: str) -> Column
     base = F.substring(shaped, 1, 15)
     card = F.concat(base, F.pmod(-_luhn(F.concat(base, F.lit("0"))), F.lit(10)).cast("string"))
     title = F.substring_index(entity, " ", 1)
-    syllable = lambda i: F.when(entity.rlike(r"\p{IsCyrillic}"), F.element_at(F.array(*map(F.lit, CYRILLIC)), _draw(stream, F.lit(i), 16) + 1)).otherwise(F.element_at(F.array(*map(F.lit, LATIN)), _draw(stream, F.lit(i), 16) + 1))
+    syllable = lambda i: F.when(entity.rlike(r"\p{IsCyrillic}"), F.element_at(F.array(*map(F.lit, CYRILLIC)), _draw(stream, i, 16) + 1)).otherwise(F.element_at(F.array(*map(F.lit, LATIN)), _draw(stream, i, 16) + 1))
     ending = F.when(title.isin(*FEMALE), F.when(entity.rlike(r"\p{IsCyrillic}"), F.lit("а")).otherwise(F.lit("a"))).otherwise(F.lit(""))
-    name = F.concat(title, F.lit(" "), F.initcap(F.concat(syllable(0), syllable(1), syllable(2), F.when(turn > 0, syllable(3)).otherwise(F.lit("")), ending)))
+    name = F.concat(title, F.lit(" "), F.initcap(F.concat(F.array_join(F.transform(F.sequence(F.lit(0), turn + 2), syllable), ""), ending)))
     return F.when(kind == "ip", octets).when((kind == "card") & (F.pmod(_luhn(entity), F.lit(10)) == 0), card).when(kind == "name", name).otherwise(shaped)
 
 
