@@ -2,15 +2,19 @@
 
 A text is cut into words at white space and ASCII punctuation. A word enters the network as the embedding of the word
 (a vocabulary of the frequent words of the training sample, else a shared unknown) next to the mean embedding of its
-hashed character trigrams; a word that repeats the one before it is read once. Overlapping windows of WINDOW words, one every STRIDE, cover the whole text. In each window
-two gated recurrent layers read forwards and backwards, attention weights their states, and the pooled state gives a
-logit. A document scores as its worst window.
+hashed character trigrams. Overlapping windows of WINDOW words, one every STRIDE, cover the whole text, so that every
+passage of up to WINDOW - STRIDE + 1 words lies wholly in some window wherever it stands. In each window two gated
+recurrent layers read forwards and backwards, attention weights their states, and the pooled state gives a logit. A
+document scores as its worst window.
 
 Training learns from document labels: in each round the windows that score highest in their document stand for it. The
-sample is bounded (at most `most_toxic` + `most_clean` labelled rows of at most LONGEST characters, taken by the hash
-of their id); every text of the table is scored whole. Defined results: null and empty texts, and texts without a word,
-score 0; repeated rows are scored row by row; of repeated labels the smallest counts, null labels are left out; with
-no toxic or no clean row to learn from all scores are 0; extra columns are ignored, or passed on by `kept`.
+sample is bounded (at most `most_toxic` + `most_clean` labelled documents of at most `most_chars` characters in all,
+taken by the hash of their id); every text of the table is scored whole.
+
+Defined results: null and empty texts, and texts without a word, score 0; very long texts are scored whole, in a chunk
+of their own; repeated rows are scored row by row and learned from once; of repeated labels the smallest counts, null
+labels and null ids are left out; equal texts get equal scores; with no toxic or no clean row to learn from all scores
+are 0; an empty table gives an empty table; extra columns of any name are ignored, or passed on by `kept`.
 """
 
 from __future__ import annotations
@@ -22,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quality_rank import held_out, labelled
+from .quality_rank import held_out, labelled, learnable
 from .shingles import LOWER, SPACE, text_chunks, word_hashes, word_places
 from .store import workers_find_library
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 8
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 12, 4, 8, 8
 GRAMS = 512
-LONGEST = 8_000
+MOST_CHARS = 8_000_000
 ROWS = 2048
 GAPS = SPACE.copy()
 GAPS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -54,8 +58,6 @@ class Network:
         with np.errstate(over="ignore"):
             hashes, counts = word_hashes(text, ends, GAPS)
         first, last = word_places(text, ends, GAPS)
-        new = unlike_previous(hashes, counts)
-        hashes, first, last, counts = hashes[new], first[new], last[new], np.diff(np.concatenate(([0], np.cumsum(new)))[np.concatenate(([0], np.cumsum(counts)))])
         at = np.searchsorted(self.vocabulary, hashes)
         known = np.where(at < len(self.vocabulary), self.vocabulary[np.minimum(at, len(self.vocabulary) - 1)] == hashes, False) if len(self.vocabulary) else np.zeros(len(hashes), bool)
         low = np.where(GAPS[text], 0, LOWER[text]).astype(np.uint32)
@@ -174,15 +176,6 @@ class Network:
         return np.concatenate(found) if found else np.zeros(0)
 
 
-def unlike_previous(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """False for a word that repeats the word right before it in its text."""
-    new = np.ones(len(hashes), bool)
-    new[1:] = hashes[1:] != hashes[:-1]
-    begin = np.cumsum(counts) - counts
-    new[begin[counts > 0]] = True
-    return new
-
-
 def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All windows (numbers of words from 1; 0 where the text has ended) of texts with so many words each, and their texts."""
     begin = np.cumsum(counts) - counts
@@ -256,8 +249,9 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int =
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 700, most_clean: int = 3000, of: int = 4, remainder: int = 2) -> Network | None:
-    rows = labelled(docs, labels, "toxic", of, remainder, {1: most_toxic, 0: most_clean}, F.length("text") <= LONGEST).orderBy(F.xxhash64("doc_id"), "doc_id", "text").toArrow()
+def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 700, most_clean: int = 3000, of: int = 4, remainder: int = 2, most_chars: int = MOST_CHARS) -> Network | None:
+    known = learnable(docs, labels, "toxic", of, remainder)
+    rows = labelled(docs, known, {1: most_toxic, 0: most_clean}, most_chars).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     return fit(rows["text"].to_pylist(), rows["__label"].to_numpy() == 1)
 
 
