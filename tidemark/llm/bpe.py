@@ -7,9 +7,11 @@ remembered. The table encodes every prefix of the text, an appended text continu
 only until it agrees with the old one again.
 
 Spark deals the rows; each task fills one table for each distinct piece of its texts, remembers a bounded number of
-pieces and pairs, and streams Arrow batches. Defined results: null text counts as empty (no tokens, digests of nothing);
-repeated rows are encoded row by row; an empty table gives an empty table; extra columns are ignored, those in keep are
-passed on.
+bytes of short pieces and of pairs, and streams Arrow batches.
+
+Defined results: null text counts as empty (no tokens, digests of nothing); very long texts and pieces are encoded whole;
+there are no ties, as ranks differ; repeated rows are encoded row by row; an empty table gives an empty table; extra
+columns of any name are ignored, those in keep are passed on.
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ from pyspark.sql import types as T
 
 from .store import workers_find_library
 
-PIECES_KEPT = 300_000  # and as many of the generation before
-PAIRS_KEPT = 500_000
+#: Bytes of a worker's memo of pieces (and as many of the generation before), what an entry takes besides its text, and the longest text kept.
+MEMO_BYTES, ENTRY, LONGEST_KEPT = 40_000_000, 160, 200
+PAIRS_KEPT = 400_000
 
 
 class PrefixCoder:
@@ -138,30 +141,40 @@ def coder(path: str) -> PrefixCoder:
 
 
 class _Memo(dict):
-    """Ids of a piece, written as decimals with commas. When full, only pieces met again since are kept."""
+    """Ids of a piece, written as decimals with commas. When its bytes run out, only pieces met again since are kept."""
 
     def __init__(self, own: PrefixCoder):
         super().__init__()
-        self.own, self.before = own, {}
+        self.own, self.before, self.held = own, {}, 0
 
     def __missing__(self, piece: str) -> str:
-        if len(self) >= PIECES_KEPT:
-            self.before = dict(self)
-            self.clear()
         ids = self.before.get(piece)
-        self[piece] = ids = ",".join(map(str, self.own.encode(piece.encode()))) if ids is None else ids
+        if ids is None:
+            ids = ",".join(map(str, self.own.encode(piece.encode())))
+        if len(piece) <= LONGEST_KEPT:
+            if self.held >= MEMO_BYTES:
+                self.before, self.held = dict(self), 0
+                self.clear()
+            self.held += 2 * len(piece) + len(ids) + ENTRY
+            self[piece] = ids
         return ids
 
 
 class _Bytes(dict):
+    """Bytes of ids written as decimals with commas."""
+
     def __init__(self, own: PrefixCoder):
         super().__init__()
-        self.own = own
+        self.own, self.held = own, 0
 
     def __missing__(self, ids: str) -> bytes:
-        if len(self) >= PIECES_KEPT:
-            self.clear()
-        self[ids] = text = self.own.decode([int(i) for i in ids.split(",")])
+        text = self.own.decode([int(i) for i in ids.split(",")])
+        if len(ids) <= LONGEST_KEPT:
+            if self.held >= MEMO_BYTES:
+                self.clear()
+                self.held = 0
+            self.held += len(ids) + len(text) + ENTRY
+            self[ids] = text
         return text
 
 
