@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import mixed, text_sets
-from .store import matching, settled, workers_find_library
+from .store import dropped, matching, settled, workers_find_library
 
 TREES, DEPTH = 16, 8
 NEIGHBOURS = 2
@@ -120,7 +120,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def edge(trees, keys, ids):
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.nulls(len(ids), pa.int64()), pa.array(trees, pa.int32()), pa.array([k.tobytes() for k in keys], pa.binary())], names=names)
 
-    held = None
+    held, top = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -130,12 +130,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield edge(trees[:NEIGHBOURS], keys[:NEIGHBOURS], ids[:NEIGHBOURS])
             begin = 0
         else:
-            begin = len(held[2])
-            trees, keys, ids = (np.concatenate((h, x)) for h, x in zip(held, (trees, keys, ids), strict=True))
+            # The head of the run that goes on stands before the rows held back, so that a long run keeps it.
+            before = [np.concatenate((t, h)) for t, h in zip(top, held, strict=True)] if top is not None else held
+            begin = len(before[2])
+            trees, keys, ids = (np.concatenate((h, x)) for h, x in zip(before, (trees, keys, ids), strict=True))
         before, after = _pairs(keys, trees, ids, begin)
         low, high = np.minimum(ids[before], ids[after]), np.maximum(ids[before], ids[after])
         yield pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.nulls(len(low), pa.int32()), pa.nulls(len(low), pa.binary())], names=names)
         held = trees[-NEIGHBOURS:], keys[-NEIGHBOURS:], ids[-NEIGHBOURS:]
+        run = np.flatnonzero(((keys != keys[-1]).any(axis=1)) | (trees != trees[-1]))
+        first = run[-1] + 1 if len(run) else 0
+        top = (trees[first : first + 1], keys[first : first + 1], ids[first : first + 1]) if first < len(ids) - NEIGHBOURS else None
     if held is not None:
         yield edge(*held)
 
@@ -146,9 +151,12 @@ def candidates(nodes: DataFrame) -> DataFrame:
     trees = trees.select("tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("key"), "node")
     order = ("tree", "key", "node")
     found = settled(trees.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, NEIGHBOUR_SCHEMA), "neighbours")
-    # A few rows for each partition: neighbours on both sides of its edges.
-    edges = found.where("b is null").select("tree", "key", F.col("a").alias("node")).coalesce(1).sortWithinPartitions(*order).mapInArrow(_neighbours, NEIGHBOUR_SCHEMA)
-    return found.union(edges).where("b is not null").select("a", "b").distinct()
+    # A few rows for each partition: neighbours on both sides of its edges. They are filtered where they lie; what meets in one
+    # task is 2 * NEIGHBOURS rows for each partition.
+    edges = settled(found.where("b is null").select("tree", "key", F.col("a").alias("node")).repartition(1).sortWithinPartitions(*order).mapInArrow(_neighbours, NEIGHBOUR_SCHEMA), "edges")
+    pairs = settled(found.union(edges).where("b is not null").select("a", "b").distinct(), "candidates")
+    dropped(found, edges)
+    return pairs
 
 
 def similar(shared: Column, one: Column, two: Column, percent: int) -> Column:
@@ -226,7 +234,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 85) -> DataFrame:
     workers_find_library(docs.sparkSession)
     sketches = settled(sketch(docs, width, percent, common_shingles(docs, width)), "sketches")
     classes = settled(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "head")).alias("first")).select("key1", "key2", F.col("first.doc_id").cast("bigint").alias("node"), "first.n_shingles", "first.signature", "first.head"), "classes")
-    tried = settled(confirm(docs, settled(candidates(classes), "candidates"), width, percent), "tried")
+    tried = settled(confirm(docs, candidates(classes), width, percent), "tried")
     more = settled(hubs_of_failed(tried), "hubs")
     links = settled(tried.where("linked").union(confirm(docs, more, width, percent).where("linked")).select("a", "b"), "forest-links")
     of_class = classes.select("key1", "key2", "node").join(completed(docs, classes, links, width, percent), "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component"))
