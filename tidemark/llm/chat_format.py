@@ -9,7 +9,8 @@ forge a turn. A conversation is one row of the result, so its turns are gathered
 
 Defined results: null roles count as "user", null texts as empty; turns are ordered by (turn, role, text), so repeated
 rows stand side by side and all count; rows without a conversation id are left out; conversations that agree wholly
-have empty completions; an empty side has an empty completion; an empty table gives an empty table.
+have empty completions; an empty side has an empty completion; very long texts and conversations are rendered whole; an
+empty table gives an empty table; extra columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -75,7 +76,22 @@ def format_pairs(pairs: DataFrame, *keep: str) -> DataFrame:
 
 
 def against_neighbours(turns: DataFrame) -> DataFrame:
-    """conv_id, chosen, rejected: each conversation, against itself with the last answer of the conversation whose number differs in the last bit."""
-    whole = gathered(turns)
-    answers = whole.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), last_answer(F.col("turns")).alias("__answer"))
-    return whole.join(answers, "conv_id", "left").select("conv_id", F.col("turns").alias("chosen"), with_last_answer(F.col("turns"), F.col("__answer")).alias("rejected"))
+    """conv_id, chosen, rejected: each conversation, against itself with the last answer of the conversation whose number differs in the last bit.
+
+    conv_id is an integer. Turns are shuffled once, by the number without its last bit.
+    """
+    ids, role, text = F.col("conv_id").cast("bigint"), F.coalesce(F.col("role").cast("string"), F.lit("user")), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.struct(ids.alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), role.alias("role"), text.alias("text"))
+    both = turns.where("conv_id is not null").groupBy(ids.bitwiseAND(F.lit(-2)).alias("__pair")).agg(F.sort_array(F.collect_list(row)).alias("__rows"))
+
+    def side(conv_id: Column) -> Column:
+        return F.transform(F.filter("__rows", lambda t: t["conv_id"] == conv_id), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+
+    sides = both.select("__pair", side(F.col("__pair")).alias("__a"), side(F.col("__pair") + 1).alias("__b"))
+    each = F.array(
+        F.struct(F.col("__pair").alias("conv_id"), F.col("__a").alias("turns"), last_answer(F.col("__b")).alias("answer")),
+        F.struct((F.col("__pair") + 1).alias("conv_id"), F.col("__b").alias("turns"), last_answer(F.col("__a")).alias("answer")),
+    )
+    one = sides.select(F.explode(each).alias("__s")).where(F.size("__s.turns") > 0)
+    kind = turns.schema["conv_id"].dataType
+    return one.select(F.col("__s.conv_id").cast(kind).alias("conv_id"), F.col("__s.turns").alias("chosen"), with_last_answer(F.col("__s.turns"), F.col("__s.answer")).alias("rejected"))
