@@ -8,8 +8,14 @@ numbers that pass the Luhn test pass it again, names keep script and gender (by
 each other and against all real entities of their type; whoever collides takes the next number of the hash until none
 does, so different entities stay different.
 
-Only entities and mentions are shuffled. Defined results: null text stays null and has no entities; repeated rows get
-equal results; an empty table gives an empty table; extra columns named in keep are passed on.
+A name is a title with up to three words; each word has a surrogate of its own, so that "Mrs Anna Keller" and "Mr Keller"
+keep their common word in common. Surrogates of names and e-mail addresses grow with each draw, so they do not run out.
+
+The patterns run once over each text, and once more over those few that hold an entity; only mentions are shuffled, and
+the texts of documents that can hold one. Defined results: null text stays null and has no entities, and so does an empty
+one; very long texts are read whole; repeated rows get equal results; where patterns overlap the first in PATTERNS wins;
+an empty table gives an empty table; extra columns of any name are ignored, those named in keep are passed on (a column
+text among them is the changed one).
 """
 
 from __future__ import annotations
@@ -17,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import settled
+from .store import free_names, settled
 
 #: What each type looks like. An alternative can only begin where a word or number begins, so long words cost linear time.
 PATTERNS = {
@@ -27,7 +33,7 @@ PATTERNS = {
     "card": r"(?<!\d)\d{4}(?:[ -]?\d{4}){3}(?!\d)",
     "phone": r"(?<![\d+])\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]?\d{2,4}){2,3}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "name": r"(?<!\p{L})(?:Mrs|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señora|Señor|Господин|Госпожа)\.? \p{Lu}\p{Ll}{1,30}",
+    "name": r"(?<!\p{L})(?:Mrs|Mr|Ms|Miss|Herr|Frau|Monsieur|Madame|Señora|Señor|Господин|Госпожа)\.? \p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30}){0,2}",
 }
 ANY = "|".join(PATTERNS.values())
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа")
@@ -35,6 +41,19 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа")
 LATIN = ("al", "be", "cor", "da", "el", "fin", "gar", "ho", "in", "jo", "ka", "lem", "mor", "na", "or", "per")
 CYRILLIC = ("ал", "бе", "вор", "да", "ел", "фин", "гор", "хо", "ин", "ко", "ла", "лем", "мор", "на", "ор", "пер")
 ROUNDS = 50
+#: E-mail addresses get a letter more with each draw beyond these.
+SAME_LENGTH = 4
+MOST_MENTIONS = 200_000
+#: What a text with an entity must hold.
+TITLES = ("Mrs", "Mr", "Ms", "Miss", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Господин", "Госпожа")
+
+
+def may_hold(text: Column) -> Column:
+    """False only for texts in which no pattern can match: a cheap test before the patterns."""
+    titled = F.lit(False)
+    for title in TITLES:
+        titled = titled | text.contains(title)
+    return F.coalesce(text.contains("@") | text.rlike("[0-9]") | titled | text.rlike("AKIA|gh[pousr]_|sk-|[A-Fa-f]{32}"), F.lit(False))
 
 
 def entity_type(mention: Column) -> Column:
@@ -90,10 +109,19 @@ def surrogate(kind: Column, entity: Column, turn: Column, secret: str) -> Column
     octets = F.array_join(F.transform(F.split(entity, r"\."), lambda o, i: (_draw(stream, i, 222) + 1).cast("string")), ".")
     base = F.substring(shaped, 1, 15)
     card = F.concat(base, F.pmod(-_luhn(F.concat(base, F.lit("0"))), F.lit(10)).cast("string"))
+    longer = F.when((kind == "email") & (turn > SAME_LENGTH), F.array_join(F.transform(F.sequence(F.lit(1), turn - SAME_LENGTH), lambda i: F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), _draw(stream, i, 26) + 1, F.lit(1))), ""))
     title = F.substring_index(entity, " ", 1)
-    syllable = lambda i: F.when(entity.rlike(r"\p{IsCyrillic}"), F.element_at(F.array(*map(F.lit, CYRILLIC)), _draw(stream, i, 16) + 1)).otherwise(F.element_at(F.array(*map(F.lit, LATIN)), _draw(stream, i, 16) + 1))
+
+    def renamed(word: Column) -> Column:
+        own = F.sha2(F.concat_ws("|", F.lit(secret), F.lit("word"), word, turn.cast("string")), 512)
+        latin, cyrillic = (F.array(*map(F.lit, x)) for x in (LATIN, CYRILLIC))
+        syllable = lambda i: F.element_at(F.when(word.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin), _draw(own, i, 16) + 1)
+        return F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), turn + 2), syllable), ""))
+
+    words = F.split(entity, " ")
     ending = F.when(title.isin(*FEMALE), F.when(entity.rlike(r"\p{IsCyrillic}"), F.lit("а")).otherwise(F.lit("a"))).otherwise(F.lit(""))
-    name = F.concat(title, F.lit(" "), F.initcap(F.concat(F.array_join(F.transform(F.sequence(F.lit(0), turn + 2), syllable), ""), ending)))
+    name = F.concat(title, F.lit(" "), F.array_join(F.transform(F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))), renamed), " "), ending)
+    shaped = F.concat(F.coalesce(longer, F.lit("")), shaped)
     return F.when(kind == "ip", octets).when((kind == "card") & (F.pmod(_luhn(entity), F.lit(10)) == 0), card).when(kind == "name", name).otherwise(shaped)
 
 
@@ -105,8 +133,8 @@ def formatted(mention: Column, kind: Column, entity: Column, stand_in: Column) -
         lambda a, c: F.struct(F.concat(a["text"], F.when(c.rlike("[0-9]"), F.substring(digits, a["at"], F.lit(1))).otherwise(c)).alias("text"), (a["at"] + c.rlike("[0-9]").cast("int")).alias("at")),
         lambda a: a["text"],
     )
-    upper = F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike(r"[A-Z]"), F.upper(F.substring(stand_in, i + 1, F.lit(1)))).otherwise(F.substring(stand_in, i + 1, F.lit(1))))
-    dotted = F.concat(F.regexp_extract(mention, r"^(\p{L}+\.? )", 1), F.substring_index(stand_in, " ", -1))
+    upper = F.transform(F.split(stand_in, ""), lambda c, i: F.when(F.substring(mention, i + 1, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c))
+    dotted = F.concat(F.regexp_extract(mention, r"^(\p{L}+\.? )", 1), F.regexp_replace(stand_in, r"^\S+ ", ""))
     return F.when(kind.isin("card", "ssn", "phone"), refill).when(kind == "email", F.array_join(upper, "")).when(kind == "name", dotted).otherwise(stand_in)
 
 
@@ -127,23 +155,43 @@ def assigned(entities: DataFrame, secret: str) -> DataFrame:
     raise ValueError(f"more entities of one type than surrogates: collisions are left after {ROUNDS} rounds")
 
 
+def _text_key(text: Column) -> Column:
+    """128 bits: texts of one key are equal."""
+    return F.struct(F.xxhash64(text, F.length(text)).alias("one"), F.xxhash64(F.lit(1), text).alias("two"))
+
+
 def replace(docs: DataFrame, secret: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, text with surrogates, n_entities (mentions), kinds (array of (kind, mentions))."""
+    kept = [c for c in keep if c.lower() != "text"]
+    key, found = free_names(docs, "key", "found")
     text = F.col("text").cast("string")
-    found = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))).alias("mention")).distinct()
-    typed = found.select("mention", entity_type(F.col("mention")).alias("kind"))
+    # One pass of the patterns: the mentions of each text that has some.
+    met = docs.where(may_hold(text)).select(text.alias("text")).select(_text_key(F.col("text")).alias("key"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("mentions"))
+    touched = settled(met.where(F.size("mentions") > 0), "touched")
+    distinct = touched.select(F.explode(F.array_distinct("mentions")).alias("mention")).distinct()
+    typed = distinct.select("mention", entity_type(F.col("mention")).alias("kind"))
     mentions = settled(typed.select("mention", "kind", canonical(F.col("mention"), F.col("kind")).alias("entity")), "mentions")
     names = assigned(settled(mentions.select("kind", "entity").distinct(), "entities"), secret)
     shown = settled(mentions.join(names, ["kind", "entity"]).select("mention", "kind", formatted(F.col("mention"), F.col("kind"), F.col("entity"), F.col("surrogate")).alias("shown")), "shown")
 
-    # Rows that mention something: their text is cut at the mentions, which are looked up one by one and put back in order.
-    row = F.xxhash64(text, F.length(text))
-    touched = docs.where(text.rlike(ANY)).select(row.alias("__row"), text.alias("__text")).dropDuplicates(["__row"])
-    places = touched.select("__row", F.posexplode(F.regexp_extract_all("__text", F.lit(ANY), F.lit(0))).alias("at", "mention"))
-    filled = places.join(shown, "mention").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("at", "shown", "kind"))).alias("__found"))
-    kept = docs.select(*keep, text.alias("text"), F.when(text.rlike(ANY), row).alias("__row"))
-    untouched = kept.where("__row is null").select(*keep, "text", F.lit(0).cast("long").alias("n_entities"), F.array().cast("array<string>").alias("kinds"))
+    # Mentions are looked up one by one and put back in order, a row for each text.
+    few = shown.count() <= MOST_MENTIONS
+    places = touched.dropDuplicates(["key"]).select("key", F.posexplode("mentions").alias("at", "mention"))
+    filled = places.join(F.broadcast(shown) if few else shown, "mention").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "shown", "kind"))).alias("found"))
+    filled = settled(filled.select(F.col("key").alias(key), F.col("found").alias(found)), "filled")
+
+    # The texts of those rows are cut at their mentions. Rows that cannot hold any stay where they are.
+    rows = docs.select(*kept, text.alias("text"))
+    few = places.count() <= MOST_MENTIONS
+    tested = F.when(may_hold(F.col("text")), _text_key(F.col("text")))
+    if few:
+        joined, rest = rows.withColumn(key, tested).join(F.broadcast(filled), key, "left"), None
+    else:
+        joined, rest = rows.where(may_hold(F.col("text"))).withColumn(key, _text_key(F.col("text"))).join(filled, key, "left"), rows.where(~may_hold(F.col("text")))
     parts = F.split(F.col("text"), ANY, -1)
-    joined = F.array_join(F.zip_with(parts, "__found", lambda a, b: F.concat(a, F.coalesce(b["shown"], F.lit("")))), "")
-    changed = kept.where("__row is not null").join(filled, "__row").select(*keep, joined.alias("text"), F.size("__found").cast("long").alias("n_entities"), F.array_sort(F.array_distinct(F.transform("__found", lambda f: f["kind"]))).alias("kinds"))
-    return untouched.unionByName(changed)
+    whole = F.array_join(F.zip_with(parts, F.transform(found, lambda f: f["shown"]), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    kinds = F.array_sort(F.array_distinct(F.transform(found, lambda f: f["kind"])))
+    nothing = F.lit(0).cast("long"), F.array().cast("array<string>")
+    has = F.col(found).isNotNull()
+    changed = joined.select(*kept, F.when(has, whole).otherwise(F.col("text")).alias("text"), F.when(has, F.size(found).cast("long")).otherwise(nothing[0]).alias("n_entities"), F.when(has, kinds).otherwise(nothing[1]).alias("kinds"))
+    return changed if rest is None else changed.unionByName(rest.select(*kept, "text", nothing[0].alias("n_entities"), nothing[1].alias("kinds")))
