@@ -11,19 +11,22 @@ so that no place of a base phrase depends on the number of looked-up words.
 The document frequencies behind the IDF come from all files. Both passes work row by row; no text is shuffled, and only
 one count for each template word reaches the driver.
 
-Defined results: null text counts as empty (no words, no labels, score 0); repeated rows are scanned row by row; with
-no files at all every template word has the same IDF and ties go to the word itself; extra columns are ignored, columns
-named in keep are passed on.
+Defined results: null text counts as empty (no words, no labels, score 0); very long texts are scanned whole; repeated
+rows are scanned row by row; words of equal IDF are ordered by themselves; an empty table gives an empty table; extra
+columns of any name are ignored, columns named in keep are passed on.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import license_texts
+
 #: The base phrases and their labels.
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
 
@@ -36,31 +39,19 @@ class Template:
 
     @property
     def words(self) -> list[str]:
-        return self.text.split()
+        return re.findall("[0-9a-z]+", self.text.lower())
+
+    @property
+    def key_words(self) -> list[str]:
+        return re.findall("[0-9a-z]+", self.key.lower())
 
     @property
     def key_at(self) -> int:
-        key, words = self.key.split(), self.words
+        key, words = self.key_words, self.words
         return next(i for i in range(len(words)) if words[i : i + len(key)] == key)
 
 
-#: Opening words of public licences, lower-cased and without punctuation.
-TEMPLATES = (
-    Template("gpl-3.0", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    Template("gpl-2.0", "licensed under the gnu general public license version 2", "gnu general public license version 2"),
-    Template("lgpl", "licensed under the gnu lesser general public license", "gnu lesser general public license"),
-    Template("agpl-3.0", "licensed under the gnu affero general public license", "gnu affero general public license"),
-    Template("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
-    Template("mit-named", "released under the mit license", "mit license"),
-    Template("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge"),
-    Template("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
-    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4 0"),
-    Template("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa 4 0"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms"),
-    Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    Template("isc", "permission to use copy modify and or distribute this software for any purpose", "modify and or distribute this software"),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
-)
+TEMPLATES = tuple(Template(*entry) for entry in license_texts.NOTICES + license_texts.WHOLE)
 
 #: Runs of these end a word: ASCII but for digits and letters.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -101,11 +92,11 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), templates: tuple[
     anchors = sorted({words[at] for words, _, at in phrases})
     postings = {w: [(t, i) for t, x in enumerate(templates) for i, v in enumerate(x.words) if v == w] for w in by_idf}
     posting_map = F.create_map(*[c for w in by_idf for c in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(i).alias("p")) for t, i in postings[w]]).cast("array<struct<t:int,p:int>>"))])
-    shapes = F.array(*[F.struct(F.lit(x.label).alias("label"), _strings(x.words).alias("words"), _strings(x.key.split()).alias("key"), F.lit(x.key_at).alias("key_at")) for x in templates])
+    shapes = F.array(*[F.struct(F.lit(x.label).alias("label"), _strings(x.words).alias("words"), _strings(x.key_words).alias("key"), F.lit(x.key_at).alias("key_at")) for x in templates])
 
     rarest_two = lambda words: sorted(set(words), key=lambda w: (-weights[w], w))[:VOTES]
     # A key phrase of a single word does not give two votes: all words of its template are looked up.
-    needed = [(t.key.split(), rarest_two(t.key.split()) if len(set(t.key.split())) >= VOTES else t.words) for t in templates]
+    needed = [(t.key_words, rarest_two(t.key_words) if len(set(t.key_words)) >= VOTES else t.words) for t in templates]
 
     cut = docs.select(*keep, words_of(F.col("text")).alias("__w"))
     cut = cut.select("*", F.array_intersect(_strings(by_idf), F.col("__w")).alias("__met"))

@@ -25,7 +25,7 @@ by_doc AS (SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN removed THEN 1
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed FROM documents d LEFT JOIN by_doc USING (doc_id)"""
 
 _PHRASES = ", ".join(f"({_list(p.split())}, '{label}')" for p, label in license_scan.BASE)
-_TEMPLATES = ", ".join(f"('{t.label}', {_list(t.words)}, {_list(t.key.split())}, {t.key_at})" for t in license_scan.TEMPLATES)
+_TEMPLATES = ", ".join(f"('{t.label}', {_list(t.words)}, {_list(t.key_words)}, {t.key_at})" for t in license_scan.TEMPLATES)
 LICENCES = rf"""WITH texts AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 phrases(p, label) AS (VALUES {_PHRASES}), templates(label, t, k, pos) AS (VALUES {_TEMPLATES}),
 hits AS (SELECT doc_id, label, i - 1 AS i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts) JOIN phrases ON w[i] = p[1] AND w[i:i + len(p) - 1] = p),

@@ -9,7 +9,8 @@ off in that stratum.
 
 Defined results: null text counts as empty (no words, base_failed, not kept); a null or unlisted language belongs to
 the stratum "other"; repeated rows are judged row by row; null labels are left out, and of repeated labels of one
-doc_id the smallest counts; empty tables give empty results; extra columns of either table are ignored.
+doc_id the smallest counts; very long texts are read whole; a statistic equal to the cutoff does not reject; empty
+tables give empty results; extra columns of either table, of any name, are ignored.
 """
 
 from __future__ import annotations
