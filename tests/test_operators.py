@@ -95,14 +95,50 @@ def test_labels_at_the_edges(spark):
 
 
 def test_predicates_parse_and_refuse(spark):
-    df = features.price_features(series(spark, [100.0, 101.0, 99.0, 120.0])).withColumn("4h_return_1", F.lit(1.0))
-    both = predicates.predicate("rising_and_4h_rising_or_quiet_volume", "long", df.columns)
-    assert df.where(both).count() == df.where("return_1 > 0").count()
+    df = features.price_features(series(spark, [100.0, 101.0, 99.0, 120.0])).withColumnsRenamed({"return_1": "mom", "volume_ratio": "vol_ratio"}).withColumn("4h_mom", F.lit(1.0))
+    hold = lambda name, side="long", **more: df.where(predicates.predicate(name, side, df.columns, **more)).count()
+    rising = df.where("mom > 0").count()
+    assert hold("mom_positive_and_4h_mom_positive_or_low_volume") == rising == hold(["mom_positive", "&", "4h_mom_positive"]) == hold("c1", codes={"c1": "mom_positive"})
+    assert hold("mom_positive_long") == rising and hold("mom_positive_short") == 0 and hold("mom_positive", "short") == df.where("mom < 0").count()
+    assert hold(["mom_positive", "|", "__all"]) == 4
     with pytest.raises(ValueError, match="unknown"):
-        predicates.predicate("falling_stars", "long", df.columns)
-    with pytest.raises(ValueError, match="needs the column"):
-        predicates.predicate("1d_rising", "long", df.columns)
-    assert len(predicates.crossed(["rising", "wide_range"], ["4h", "15m"])) == 8
+        hold("falling_stars")
+    with pytest.raises(ValueError, match="no predicate"):
+        hold("baseline")
+    with pytest.raises(ValueError, match="needs the columns"):
+        hold("1d_mom_positive")
+    assert len(predicates.crossed(["mom_positive", "low_volume"], ["4h", "15m"])) == 8
+    assert predicates.allowed_sides("rsi_oversold_and_low_vol") == ["long"] and predicates.allowed_sides("rsi_oversold_and_4h_rsi_overbought") == []
+    assert predicates.with_side("long_liq_spike", "flow") == ("long_liq_spike", None) and predicates.with_side("4h_long_liq_spike_short", "flow") == ("4h_long_liq_spike", "short")
+    assert predicates.stack_of(["__summary__", "rsi_overbought", "low_vol"]) == [("rsi_overbought", "short"), ("low_vol", "long"), ("low_vol", "short")]
+    assert predicates.without_anchors([("btc_up_and_low_vol", "long"), ("low_vol", "long")], ["BTCUSDT"]) == [("low_vol", "long")]
+    assert df.where(predicates.anchor_state([{"col": "mom", "op": ">", "val": 0.0}], df.columns)).count() == rising
+
+
+def open_bar(*trades, **kwargs):
+    bar = live.OpenBar(60, kwargs.get("discard_first", False), kwargs.get("most_empty", 100), None)
+    for trade in trades:
+        bar.trade(*trade)
+    return bar
+
+
+def test_open_bar_counts_and_flat_bars():
+    at = lambda s: (1_700_000_040 + s) * 1_000_000
+    bar = open_bar((at(0), 1, 10.0, 1.0), (at(1), 2, 12.0, 1.0), (at(2), 2, 99.0, 1.0), (at(61), 6, 11.0, 2.0), (at(3), 7, 50.0, 1.0), (at(250), 8, 9.0, 1.0), (at(251), 9, -1.0, 1.0), (at(99_999), 10, 5.0, 1.0))
+    first, second, empty, *_ = [dict(zip(live.SHOWN, b, strict=True)) for b in bar.closed]
+    # Numbers left out are charged to the bar that was open.
+    assert (first["open"], first["high"], first["close"], first["trades"], first["duplicate"], first["missing"], first["gaps"]) == (10, 12, 12, 2, 1, 3, 1)
+    assert (second["late"], second["trades"], second["volume"], second["missing"]) == (1, 1, 2.0, 0)
+    assert (empty["open"], empty["close"], empty["volume"], empty["trades"]) == (11, 11, 0, 0)
+    assert len(bar.closed) == 4 and bar.s["implausible"] == 2
+    assert len(open_bar((at(0), 1, 10.0, 1.0), (at(61), 2, 1.0, 1.0), (at(130), 3, 1.0, 1.0), discard_first=True).closed) == 1
+    held = open_bar((at(0), 1, 10.0, 1.0))
+    held.quote(at(70), 5.0, None)
+    held.quote(at(10), 4.0, 6.0)
+    assert (held.s["bid"], held.s["ask"]) == (4.0, 6.0)
+    again = type(held)(60, False, 100, held.state())
+    again.trade(at(65), 2, 10.0, 1.0)
+    assert (again.s["bid"], again.s["ask"]) == (5.0, 6.0) and again.closed[0][7] == 4.0
 
 
 def test_lots_round_half_to_even(spark):

@@ -24,7 +24,8 @@ def expiries(chain: DataFrame) -> DataFrame:
 def daily_panel(chain: DataFrame) -> DataFrame:
     """Spot, at-the-money strike of the weekly expiry with its volatilities, term ratio, open interest, wings at 25 delta."""
     marked = with_mark(chain).join(expiries(chain), ["asset", "day"])
-    spot = marked.groupBy("asset", "day").agg(F.min_by("spot", "seq").alias("spot_open"), F.max_by("spot", "seq").alias("spot_close"))
+    when = F.struct("seq", "spot", "strike", "expiry", "kind")  # seq alone may repeat
+    spot = marked.groupBy("asset", "day").agg(F.min_by("spot", when).alias("spot_open"), F.max_by("spot", when).alias("spot_close"))
     base = marked.drop("spot").join(spot, ["asset", "day"])
     week = F.col("expiry") == F.col("weekly")
     atm = base.where(week).groupBy("asset", "day").agg(F.min_by("strike", F.struct(F.abs(F.col("strike") - F.col("spot_close")), F.col("strike"))).alias("atm"))

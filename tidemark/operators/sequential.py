@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -83,31 +84,82 @@ def parabolic_stop(bars: DataFrame, step: float = 0.02, most: float = 0.2) -> Da
     return _per_series(bars, ["stop"], run)
 
 
-def rolling_quantile(rows: DataFrame, column: str, quantiles: tuple[float, ...], n: int, least: int) -> DataFrame:
-    """Interpolated quantiles of long frames; a sliding window expression sorts each frame anew."""
+def exponential(rows: DataFrame, column: str, spans: tuple[int, ...], by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """<column>_ewm<span>: s += 2 / (span + 1) (x - s), from the first value on; null values are passed over."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
+        x = g[column].to_numpy(float)
+        return g.assign(**{f"{column}_ewm{n}": smoothed(x, 1, 2 / (n + 1)) for n in spans})
+
+    return _per_series(rows, [f"{column}_ewm{n}" for n in spans], run, by)
+
+
+def more_recursive(bars: DataFrame) -> DataFrame:
+    """Relative strength of 7 and 28 rows, chande momentum, true ranges of 10, 14 and 60 rows, directional indices, triple exponential change, stochastic strength."""
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        high, low, close = (g[c].to_numpy(float) for c in ("high", "low", "close"))
+        step = np.diff(close, prepend=np.nan)
+        gains, losses = np.maximum(step, 0), np.maximum(-step, 0)
+        before = np.concatenate(([np.nan], close[:-1]))
+        true = np.maximum(high, before) - np.minimum(low, before)
+        rise, fall = np.diff(high, prepend=np.nan), -np.diff(low, prepend=np.nan)
+        up = np.where(np.isnan(rise), np.nan, np.where((rise > fall) & (rise > 0), rise, 0.0))
+        down = np.where(np.isnan(fall), np.nan, np.where((fall > rise) & (fall > 0), fall, 0.0))
+        triple = ema(ema(ema(close, 30), 30), 30)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            strength = {n: 100 * wilder(gains, n) / (wilder(gains, n) + wilder(losses, n)) for n in (7, 14, 28)}
+            atr = {n: wilder(true, n) for n in (10, 14, 60)}
+            plus, minus = 100 * wilder(up, 14) / atr[14], 100 * wilder(down, 14) / atr[14]
+            series = pd.Series(strength[14])
+            least, most = series.rolling(5).min(), series.rolling(5).max()
+            found = {
+                "rsi_7": strength[7], "rsi_28": strength[28], "cmo": 2 * strength[14] - 100, "atr_10": atr[10], "atr_60": atr[60], "natr": 100 * atr[14] / close, "plus_di": plus, "minus_di": minus,
+                "dx": 100 * np.abs(plus - minus) / (plus + minus), "trix": 100 * (triple / np.concatenate(([np.nan], triple[:-1])) - 1), "stochrsi_k": (100 * (series - least) / (most - least)).to_numpy(),
+            }
+        found["stochrsi_d"] = pd.Series(found["stochrsi_k"]).rolling(3).mean().to_numpy()
+        return g.assign(**{k: np.where(np.isfinite(v), v, np.nan) for k, v in found.items()})
+
+    return _per_series(bars, ["rsi_7", "rsi_28", "cmo", "atr_10", "atr_60", "natr", "plus_di", "minus_di", "dx", "trix", "stochrsi_k", "stochrsi_d"], run)
+
+
+def rolling_quantile(rows: DataFrame, column: str, quantiles: tuple[float, ...], n: int, least: int, block: int = 20_000) -> DataFrame:
+    """Interpolated quantiles of long frames; a sliding window expression sorts each frame anew.
+
+    A series is dealt in blocks of rows, each with the n - 1 rows before it, so that a long one is no single task.
+    """
+    numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy("symbol").orderBy("t")) - 1)
+    own = F.floor(F.col("__n") / block)
+    reach = F.floor((F.col("__n") + n - 1) / block)
+    dealt = numbered.withColumn("__block", F.explode(F.sequence(own, reach)))
+    names = [f"{column}_q{round(q * 100)}" for q in quantiles]
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("__n", kind="stable").reset_index(drop=True)
         over = g[column].astype(float).rolling(n, min_periods=least)
-        return g.assign(**{f"{column}_q{round(q * 100)}": over.quantile(q) for q in quantiles})
+        found = g.assign(**{name: over.quantile(q) for name, q in zip(names, quantiles, strict=True)})
+        return found[g["__n"] // block == g["__block"]].drop(columns=["__n", "__block"])
 
-    return _per_series(rows, [f"{column}_q{round(q * 100)}" for q in quantiles], run)
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(a, T.DoubleType()) for a in names]])
+    return dealt.groupBy("symbol", "__block").applyInPandas(run, schema)
 
 
-def positions_by_score(rows: DataFrame, score: str = "z", enter: float = 2.0, leave: float = 0.5, stop: float | None = None, longest: int | None = None, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
-    """-1, 0 or 1: against the score beyond enter, out within leave, beyond stop or after so many rows."""
+def positions_by_score(rows: DataFrame, score: str = "z", enter: float = 2.0, leave: float = 0.5, stop: float = 0.0, longest: int = 0, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """-1, 0 or 1: against a score beyond enter, until it is within leave, beyond stop, or held for more than `longest` rows.
+
+    A position opens only from 0 and is never turned at once. The row that opens counts as held, and so do rows without
+    a score, on which nothing changes. stop or longest of 0: no such rule.
+    """
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         held, age, out = 0, 0, []
         for z in g[score].to_numpy(float):
-            if np.isnan(z):
-                out.append(float(held))
-                continue
             if held:
                 age += 1
-                if abs(z) <= leave or (stop is not None and abs(z) >= stop) or (longest is not None and age >= longest) or (z < 0) != (held > 0):
+                if abs(z) < leave or (stop and abs(z) > stop) or (longest and age > longest and not np.isnan(z)):
                     held = 0
-            elif abs(z) >= enter and (stop is None or abs(z) < stop):
-                held, age = (-1 if z > 0 else 1), 0
+            elif abs(z) > enter:
+                held, age = (-1 if z > 0 else 1), 1
             out.append(float(held))
         return g.assign(position=out)
 

@@ -5,8 +5,6 @@ Doubles are rounded on both sides, since sums are taken in another order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,28 +13,11 @@ from ..operators import asof, bars, decisions, features, labels, ml, options, pa
 from ..operators import windows as W
 from ..sources import driver_tables as tables
 from . import oracles as sql
+from .registry import HOUR, ORACLES, QUERIES, query, rounded
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-HOUR = 3600
 LADDER = {"horizon": 4, "step": 0.01, "most": 4, "fee": 0.0005}
 
 
-def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
-    def keep(f: Query) -> Query:
-        QUERIES[name] = f
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return f
-
-    return keep
-
-
-def rounded(df: DataFrame, columns: str, digits: int = 6) -> list:
-    return [(F.round(c, digits) + 0.0).alias(c) for c in columns.split()]  # no negative zeros
-
-
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.uniform_bars(tables.ticks(spark, sf_dir), tables.quotes(spark, sf_dir), HOUR)
 
@@ -194,18 +175,6 @@ def indicators(spark, sf_dir):
     return df.select("symbol", "t", *rounded(df, INDICATED, 4))
 
 
-@query("recursive_indicators")
-def recursive_indicators(spark, sf_dir):
-    df = sequential.recursive_indicators(tables.candles(spark, sf_dir))
-    return df.select("symbol", "t", *rounded(df, "ema_12 macd macd_signal rsi atr adx"))
-
-
-@query("parabolic_stop")
-def parabolic_stop(spark, sf_dir):
-    df = sequential.parabolic_stop(tables.candles(spark, sf_dir))
-    return df.select("symbol", "t", F.round("stop", 4).alias("stop"))
-
-
 @query("long_quantiles", f"WITH {sql.CANDLES} SELECT symbol, t, round({sql.rolled('quantile_cont(close, 0.5)', 'close', 120)}, 4) AS close_q50, round({sql.rolled('quantile_cont(close, 0.9)', 'close', 120)}, 4) AS close_q90 FROM candles")
 def long_quantiles(spark, sf_dir):
     df = sequential.rolling_quantile(tables.candles(spark, sf_dir), "close", (0.5, 0.9), 120, 120)
@@ -244,13 +213,14 @@ def target_within_bar(spark, sf_dir):
     return df.select("symbol", "t", "hit_at", F.round("target", 6).alias("target"))
 
 
-@query("predicate_slices", f"""WITH {sql.CANDLES}, {sql.PRICE.format(source='candles')}, q AS (SELECT *, {sql.mean('close', 7)} AS sma_7, {sql.rolled('quantile_cont(range_pct, 0.5)', 'range_pct', 20)} AS range_pct_q50 FROM price)
-  SELECT symbol, t, 'volume_surge_and_above_average' AS predicate, 'long' AS side FROM q WHERE volume_ratio > 2 AND close > sma_7 UNION ALL SELECT symbol, t, 'rising_and_wide_range_or_quiet_volume', 'short' FROM q WHERE return_1 < 0 AND (coalesce(range_pct > range_pct_q50, false) OR coalesce(volume_ratio < 1, false))""")
+@query("predicate_slices", f"""WITH {sql.CANDLES}, {sql.PRICE.format(source='candles')}, q AS (SELECT *, {sql.mean('close', 7)} AS mvg1, {sql.mean('close', 25)} AS mvg2, {sql.rolled('quantile_cont(range_pct, 0.5)', 'range_pct', 20)} AS range_pct_q50 FROM price)
+  SELECT symbol, t, 'vol_breakout_and_above_all_mas' AS predicate, 'long' AS side FROM q WHERE volume_ratio > 2 AND close > mvg1 AND close > mvg2 UNION ALL SELECT symbol, t, 'mom_positive_and_high_vol_or_low_volume', 'short' FROM q WHERE return_1 < 0 AND (coalesce(range_pct > range_pct_q50, false) OR coalesce(volume_ratio < 1, false))""")
 def predicate_slices(spark, sf_dir):
     w = W.series()
     rows = features.price_features(tables.candles(spark, sf_dir))
-    rows = rows.select("*", W.mean(F.col("close"), 7, w).alias("sma_7"), W.quantile(F.col("range_pct"), 0.5, 20, w).alias("range_pct_q50"))
-    stack = [("volume_surge_and_above_average", "long"), ("rising_and_wide_range_or_quiet_volume", "short")]
+    rows = rows.select("*", W.mean(F.col("close"), 7, w).alias("mvg1"), W.mean(F.col("close"), 25, w).alias("mvg2"), W.quantile(F.col("range_pct"), 0.5, 20, w).alias("price_range_pct_q50"))
+    rows = rows.withColumnsRenamed({"range_pct": "price_range_pct", "volume_ratio": "vol_ratio", "return_1": "mom"})
+    stack = [("vol_breakout_and_above_all_mas", "long"), ("mom_positive_and_high_vol_or_low_volume", "short")]
     return predicates.sliced(rows, stack).select("symbol", "t", "predicate", "side")
 
 
@@ -330,15 +300,18 @@ def walk_forward_windows(spark, sf_dir):
     return rows.groupBy("symbol", "window", "test").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("close"), 2).alias("total"))
 
 
-@query("score_positions")
+@query("score_positions", f"""WITH RECURSIVE {sql.PAIRS}, k AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY t) AS i FROM scores), run AS (SELECT pair, CAST(0 AS BIGINT) AS i, 0 AS held, 0 AS age FROM (SELECT DISTINCT pair FROM k)
+  UNION ALL SELECT pair, i, CASE WHEN out THEN 0 WHEN held <> 0 THEN held WHEN z < -2 THEN 1 WHEN z > 2 THEN -1 ELSE 0 END, CASE WHEN out THEN 0 WHEN held <> 0 THEN age + 1 WHEN abs(z) > 2 THEN 1 ELSE 0 END
+    FROM (SELECT k.pair, k.i, k.z, held, age, held <> 0 AND k.z IS NOT NULL AND (abs(k.z) < 0.5 OR abs(k.z) > 4 OR age + 1 > 60) AS out FROM run r JOIN k ON k.pair = r.pair AND k.i = r.i + 1)) SELECT k.pair, k.t, round(z, 6) AS z, CAST(held AS DOUBLE) AS position FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i""")
 def score_positions(spark, sf_dir):
     rows = pairs.scored(pairs.hedged(pairs.aligned(tables.candles(spark, sf_dir))))
     return sequential.positions_by_score(rows, by=("pair",), stop=4.0, longest=60).select("pair", "t", F.round("z", 6).alias("z"), "position")
 
 
-@query("kalman_hedge")
+@query("kalman_hedge", f"""WITH RECURSIVE {sql.PAIRS}, k AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY t) AS i FROM pairs), run AS (SELECT pair, CAST(0 AS BIGINT) AS i, CAST(0 AS DOUBLE) AS shown, CAST(0 AS DOUBLE) AS slope, CAST(1 AS DOUBLE) AS var FROM (SELECT DISTINCT pair FROM k)
+  UNION ALL SELECT pair, i, slope, slope + gain * (y - slope * x), v * (1 - gain * x) FROM (SELECT *, v * x / (x * x * v + 1e-3) AS gain FROM (SELECT k.pair, k.i, k.x, k.y, slope, var + 1e-4 AS v FROM run r JOIN k ON k.pair = r.pair AND k.i = r.i + 1))) SELECT k.pair, k.t, round(shown, 6) + 0.0 AS hedge FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i""")
 def kalman_hedge(spark, sf_dir):
-    return sequential.kalman_hedge(pairs.aligned(tables.candles(spark, sf_dir)), by=("pair",)).select("pair", "t", F.round("hedge", 6).alias("hedge"))
+    return sequential.kalman_hedge(pairs.aligned(tables.candles(spark, sf_dir)), by=("pair",)).select("pair", "t", (F.round("hedge", 6) + 0.0).alias("hedge"))
 
 
 PANEL = "spot_open spot_close atm iv_call iv_put term_ratio oi_call oi_put put_call skew_25 wing_mean_25"
@@ -378,10 +351,10 @@ def new_codes(spark, sf_dir):
 def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks to hourly bars on a full grid, features, a ladder target and the rows that pass a predicate."""
     rows = features.price_features(bars.flat_where_empty(hourly(spark, sf_dir)))
-    rows = rows.withColumn("sma_7", W.mean(F.col("close"), 7, W.series()))
-    df = predicates.sliced(labels.ladder_target(rows, **LADDER), [("volume_surge_and_above_average", "long")])
-    return df.select("symbol", "t", "predicate", "side", *rounded(df, "close volume_ratio sma_7 target_long"))
+    rows = rows.withColumnsRenamed({"volume_ratio": "vol_ratio"}).withColumns({"mvg1": W.mean(F.col("close"), 7, W.series()), "mvg2": W.mean(F.col("close"), 25, W.series())})
+    df = predicates.sliced(labels.ladder_target(rows, **LADDER), [("vol_breakout_and_above_all_mas", "long")])
+    return df.select("symbol", "t", "predicate", "side", *rounded(df, "close vol_ratio mvg1 target_long"))
 
 
 QUERIES["flagship"] = FLAGSHIP
-ORACLES["flagship"] = f"WITH {sql.uniform(HOUR)}, {sql.FLAT}, {sql.PRICE.format(source='flat')}, q AS (SELECT *, {sql.mean('close', 7)} AS sma_7 FROM price), {sql.LADDER.format(source='q', h=4, step=0.01, top=3, fee=0.0005)} SELECT symbol, t, 'volume_surge_and_above_average' AS predicate, 'long' AS side, {sql.rounded('close volume_ratio sma_7 target_long')} FROM ladder WHERE volume_ratio > 2 AND close > sma_7"
+ORACLES["flagship"] = f"WITH {sql.uniform(HOUR)}, {sql.FLAT}, {sql.PRICE.format(source='flat')}, q AS (SELECT *, volume_ratio AS vol_ratio, {sql.mean('close', 7)} AS mvg1, {sql.mean('close', 25)} AS mvg2 FROM price), {sql.LADDER.format(source='q', h=4, step=0.01, top=3, fee=0.0005)} SELECT symbol, t, 'vol_breakout_and_above_all_mas' AS predicate, 'long' AS side, {sql.rounded('close vol_ratio mvg1 target_long')} FROM ladder WHERE vol_ratio > 2 AND close > mvg1 AND close > mvg2"

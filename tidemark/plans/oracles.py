@@ -5,7 +5,7 @@ from __future__ import annotations
 TICKS = """ticks AS (SELECT event_type AS symbol, epoch_us(ts) AS us, event_id AS seq, CASE WHEN user_id % 2 = 0 THEN 'buy' ELSE 'sell' END AS side, value AS price,
   CAST(json_extract_string(props, '$.k') AS DOUBLE) + 1 AS amount FROM events)"""
 QUOTES = """quotes AS (SELECT event_type AS symbol, epoch_us(ts) AS us, event_id AS seq, value * 0.999 AS bid, value * 1.001 AS ask,
-  CAST(user_id % 7 + 1 AS DOUBLE) AS bid_size, CAST(user_id % 5 + 1 AS DOUBLE) AS ask_size FROM events WHERE event_id % 3 = 0)"""
+  CAST(user_id % 7 + 1 AS DOUBLE) AS bid_size, CAST(user_id % 5 + 1 AS DOUBLE) AS ask_size FROM events)"""
 CANDLES = """candles AS (SELECT o_orderpriority AS symbol, CAST(epoch(date_trunc('day', o_orderdate)) AS BIGINT) AS t, arg_min(o_totalprice, o_orderkey) AS open, max(o_totalprice) AS high, min(o_totalprice) AS low,
   arg_max(o_totalprice, o_orderkey) AS close, sum(coalesce(q, 0)) AS volume, count(o_totalprice) AS trades
   FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
@@ -66,7 +66,7 @@ CHAIN = """chain AS (SELECT l_linestatus AS asset, CAST(epoch(l_shipdate) AS BIG
     l_extendedprice / l_quantity AS spot, (l_suppkey % 100) / 100.0 AS delta, l_quantity AS open_interest, l_orderkey * 10 + l_linenumber AS seq FROM lineitem JOIN part ON p_partkey = l_partkey),
   marked0 AS (SELECT *, coalesce(mark_iv, (coalesce(bid_iv, ask_iv) + coalesce(ask_iv, bid_iv)) / 2) AS iv FROM chain),
   exps AS (SELECT asset, day, min(expiry) FILTER (expiry > day) AS weekly, first(expiry ORDER BY abs(expiry - day - 2592000), expiry) FILTER (expiry > day) AS monthly FROM marked0 GROUP BY 1, 2),
-  spots AS (SELECT asset, day, arg_min(spot, seq) AS spot_open, arg_max(spot, seq) AS spot_close FROM marked0 GROUP BY 1, 2),
+  spots AS (SELECT asset, day, first(spot ORDER BY seq, spot, strike, expiry, kind) AS spot_open, last(spot ORDER BY seq, spot, strike, expiry, kind) AS spot_close FROM marked0 GROUP BY 1, 2),
   base AS (SELECT m.* EXCLUDE (spot), weekly, monthly, spot_open, spot_close FROM marked0 m JOIN exps USING (asset, day) JOIN spots USING (asset, day)),
   atms AS (SELECT asset, day, first(strike ORDER BY abs(strike - spot_close), strike) AS atm FROM base WHERE expiry = weekly GROUP BY 1, 2),
   wings0 AS (SELECT asset, day, kind, strike, avg(delta) AS d, avg(iv) AS iv FROM base WHERE expiry = weekly GROUP BY 1, 2, 3, 4),

@@ -35,8 +35,8 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """symbol, us, seq, bid, ask, bid_size, ask_size: every third event."""
-    events = table(spark, sf_dir, "events").where("event_id % 3 = 0")
+    """symbol, us, seq, bid, ask, bid_size, ask_size: each event is a quote as well."""
+    events = table(spark, sf_dir, "events")
     return events.select(
         F.col("event_type").alias("symbol"), micros("ts").alias("us"), F.col("event_id").alias("seq"),
         (F.col("value") * 0.999).alias("bid"), (F.col("value") * 1.001).alias("ask"),
@@ -44,6 +44,28 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def books(spark: SparkSession, sf_dir: str, levels: int = 5) -> DataFrame:
+    """symbol, us, seq, bids_<i>_qty, asks_<i>_qty: the sizes of a book's levels, each event being a snapshot."""
+    sizes = [F.when(F.col("user_id") % (4 + i) != 0, (F.col("user_id") % (7 + i)).cast("double") + 1).alias(f"bids_{i}_qty") for i in range(levels)]
+    sizes += [(F.col("user_id") % (5 + i)).cast("double") + i for i in range(levels)]
+    named = [c if i < levels else c.alias(f"asks_{i - levels}_qty") for i, c in enumerate(sizes)]
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"), micros("ts").alias("us"), F.col("event_id").alias("seq"), *named)
+
+
+def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """symbol, us, seq, mark_price, index_price, open_interest, funding_rate of each event."""
+    k = F.get_json_object("props", "$.k").cast("double")
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("symbol"), micros("ts").alias("us"), F.col("event_id").alias("seq"), (F.col("value") * (1 + (k - 50) / 10000)).alias("mark_price"),
+        F.col("value").alias("index_price"), F.col("user_id").cast("double").alias("open_interest"), ((k - 50) / 10000).alias("funding_rate"),
+    )
+
+
+def liquidations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """symbol, us, seq, side, price, amount: the ticks of large amounts stand for liquidations."""
+    return ticks(spark, sf_dir).where("amount >= 80")
+
+
 def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, t, open, high, low, close, volume, trades: one row for each priority and day with orders."""
     volume = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").alias("qty"))
