@@ -11,7 +11,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 

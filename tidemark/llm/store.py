@@ -23,8 +23,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows of one Arrow batch, where the session does not say: texts may be long, and a worker holds a batch as a whole.
+BATCH_ROWS = 1000
+
+
 def workers_find_library(spark: SparkSession) -> None:
-    """Python workers import this library by name: the folder it lies in goes on their search path."""
+    """Python workers import this library by name: the folder it lies in goes on their search path; their batches stay small."""
+    if spark.sparkContext.getConf().get("spark.sql.execution.arrow.maxRecordsPerBatch") is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in known.get("PYTHONPATH", "").split(os.pathsep):
         known["PYTHONPATH"] = os.pathsep.join(x for x in (root, known.get("PYTHONPATH")) if x)

@@ -33,7 +33,7 @@ from .store import workers_find_library
 WINDOW, STRIDE = 32, 8
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 12, 4, 8, 8
 GRAMS = 512
-MOST_CHARS = 8_000_000
+MOST_CHARS = 6_000_000
 ROWS = 2048
 GAPS = SPACE.copy()
 GAPS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
@@ -178,13 +178,17 @@ class Network:
 
 def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All windows (numbers of words from 1; 0 where the text has ended) of texts with so many words each, and their texts."""
-    begin = np.cumsum(counts) - counts
+    counts = np.asarray(counts).astype(np.int32)
+    begin = np.cumsum(counts, dtype=np.int32) - counts
     each = np.where(counts > 0, 1 + np.maximum(0, -(-(counts - WINDOW) // STRIDE)), 0)
     of = np.repeat(np.arange(len(counts)), each)
-    nth = np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
+    nth = (np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)).astype(np.int32)
     start = np.minimum(nth * STRIDE, np.maximum(counts[of] - WINDOW, 0))
-    place = start[:, None] + np.arange(WINDOW)
-    return np.where(place < counts[of][:, None], begin[of][:, None] + place + 1, 0), of
+    place = start[:, None] + np.arange(WINDOW, dtype=np.int32)
+    inside = place < counts[of][:, None]
+    place += begin[of][:, None] + 1
+    place *= inside
+    return place, of
 
 
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int = 80, batch: int = 96, least_texts: int = 8, forget: float = 0.2, decay: float = 0.02, seed: int = 3) -> Network | None:
