@@ -8,14 +8,17 @@ candidate fails in a dense region, its best connected neighbour is tried as well
 start, so thousands of copies cost one row.
 
 What the forest leaves open is settled exactly. In any one order of all shingles, two sets that are similar enough share
-one of their first few (prefix filter); the order puts shingles that are common in a sample last. Only shingles whose
-nodes lie in different components are looked at: some rounds tie nodes to the best connected node of a shingle, then all
-pairs of nodes in different components that sizes and places allow are confirmed on the full sets.
+one of their first few (prefix filter); the order puts shingles that are common in a sample last. These first shingles
+are shuffled once, and only those whose nodes lie in different components are kept: some rounds tie nodes to the best
+connected node of a shingle, then all pairs of nodes in different components that sizes and places allow are looked at.
+
+Before any pair is confirmed, the parities of its sets, folded into BITS bits, must differ in no more bits than the sets
+may differ in shingles; no link is lost by that, and few other pairs pass.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; copies, repeated rows and ties go
 to the smallest doc_id; rows without a doc_id belong to the group of their text but never represent it (component_id
-may be null then, kept is false); different texts under one doc_id count as one node; an empty table gives an empty
-table; extra columns are ignored.
+may be null then, kept is false); different texts under one doc_id count as one node; very long texts are large sets,
+taken whole; an empty table gives an empty table; extra columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -24,21 +27,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import mixed, text_sets
-from .store import dropped, matching, settled, workers_find_library
+from .store import MOST_KEYS, dropped, matching, settled, workers_find_library
 
 TREES, DEPTH = 16, 8
 NEIGHBOURS = 2
 AGREEING = 5
 SET_BATCH = 200_000
 #: Texts sampled for the order of shingles, how often a shingle stands in them to count as common, and how many of these count. Results do not depend on them.
-SAMPLED, COMMON, MOST_COMMON = 20_000, 4, 100_000
+SAMPLED, COMMON, MOST_COMMON = 8_000, 3, 100_000
 HUB_ROUNDS = 3
 SALTED = 500
+#: Bits of the parities of a set, and of those of a set of more than SMALL shingles besides.
+BITS, SMALL, WIDE_BITS = 512, 700, 8192
 MULTIPLIERS = mixed(np.arange(1000, 1000 + TREES * DEPTH, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -76,21 +81,29 @@ def prefix(values: np.ndarray, percent: int, common: tuple[np.ndarray, np.ndarra
     return values[: len(values) - -(-percent * len(values) // 100) + 1]
 
 
+def parities(values: np.ndarray, width: int) -> np.ndarray:
+    """Bit i of width says whether an odd number of shingles fall to i, as longs."""
+    odd = np.bincount((values >> np.uint64(20)).astype(np.int64) % width, minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketch(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, n_shingles, two keys of the whole set, its minhashes (null without shingles) and its prefix."""
+    """doc_id, n_shingles, two keys of the whole set, its minhashes (null without shingles), its prefix and its parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, one, two, signs, heads = [], [], [], [], []
+            counts, one, two, signs, heads, bits, wide = [], [], [], [], [], [], []
             for values in text_sets(batch.column(1), width):
                 counts.append(len(values))
                 one.append(int(mixed(values).sum().view(np.int64)) if len(values) else 0)
                 two.append(int(mixed(values ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)) if len(values) else 0)
                 signs.append(minhashes(values) if len(values) else None)
                 heads.append(prefix(values, percent, common).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.binary()), pa.array(heads, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "key1", "key2", "signature", "head"])
+                bits.append(parities(values, BITS))
+                wide.append(parities(values, WIDE_BITS) if len(values) > SMALL else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.binary()), pa.array(heads, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "key1", "key2", "signature", "head", "bits", "wide"])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, key1 bigint, key2 bigint, signature binary, head array<bigint>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, key1 bigint, key2 bigint, signature binary, head array<bigint>, bits array<bigint>, wide array<bigint>"
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
@@ -163,6 +176,19 @@ def similar(shared: Column, one: Column, two: Column, percent: int) -> Column:
     return 100 * shared >= percent * (one + two - shared)
 
 
+def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sizes and parities do not rule a link out."""
+    facts = classes.select("node", F.col("n_shingles").alias("n"), "bits", "wide")
+    if classes.count() <= MOST_KEYS // 20:
+        facts = F.broadcast(facts)
+    side = lambda c: facts.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"), F.col("wide").alias(f"wide{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differ = lambda one, two: F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+    apart = F.when(F.col("widea").isNotNull() & F.col("wideb").isNotNull(), differ("widea", "wideb")).otherwise(differ("bitsa", "bitsb"))
+    shared = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
+    return both.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (apart <= F.col("na") + F.col("nb") - 2 * shared)).select("a", "b")
+
+
 def confirm(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """pairs (a, b) with linked, from the full sets of their texts, which are read once more."""
 
@@ -179,7 +205,9 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Data
     texts = matching(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), ids, "doc_id").dropDuplicates(["doc_id"])
     sets = settled(texts.mapInArrow(run, "node bigint, set array<bigint>"), "pair-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("one")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("two")), "b")
-    return both.select("a", "b", similar(F.size(F.array_intersect("one", "two")), F.size("one"), F.size("two"), percent).alias("linked"))
+    found = settled(both.select("a", "b", similar(F.size(F.array_intersect("one", "two")), F.size("one"), F.size("two"), percent).alias("linked")), "confirmed")
+    dropped(ids, sets)
+    return found
 
 
 def hubs_of_failed(tried: DataFrame) -> DataFrame:
@@ -193,49 +221,67 @@ def hubs_of_failed(tried: DataFrame) -> DataFrame:
     return proposed.select(F.least("a", "hub").alias("a"), F.greatest("a", "hub").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
 
 
+def _open(rows: DataFrame) -> DataFrame:
+    """Rows (shingle, node, n_shingles, at, component, degree) of shingles whose nodes lie in more than one component; one shuffle."""
+    over = Window.partitionBy("shingle")
+    seen = rows.withColumns({"low": F.min("component").over(over), "high": F.max("component").over(over)})
+    return settled(seen.where("low < high").drop("low", "high"), "open")
+
+
 def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
     """node, component of the links and of all those between different components that they lack."""
-    heads = classes.select("node", "n_shingles", F.posexplode("head").alias("at", "shingle"))
-    shared = settled(heads.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("shingle"), "shared")
-    heads = settled(heads.join(shared, "shingle", "left_semi"), "heads")
-    rounds = 0
-    while True:
-        found = settled(components(links), "components")
+
+    def placed(rows: DataFrame, found: DataFrame, links: DataFrame) -> DataFrame:
         degree = links.union(links.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
-        placed = settled(heads.join(found.join(degree, "node"), "node", "left").select("shingle", "node", "n_shingles", "at", F.coalesce("component", "node").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree")), "placed")
-        top = F.max(F.struct("degree", "node", "n_shingles", "component")).alias("hub")
-        mixed_up = placed.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), top).where("low < high").select("shingle", "n", "hub")
-        left = settled(placed.join(mixed_up, "shingle"), "open")
-        if left.isEmpty():
-            return found
-        sizes = lambda one, two: 100 * F.least(one, two) >= percent * F.greatest(one, two)
+        known = settled(found.join(degree, "node"), "placed")
+        known = F.broadcast(known) if known.count() <= MOST_KEYS // 4 else known
+        return rows.join(known, "node", "left").withColumns({"component": F.coalesce("component", "node"), "degree": F.coalesce("degree", F.lit(0))})
+
+    found = settled(components(links), "components")
+    nodes = placed(classes.select("node", "n_shingles", "head"), found, links)
+    left = _open(nodes.select("node", "n_shingles", "component", "degree", F.posexplode("head").alias("at", "shingle")))
+    sizes = lambda one, two: 100 * F.least(one, two) >= percent * F.greatest(one, two)
+    rounds = 0
+    while not left.isEmpty():
         if rounds < HUB_ROUNDS:
-            met = left.where((F.col("component") != F.col("hub.component")) & sizes(F.col("n_shingles"), F.col("hub.n_shingles"))).select("node", F.col("hub.node").alias("other"))
+            top = F.max(F.struct("degree", "node", "n_shingles", "component")).alias("hub")
+            met = left.join(left.groupBy("shingle").agg(top), "shingle").where((F.col("component") != F.col("hub.component")) & sizes(F.col("n_shingles"), F.col("hub.n_shingles"))).select("node", F.col("hub.node").alias("other"))
         else:
             # A shingle of n nodes is dealt over n / SALTED tasks.
+            counted = left.join(left.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "shingle")
             salts = F.ceil(F.col("n") / SALTED).cast("int")
-            x = left.select("shingle", F.pmod(F.xxhash64("node"), salts).cast("int").alias("salt"), "node", "n_shingles", "at", "component")
-            y = left.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("node").alias("other"), F.col("n_shingles").alias("n2"), F.col("at").alias("at2"), F.col("component").alias("component2"))
+            x = counted.select("shingle", F.pmod(F.xxhash64("node"), salts).cast("int").alias("salt"), "node", "n_shingles", "at", "component")
+            y = counted.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("node").alias("other"), F.col("n_shingles").alias("n2"), F.col("at").alias("at2"), F.col("component").alias("component2"))
             most = F.least(F.col("n_shingles") - F.col("at"), F.col("n2") - F.col("at2"))
             met = x.join(y, ["shingle", "salt"]).where((F.col("node") < F.col("other")) & (F.col("component") != F.col("component2")) & sizes(F.col("n_shingles"), F.col("n2")) & similar(most, F.col("n_shingles"), F.col("n2"), percent)).select("node", "other")
         pairs = settled(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "met")
-        more = settled(confirm(docs, pairs, width, percent).where("linked").select("a", "b"), "more")
+        more = settled(confirm(docs, settled(plausible(pairs, classes, percent), "plausible"), width, percent).where("linked").select("a", "b"), "more")
         none = more.isEmpty()
-        if none and rounds >= HUB_ROUNDS:
-            return found
-        links = settled(links.union(more), "all-links")
+        if not none:
+            links = settled(links.union(more), "all-links")
+            found = settled(components(links), "components")
         if rounds >= HUB_ROUNDS:
-            return components(links)
+            break
+        if not none:
+            before = left
+            left = _open(placed(left.drop("component", "degree"), found, links))
+            dropped(before)
+        dropped(pairs, more)
         rounds = HUB_ROUNDS if none else rounds + 1
+    return found
 
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id integer, text)."""
     workers_find_library(docs.sparkSession)
     sketches = settled(sketch(docs, width, percent, common_shingles(docs, width)), "sketches")
-    classes = settled(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "head")).alias("first")).select("key1", "key2", F.col("first.doc_id").cast("bigint").alias("node"), "first.n_shingles", "first.signature", "first.head"), "classes")
-    tried = settled(confirm(docs, candidates(classes), width, percent), "tried")
-    more = settled(hubs_of_failed(tried), "hubs")
+    classes = settled(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "head", "bits", "wide")).alias("first")).select("key1", "key2", F.col("first.doc_id").cast("bigint").alias("node"), "first.n_shingles", "first.signature", "first.head", "first.bits", "first.wide"), "classes")
+    near = candidates(classes)
+    likely = settled(plausible(near, classes, percent), "plausible")
+    linked = confirm(docs, likely, width, percent)
+    # Of a pair that is ruled out or fails, the best connected neighbours are tried.
+    tried = settled(near.join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked")), "tried")
+    more = settled(plausible(hubs_of_failed(tried), classes, percent), "hubs")
     links = settled(tried.where("linked").union(confirm(docs, more, width, percent).where("linked")).select("a", "b"), "forest-links")
     of_class = classes.select("key1", "key2", "node").join(completed(docs, classes, links, width, percent), "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component"))
     found = sketches.where("n_shingles > 0").select("doc_id", "n_shingles", "key1", "key2").join(of_class, ["key1", "key2"], "left").select("doc_id", "n_shingles", "component")
