@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import windows as W
@@ -75,7 +75,7 @@ def stable(history: DataFrame, last: int, least_ratio: float) -> DataFrame:
     """Pairs whose last windows all reach a ratio of speed to deviation."""
     w = W.series("pair", order="window").orderBy(F.desc("window"))
     recent = history.select("*", F.row_number().over(w).alias("__n")).where(F.col("__n") <= last)
-    return recent.groupBy("pair").agg(F.count(F.lit(1)).alias("windows"), F.min(F.col("speed") / F.col("deviation")).alias("worst")).where((F.col("windows") == last) & (F.col("worst") >= least_ratio))
+    return recent.groupBy("pair").agg(F.count(F.lit(1)).alias("windows"), F.min(W.ratio(F.col("speed"), F.col("deviation"))).alias("worst")).where((F.col("windows") == last) & (F.col("worst") >= least_ratio))
 
 
 def sweep(scored_rows: DataFrame, enters: list[float], fees: list[float]) -> DataFrame:
@@ -86,3 +86,86 @@ def sweep(scored_rows: DataFrame, enters: list[float], fees: list[float]) -> Dat
 
 def threshold_position(z: Column, enter: Column) -> Column:
     return F.when(z > enter, -1.0).when(z < -enter, 1.0).otherwise(0.0)
+
+
+def detrended(spreads: DataFrame, least: int = 20, by: str = "pair") -> DataFrame:
+    """spreads with trend, drift (for each row) and base of a straight line in the row number; unchanged with fewer than `least` values."""
+    rows = spreads.withColumn("__n", (F.row_number().over(W.series(by)) - 1).cast("double"))
+    fit = rows.groupBy(by).agg(F.count("spread").alias("k"), F.regr_slope("spread", "__n").alias("s"), F.regr_intercept("spread", "__n").alias("i"))
+    enough = F.col("k") >= least
+    fit = fit.select(by, F.when(enough, F.col("s")).otherwise(0.0).alias("drift"), F.when(enough, F.col("i")).otherwise(0.0).alias("base"))
+    return rows.join(fit, by).select(*spreads.columns, "drift", "base", (F.col("spread") - F.col("base") - F.col("drift") * F.col("__n")).alias("trendless"))
+
+
+def basket(prices: DataFrame, weights: DataFrame) -> DataFrame:
+    """basket, t, spread: weighted log prices; the weights of what has a price at that time are scaled to an absolute sum of 1."""
+    met = prices.where("close > 0").join(F.broadcast(weights), "symbol")  # a weight for each symbol of a basket
+    sums = met.groupBy("basket", "t").agg(F.sum(F.col("weight") * F.log("close")).alias("s"), F.sum(F.abs("weight")).alias("w"))
+    return sums.select("basket", "t", W.ratio(F.col("s"), F.col("w")).alias("spread"))
+
+
+def whole_sample_score(spreads: DataFrame, by: str = "pair") -> DataFrame:
+    """z against mean and deviation of the whole series: it looks ahead, and only serves to rank."""
+    fit = spreads.groupBy(by).agg(F.avg("spread").alias("__m"), F.stddev_pop("spread").alias("__d"))
+    return spreads.join(fit, by).select(*spreads.columns, W.ratio(F.col("spread") - F.col("__m"), F.col("__d")).alias("z"))
+
+
+def confirmed_entries(rows: DataFrame, n: int = 2, by: str = "pair") -> DataFrame:
+    """position 0 at entries before which the score z did not come back for n rows on end."""
+    w = W.series(by)
+    before = F.coalesce(F.lag("position").over(w), F.lit(0.0))
+    back = F.lit(True)
+    for i in range(n):
+        late, early = F.lag("z", i).over(w), F.lag("z", i + 1).over(w)
+        back = back & F.when(F.col("position") > 0, late > early).otherwise(late < early)
+    entry = (before == 0) & (F.col("position") != 0) & F.lag("z", n).over(w).isNotNull() & F.lag(F.lit(1), n).over(w).isNotNull()
+    return rows.withColumn("position", F.when(entry & ~F.coalesce(back, F.lit(False)), 0.0).otherwise(F.col("position")))
+
+
+def by_year(days: DataFrame, by: str = "pair", per_year: float = 365.0) -> DataFrame:
+    """Gain, Sharpe ratio and drawdown of each calendar year."""
+    dated = days.withColumn("year", F.year(F.date_from_unix_date(F.floor(F.col("day") / DAY).cast("int"))))
+    w = W.series(by, "year", order="day")
+    equity = dated.select(by, "year", "day", "gain", F.sum("gain").over(W.so_far(w)).alias("e"))
+    under = equity.withColumn("u", F.col("e") - F.max("e").over(W.so_far(w)))
+    return under.groupBy(by, "year").agg(F.count("gain").alias("days"), F.sum("gain").alias("total"), (W.ratio(F.avg("gain"), F.stddev_samp("gain")) * per_year**0.5).alias("sharpe"), F.min("u").alias("drawdown"))
+
+
+def best_settings(results: DataFrame, by: str = "pair", score: str = "sharpe") -> DataFrame:
+    """The setting of each pair with the best score; ties go to the smaller setting."""
+    others = [c for c in results.columns if c not in (by, score)]
+    order = Window.partitionBy(by).orderBy(F.desc_nulls_last(score), *others)
+    return results.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+
+
+def holding(rows: DataFrame, by: str = "pair") -> DataFrame:
+    """How often the position changes, and for how many rows on average one is held."""
+    before = F.coalesce(F.lag("position").over(W.series(by)), F.lit(0.0))
+    flagged = rows.select(by, (F.col("position") != before).cast("int").alias("c"), ((before == 0) & (F.col("position") != 0)).cast("int").alias("o"), (F.col("position") != 0).cast("int").alias("h"))
+    return flagged.groupBy(by).agg(F.sum("c").alias("changes"), W.ratio(F.sum("h"), F.sum("o")).alias("mean_rows_held"))
+
+
+def unit_root_statistic(spreads: DataFrame, by: str = "pair") -> DataFrame:
+    """The t value of the level in the regression of a spread's change on its level before and its change before (one lag), from grouped sums."""
+    w = W.series(by)
+    d = F.col("spread") - F.lag("spread").over(w)
+    rows = spreads.select(by, "t", F.lag("spread").over(w).alias("s"), d.alias("d")).select(by, "s", "d", F.lag("d").over(w).alias("l")).where("s is not null and d is not null and l is not null")
+    cov = lambda a, b: F.covar_pop(a, b)
+    m = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"), *[cov(a, b).alias(a + b) for a, b in ("ss", "ll", "dd", "sl", "sd", "ld")])
+    det = F.col("ss") * F.col("ll") - F.col("sl") * F.col("sl")
+    b = (F.col("sd") * F.col("ll") - F.col("ld") * F.col("sl")) / F.when(det > 0, det)
+    c = (F.col("ld") * F.col("ss") - F.col("sd") * F.col("sl")) / F.when(det > 0, det)
+    residual = F.greatest(F.col("dd") - b * F.col("sd") - c * F.col("ld"), F.lit(0.0)) * F.col("n") / (F.col("n") - 4)
+    error = F.sqrt(residual * F.col("ll") / F.when(det > 0, det) / F.col("n"))
+    return m.where("n > 4").select(by, "n", b.alias("level"), W.ratio(b, error).alias("statistic"))
+
+
+def break_states(rows: DataFrame, p: str = "p", threshold: float = 0.05, by: str = "pair") -> DataFrame:
+    """state of each row: inactive until p first passes, cointegrated until it first fails, then recovered while it passes and broken while it fails."""
+    w = W.series(by)
+    passes = F.coalesce(F.col(p) < threshold, F.lit(False))
+    flagged = rows.withColumn("__p", passes)
+    ever = flagged.withColumn("__e", F.max(F.col("__p").cast("int")).over(W.so_far(w)))
+    failed = ever.withColumn("__f", F.max(((F.col("__e") == 1) & ~F.col("__p")).cast("int")).over(W.so_far(w)))
+    state = F.when(F.col("__e") == 0, "inactive").when(F.col("__f") == 0, "cointegrated").when(F.col("__p"), "recovered").otherwise("broken")
+    return failed.select(*rows.columns, state.alias("state"))

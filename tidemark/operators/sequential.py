@@ -166,6 +166,51 @@ def positions_by_score(rows: DataFrame, score: str = "z", enter: float = 2.0, le
     return _per_series(rows, ["position"], run, by)
 
 
+def laddered_positions(rows: DataFrame, score: str = "z", enter: float = 2.0, leave: float = 0.5, stop: float = 0.0, longest: int = 0, rungs: int = 5, step: float = 0.5, steep: bool = False, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """Positions of -1 to 1 that grow by a rung with every step of the score beyond enter; steep: rung k adds k units.
+
+    Leaves as `positions_by_score` does; the row that opens counts as two rows held, as it is both opened and held.
+    Rows without a score keep the position.
+    """
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        side, age, now, out = 0, 0, 0.0, []
+        for z in g[score].to_numpy(float):
+            if np.isnan(z):
+                age += side != 0
+                out.append(now)
+                continue
+            if not side and abs(z) > enter:
+                side, age = (-1 if z > 0 else 1), 1
+            if side:
+                age += 1
+                if abs(z) < leave or (stop and abs(z) > stop) or (longest and age > longest):
+                    side, age = 0, 0
+            filled = int(sum(abs(z) > enter + k * step for k in range(rungs)))
+            now = side * (filled * (filled + 1) / (rungs * (rungs + 1)) if steep else filled / rungs)
+            out.append(now)
+        return g.assign(position=np.array(out, float))
+
+    return _per_series(rows, ["position"], run, by)
+
+
+def positions_by_break(rows: DataFrame, threshold: float = 0.2, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
+    """From correlation, baseline and z: in against z when the correlation falls below its baseline by the threshold, out when it is back."""
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        held, out = 0, []
+        for c, b, z in zip(*(g[x].to_numpy(float) for x in ("correlation", "baseline", "z")), strict=True):
+            if not (np.isnan(c) or np.isnan(b) or np.isnan(z)):
+                if held and c >= b:
+                    held = 0
+                elif not held and c < b - threshold:
+                    held = -int(np.sign(z))
+            out.append(float(held))
+        return g.assign(position=out)
+
+    return _per_series(rows, ["position"], run, by)
+
+
 def kalman_hedge(rows: DataFrame, drift: float = 1e-4, noise: float = 1e-3, by: tuple[str, ...] = ("symbol",)) -> DataFrame:
     """The slope of y on x as a random walk; each row's estimate uses rows before it only."""
 

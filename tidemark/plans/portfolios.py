@@ -1 +1,136 @@
-"""Queries."""
+"""Queries on pairs and baskets."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import pairs, sequential
+from ..operators import windows as W
+from ..sources import driver_tables as tables
+from . import oracles as sql
+from .registry import query, rounded
+
+_W = "WINDOW w AS (PARTITION BY pair ORDER BY t)"
+
+
+def _spreads(spark, sf_dir):
+    return pairs.hedged(pairs.aligned(tables.candles(spark, sf_dir)))
+
+
+def _scores(spark, sf_dir):
+    return pairs.scored(_spreads(spark, sf_dir))
+
+
+@query("trendless_spreads", f"WITH {sql.PAIRS}, n AS (SELECT *, CAST(row_number() OVER w - 1 AS DOUBLE) AS n FROM spreads {_W}), f AS (SELECT pair, CASE WHEN count(spread) >= 20 THEN regr_slope(spread, n) ELSE 0 END AS drift, CASE WHEN count(spread) >= 20 THEN regr_intercept(spread, n) ELSE 0 END AS base FROM n GROUP BY 1) SELECT pair, t, round(drift, 8) + 0.0 AS drift, round(spread - base - drift * n, 6) + 0.0 AS trendless FROM n JOIN f USING (pair)")
+def trendless_spreads(spark, sf_dir):
+    df = pairs.detrended(_spreads(spark, sf_dir))
+    return df.select("pair", "t", (F.round("drift", 8) + 0.0).alias("drift"), *rounded(df, "trendless"))
+
+
+@query("basket_spreads", f"WITH {sql.CANDLES}, b(basket, symbol, weight) AS (VALUES ('a', '1-URGENT', 0.5), ('a', '2-HIGH', -0.3), ('a', '5-LOW', -0.2), ('b', '2-HIGH', 1.0), ('b', '3-MEDIUM', -1.0)) SELECT basket, t, round(sum(weight * ln(close)) / sum(abs(weight)), 6) + 0.0 AS spread FROM candles JOIN b USING (symbol) WHERE close > 0 GROUP BY 1, 2")
+def basket_spreads(spark, sf_dir):
+    weights = spark.createDataFrame([("a", "1-URGENT", 0.5), ("a", "2-HIGH", -0.3), ("a", "5-LOW", -0.2), ("b", "2-HIGH", 1.0), ("b", "3-MEDIUM", -1.0)], "basket string, symbol string, weight double")
+    df = pairs.basket(tables.candles(spark, sf_dir), weights)
+    return df.select("basket", "t", *rounded(df, "spread"))
+
+
+@query("whole_sample_scores", f"WITH {sql.PAIRS}, f AS (SELECT pair, avg(spread) AS m, stddev_pop(spread) AS d FROM spreads GROUP BY 1) SELECT pair, t, round((spread - m) / nullif(d, 0), 5) + 0.0 AS z FROM spreads JOIN f USING (pair)")
+def whole_sample_scores(spark, sf_dir):
+    df = pairs.whole_sample_score(_spreads(spark, sf_dir))
+    return df.select("pair", "t", *rounded(df, "z", 5))
+
+
+def _laddered(size: str) -> str:
+    k = " + ".join(f"CASE WHEN abs(z) > {2 + 0.5 * i} THEN 1 ELSE 0 END" for i in range(4))
+    return f"""WITH RECURSIVE {sql.PAIRS}, k AS (SELECT pair, t, z, CAST({k} AS DOUBLE) AS n, row_number() OVER (PARTITION BY pair ORDER BY t) AS i FROM scores), run AS (SELECT pair, CAST(0 AS BIGINT) AS i, 0 AS side, 0 AS age, CAST(0 AS DOUBLE) AS now FROM (SELECT DISTINCT pair FROM k)
+  UNION ALL SELECT pair, i, CASE WHEN out THEN 0 ELSE s END, CASE WHEN out OR s = 0 THEN 0 ELSE a END, CASE WHEN z IS NULL THEN now WHEN out THEN 0 ELSE s * ({size}) END FROM (SELECT *, s <> 0 AND z IS NOT NULL AND (abs(z) < 0.5 OR abs(z) > 4 OR a > 40) AS out FROM (SELECT k.pair, k.i, k.z, k.n, r.now, CASE WHEN k.z IS NULL OR side <> 0 THEN side WHEN k.z > 2 THEN -1 WHEN k.z < -2 THEN 1 ELSE 0 END AS s, CASE WHEN side <> 0 THEN age + 1 WHEN k.z IS NOT NULL AND abs(k.z) > 2 THEN 2 ELSE 0 END AS a FROM run r JOIN k ON k.pair = r.pair AND k.i = r.i + 1)))
+  SELECT k.pair, k.t, round(now, 6) + 0.0 AS position FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i"""
+
+
+@query("laddered_positions", _laddered("n / 4"))
+def laddered_positions(spark, sf_dir):
+    df = sequential.laddered_positions(_scores(spark, sf_dir), stop=4.0, longest=40, rungs=4, by=("pair",))
+    return df.select("pair", "t", *rounded(df, "position"))
+
+
+@query("steep_positions", _laddered("n * (n + 1) / 20"))
+def steep_positions(spark, sf_dir):
+    df = sequential.laddered_positions(_scores(spark, sf_dir), stop=4.0, longest=40, rungs=4, steep=True, by=("pair",))
+    return df.select("pair", "t", *rounded(df, "position"))
+
+
+_CORR = f"c AS (SELECT pair, t, z, CASE WHEN count(*) OVER v >= 20 THEN covar_pop(x, y) OVER v / nullif(stddev_pop(x) OVER v * stddev_pop(y) OVER v, 0) END AS correlation FROM scores WINDOW v AS (PARTITION BY pair ORDER BY t ROWS 19 PRECEDING)), b AS (SELECT *, CASE WHEN count(correlation) OVER u >= 40 THEN avg(correlation) OVER u END AS baseline FROM c WINDOW u AS (PARTITION BY pair ORDER BY t ROWS 39 PRECEDING))"
+
+
+@query("correlation_breaks", f"""WITH RECURSIVE {sql.PAIRS}, {_CORR}, k AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY t) AS i FROM b), run AS (SELECT pair, CAST(0 AS BIGINT) AS i, 0 AS held FROM (SELECT DISTINCT pair FROM k) UNION ALL SELECT k.pair, k.i, CASE WHEN k.correlation IS NULL OR k.baseline IS NULL OR k.z IS NULL THEN held WHEN held <> 0 AND k.correlation >= k.baseline THEN 0 WHEN held = 0 AND k.correlation < k.baseline - 0.1 THEN -CAST(sign(k.z) AS INTEGER) ELSE held END FROM run r JOIN k ON k.pair = r.pair AND k.i = r.i + 1)
+  SELECT k.pair, k.t, CAST(held AS DOUBLE) AS position FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i""")
+def correlation_breaks(spark, sf_dir):
+    w = W.series("pair")
+    rows = _scores(spark, sf_dir).withColumn("correlation", W.correlation(F.col("x"), F.col("y"), 20, w))
+    rows = rows.withColumn("baseline", W.mean(F.col("correlation"), 40, w))
+    return sequential.positions_by_break(rows, 0.1, by=("pair",)).select("pair", "t", "position")
+
+
+_P = "p AS (SELECT pair, t, exp(-abs(coalesce(z, 0))) AS p FROM scores)"
+
+
+@query("break_states", f"""WITH RECURSIVE {sql.PAIRS}, {_P}, k AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY t) AS i FROM p), run AS (SELECT pair, CAST(0 AS BIGINT) AS i, 'inactive' AS state FROM (SELECT DISTINCT pair FROM k) UNION ALL SELECT k.pair, k.i, CASE WHEN p < 0.2 THEN CASE state WHEN 'inactive' THEN 'cointegrated' WHEN 'broken' THEN 'recovered' ELSE state END ELSE CASE state WHEN 'inactive' THEN state ELSE 'broken' END END FROM run r JOIN k ON k.pair = r.pair AND k.i = r.i + 1)
+  SELECT k.pair, k.t, state FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i""")
+def break_states(spark, sf_dir):
+    rows = _scores(spark, sf_dir).select("pair", "t", F.exp(-F.abs(F.coalesce("z", F.lit(0.0)))).alias("p"))
+    return pairs.break_states(rows, threshold=0.2).select("pair", "t", "state")
+
+
+_ENTER = "CASE WHEN z > 1.5 THEN -1.0 WHEN z < -1.5 THEN 1.0 ELSE 0.0 END"
+
+
+@query("confirmed_entries", f"WITH {sql.PAIRS}, p AS (SELECT pair, t, z, CAST({_ENTER} AS DOUBLE) AS position FROM scores), l AS (SELECT *, coalesce(lag(position) OVER w, 0) AS before, lag(z) OVER w AS z1, lag(z, 2) OVER w AS z2 FROM p {_W}) SELECT pair, t, CASE WHEN before = 0 AND position <> 0 AND z2 IS NOT NULL AND NOT coalesce(CASE WHEN position > 0 THEN z > z1 AND z1 > z2 ELSE z < z1 AND z1 < z2 END, false) THEN CAST(0 AS DOUBLE) ELSE position END AS position FROM l")
+def confirmed_entries(spark, sf_dir):
+    rows = _scores(spark, sf_dir).withColumn("position", pairs.threshold_position(F.col("z"), F.lit(1.5)))
+    return pairs.confirmed_entries(rows).select("pair", "t", (F.col("position") + 0.0).alias("position"))
+
+
+_GAINS = f"p AS (SELECT pair, t, spread, CAST({_ENTER} AS DOUBLE) AS position FROM scores), g AS (SELECT *, coalesce(lag(position) OVER w, 0) * coalesce(spread - lag(spread) OVER w, 0) - abs(position - coalesce(lag(position) OVER w, 0)) * 0.001 AS gain FROM p {_W}), d AS (SELECT pair, t - t % 86400 AS day, sum(gain) AS gain FROM g GROUP BY 1, 2)"
+
+
+def _gains(spark, sf_dir):
+    return pairs.gains(_scores(spark, sf_dir).withColumn("position", pairs.threshold_position(F.col("z"), F.lit(1.5))), 0.001)
+
+
+@query("yearly_performance", f"WITH {sql.PAIRS}, {_GAINS}, y AS (SELECT *, year(make_timestamp(day * 1000000)) AS year FROM d), e AS (SELECT *, sum(gain) OVER u AS e FROM y WINDOW u AS (PARTITION BY pair, year ORDER BY day ROWS UNBOUNDED PRECEDING)), f AS (SELECT *, e - max(e) OVER (PARTITION BY pair, year ORDER BY day ROWS UNBOUNDED PRECEDING) AS under FROM e) SELECT pair, CAST(year AS INTEGER) AS year, count(gain) AS days, round(sum(gain), 6) + 0.0 AS total, round(avg(gain) / nullif(stddev_samp(gain), 0) * sqrt(365), 4) + 0.0 AS sharpe, round(min(under), 6) + 0.0 AS drawdown FROM f GROUP BY 1, 2")
+def yearly_performance(spark, sf_dir):
+    df = pairs.by_year(pairs.daily(_gains(spark, sf_dir)))
+    return df.select("pair", "year", "days", *rounded(df, "total drawdown"), *rounded(df, "sharpe", 4))
+
+
+@query("holding_times", f"WITH {sql.PAIRS}, {_GAINS}, h AS (SELECT pair, position, coalesce(lag(position) OVER w, 0) AS before FROM g {_W}) SELECT pair, CAST(count(*) FILTER (position <> before) AS BIGINT) AS changes, round(count(*) FILTER (position <> 0) / nullif(count(*) FILTER (before = 0 AND position <> 0), 0), 6) + 0.0 AS mean_rows_held FROM h GROUP BY 1")
+def holding_times(spark, sf_dir):
+    df = pairs.holding(_gains(spark, sf_dir))
+    return df.select("pair", "changes", *rounded(df, "mean_rows_held"))
+
+
+_SETTINGS = "p AS (SELECT pair, t, spread, enter, CAST(CASE WHEN z > enter THEN -1 WHEN z < -enter THEN 1 ELSE 0 END AS DOUBLE) AS position FROM scores, (VALUES (1.0), (1.5), (2.0)) v(enter)), g AS (SELECT *, coalesce(lag(position) OVER w, 0) * coalesce(spread - lag(spread) OVER w, 0) - abs(position - coalesce(lag(position) OVER w, 0)) * 0.001 AS gain FROM p WINDOW w AS (PARTITION BY pair, enter ORDER BY t)), d AS (SELECT pair, CAST(enter AS DOUBLE) AS enter, t - t % 86400 AS day, sum(gain) AS gain FROM g GROUP BY 1, 2, 3), s AS (SELECT pair, enter, round(avg(gain) / nullif(stddev_samp(gain), 0) * sqrt(365), 6) + 0.0 AS sharpe FROM d GROUP BY 1, 2)"
+
+
+@query("best_settings", f"WITH {sql.PAIRS}, {_SETTINGS} SELECT pair, sharpe, enter FROM (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY sharpe DESC NULLS LAST, enter) AS n FROM s) WHERE n = 1")
+def best_settings(spark, sf_dir):
+    grid = pairs.sweep(_scores(spark, sf_dir), [1.0, 1.5, 2.0], [0.001])
+    rows = grid.withColumn("position", pairs.threshold_position(F.col("z"), F.col("enter"))).withColumn("setting", F.concat_ws("|", "pair", "enter"))
+    daily = pairs.daily(pairs.gains(rows, 0.001, by="setting"), by="setting")
+    results = pairs.performance(daily, by="setting").select(F.substring_index("setting", "|", 1).alias("pair"), F.substring_index("setting", "|", -1).cast("double").alias("enter"), (F.round("sharpe", 6) + 0.0).alias("sharpe"))
+    return pairs.best_settings(results).select("pair", "sharpe", "enter")
+
+
+@query("unit_root_statistics", f"""WITH {sql.PAIRS}, a AS (SELECT pair, t, lag(spread) OVER w AS s, spread - lag(spread) OVER w AS d FROM spreads {_W}), r AS (SELECT pair, s, d, lag(d) OVER w AS l FROM a {_W}), q AS (SELECT * FROM r WHERE s IS NOT NULL AND d IS NOT NULL AND l IS NOT NULL), m AS (SELECT pair, count(*) AS n, var_pop(s) AS ss, var_pop(l) AS ll, var_pop(d) AS dd, covar_pop(s, l) AS sl, covar_pop(s, d) AS sd, covar_pop(l, d) AS ld FROM q GROUP BY 1),
+  b AS (SELECT *, (sd * ll - ld * sl) / (ss * ll - sl * sl) AS b, (ld * ss - sd * sl) / (ss * ll - sl * sl) AS c FROM m WHERE n > 4) SELECT pair, n, round(b, 6) + 0.0 AS level, round(b / sqrt((dd - b * sd - c * ld) * n / (n - 4) * ll / (ss * ll - sl * sl) / n), 4) + 0.0 AS statistic FROM b""")
+def unit_root_statistics(spark, sf_dir):
+    df = pairs.unit_root_statistic(_spreads(spark, sf_dir))
+    return df.select("pair", "n", *rounded(df, "level"), *rounded(df, "statistic", 4))
+
+
+@query("stable_pairs", f"WITH {sql.PAIRS}, w AS (SELECT pair, t // 7776000 * 7776000 AS win, spread, lag(spread) OVER (PARTITION BY pair, t // 7776000 ORDER BY t) AS s FROM spreads), f AS (SELECT pair, win, -regr_slope(spread - s, s) AS speed, sqrt(greatest(var_pop(spread - s) FILTER (s IS NOT NULL) - regr_slope(spread - s, s) * regr_slope(spread - s, s) * var_pop(s), 0)) AS deviation FROM w GROUP BY 1, 2 HAVING count(s) >= 10), n AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY win DESC) AS n FROM f), r AS (SELECT pair, count(*) AS windows, round(min(speed / nullif(deviation, 0)), 5) AS worst FROM n WHERE n <= 3 GROUP BY 1) SELECT * FROM r WHERE windows = 3 AND worst >= 0.5")
+def stable_pairs(spark, sf_dir):
+    windowed = _spreads(spark, sf_dir).withColumns({"window": F.col("t") - F.pmod("t", F.lit(7_776_000)), "pair": F.concat_ws("|", "pair", (F.col("t") - F.pmod("t", F.lit(7_776_000))).cast("string"))})
+    fits = pairs.reversion(windowed).where("n >= 10").select(F.substring_index("pair", "|", 1).alias("pair"), F.substring_index("pair", "|", -1).cast("long").alias("window"), "speed", "deviation")
+    df = pairs.stable(fits, 3, 0.5)
+    return df.select("pair", "windows", F.round("worst", 5).alias("worst"))
