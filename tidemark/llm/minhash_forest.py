@@ -228,6 +228,29 @@ def _open(rows: DataFrame) -> DataFrame:
     return settled(seen.where("low < high").drop("low", "high"), "open")
 
 
+def _all_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, other) for the nodes of each shingle that lie in different components, as far as sizes, places and parities allow.
+
+    A shingle of n nodes is dealt over n / SALTED tasks: a node stands once in its own one and as a guest in the others.
+    Both sides of the join are the same rows, shuffled once.
+    """
+    folded = classes.select("node", *[F.get("bits", F.lit(i)).bitwiseXOR(F.get("bits", F.lit(i + BITS // 128))).alias(f"p{i}") for i in range(BITS // 128)])
+    counted = rows.join(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "shingle").join(F.broadcast(folded) if classes.count() <= MOST_KEYS // 20 else folded, "node")
+    salts = F.ceil(F.col("n") / SALTED).cast("int")
+    dealt = counted.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.pmod(F.xxhash64("node"), salts).cast("int").alias("own"), "node", "n_shingles", "at", "component", *folded.columns[1:])
+    dealt = dealt.where("shingle is not null and salt is not null")
+    x, y = dealt.alias("x"), dealt.alias("y")
+    n1, n2 = F.col("x.n_shingles"), F.col("y.n_shingles")
+    shared = F.ceil(percent * (n1 + n2) / (100 + percent))
+    apart = sum((F.bit_count(F.col(f"x.p{i}").bitwiseXOR(F.col(f"y.p{i}"))) for i in range(BITS // 128)), F.lit(0))
+    passes = (
+        (F.col("x.own") == F.col("x.salt")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
+        & similar(F.least(n1 - F.col("x.at"), n2 - F.col("y.at")), n1, n2, percent) & (apart <= n1 + n2 - 2 * shared)
+    )
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.salt") == F.col("y.salt")) & F.coalesce(passes, F.lit(False)))
+    return met.select(F.col("x.node").alias("node"), F.col("y.node").alias("other"))
+
+
 def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
     """node, component of the links and of all those between different components that they lack."""
 
@@ -247,13 +270,7 @@ def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int,
             top = F.max(F.struct("degree", "node", "n_shingles", "component")).alias("hub")
             met = left.join(left.groupBy("shingle").agg(top), "shingle").where((F.col("component") != F.col("hub.component")) & sizes(F.col("n_shingles"), F.col("hub.n_shingles"))).select("node", F.col("hub.node").alias("other"))
         else:
-            # A shingle of n nodes is dealt over n / SALTED tasks.
-            counted = left.join(left.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "shingle")
-            salts = F.ceil(F.col("n") / SALTED).cast("int")
-            x = counted.select("shingle", F.pmod(F.xxhash64("node"), salts).cast("int").alias("salt"), "node", "n_shingles", "at", "component")
-            y = counted.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("node").alias("other"), F.col("n_shingles").alias("n2"), F.col("at").alias("at2"), F.col("component").alias("component2"))
-            most = F.least(F.col("n_shingles") - F.col("at"), F.col("n2") - F.col("at2"))
-            met = x.join(y, ["shingle", "salt"]).where((F.col("node") < F.col("other")) & (F.col("component") != F.col("component2")) & sizes(F.col("n_shingles"), F.col("n2")) & similar(most, F.col("n_shingles"), F.col("n2"), percent)).select("node", "other")
+            met = _all_pairs(left, classes, percent)
         pairs = settled(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "met")
         more = settled(confirm(docs, settled(plausible(pairs, classes, percent), "plausible"), width, percent).where("linked").select("a", "b"), "more")
         none = more.isEmpty()
