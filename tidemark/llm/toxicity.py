@@ -62,6 +62,10 @@ class Network:
         known = np.where(at < len(self.vocabulary), self.vocabulary[np.minimum(at, len(self.vocabulary) - 1)] == hashes, False) if len(self.vocabulary) else np.zeros(len(hashes), bool)
         low = np.where(GAPS[text], 0, LOWER[text]).astype(np.uint32)
         before, after = np.concatenate((low[:1] * 0, low[:-1])), np.concatenate((low[1:], low[:1] * 0))
+        # Texts lie end to end; no trigram reaches into the next one.
+        begins = np.concatenate(([0], ends[:-1]))
+        before[begins[begins < len(text)]] = 0
+        after[ends[ends > 0] - 1] = 0
         grams = ((before * np.uint32(961) + low * np.uint32(31) + after) * np.uint32(2654435761)) >> np.uint32(23)
         return np.where(known, at, len(self.vocabulary)), grams, first, last, counts
 
