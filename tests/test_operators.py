@@ -192,3 +192,46 @@ def test_streamed_bars_equal_batch_bars(spark, tmp_path):
     empty = [t for t in flat if t not in want]
     assert empty and all(flat[t]["trades"] == 0 and flat[t]["open"] == flat[t]["close"] == flat[t - 60]["close"] for t in empty)
     assert sum(flat[t]["missing"] for t in flat) == 20
+
+
+def test_moments_of_large_prices_with_small_moves(spark):
+    values = [1e6 + v for v in (1.0, 2.0, 4.0, 4.0, 3.0, 3.0, 3.0, 3.0)]
+    got = series(spark, values).select("t", W.skew(F.col("close"), 4, W.series()).alias("s"), W.kurtosis(F.col("close"), 4, W.series()).alias("k")).orderBy("t").collect()
+    want = pd.Series([v - 1e6 for v in values]).rolling(4)
+    assert [r["s"] for r in got[3:7]] == pytest.approx(want.skew()[3:7].tolist(), abs=1e-6)
+    assert [r["k"] for r in got[3:7]] == pytest.approx(want.kurt()[3:7].tolist(), abs=1e-6) and (got[7]["s"], got[7]["k"]) == (0.0, -3.0)
+
+
+def test_scored_batches_see_history_and_replace_their_folder(spark, tmp_path):
+    rows = [("a", i * 60, float(i), float(i)) for i in range(8)]
+    for part in range(4):
+        spark.createDataFrame(rows[2 * part : 2 * part + 2], "symbol string, t long, close double, volume double").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("symbol string, t long, close double, volume double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    score = lambda bars: bars.withColumn("before", F.lag("close").over(W.series()))
+    live.scored_batches(stream, score, str(tmp_path / "out"), str(tmp_path / "c"), history=2).awaitTermination()
+    got = {r["t"]: r["before"] for r in spark.read.parquet(str(tmp_path / "out" / "scores")).collect()}
+    assert len(got) == 8 and all(got[i * 60] == (i - 1 if i else None) for i in range(8))
+    assert live.warmed_up(spark.read.parquet(str(tmp_path / "in")), 5).count() == 4
+
+
+def test_archives_refuse_and_deal(spark, tmp_path):
+    from tidemark.sources import archives
+
+    day = spark.createDataFrame([("a", 1_704_067_200_000_000, 1, "buy", 1.0, 2.0)], "symbol string, us long, seq long, side string, price double, amount double")
+    archives.write_stream(day, str(tmp_path / "t" / "trades"))
+    found = archives.day(spark, str(tmp_path / "t"), "20240101", ("trades", "liquidations"))
+    assert found["trades"].count() == 1 and found["liquidations"].count() == 0
+    with pytest.raises(FileNotFoundError):
+        archives.stream(spark, str(tmp_path / "t"), "liquidations", strict=True)
+    rows = spark.createDataFrame([("a", 0, 1.0, 1.0, 1.0, 1.0, 1.0)], "symbol string, open_time_ms long, open double, high double, low double, close double, volume double")
+    rows.write.partitionBy("symbol").parquet(str(tmp_path / "k"))
+    assert archives.candle_tree(spark, str(tmp_path / "k"), ["a"]).count() == 1
+    with pytest.raises(FileNotFoundError, match="b"):
+        archives.candle_tree(spark, str(tmp_path / "k"), ["a", "b"])
+    with pytest.raises(FileNotFoundError, match="4h"):
+        archives.framed_candles(spark, str(tmp_path / "k"), ["4h"])
+    with pytest.raises(ValueError, match="1d"):
+        archives.narrowed(rows.withColumn("4h_x", F.lit(1)), ["4h", "1d"])
+    archives.write_slices(rows.withColumns({"regime": F.lit("r"), "position": F.lit("long")}), str(tmp_path / "s"))
+    kept = archives.slices(spark, str(tmp_path / "s"), ["r"], ("symbol", "open_time_ms"))
+    assert kept.count() == 1 and "regime" in kept._jdf.queryExecution().toString().split("PartitionFilters")[1][:80]

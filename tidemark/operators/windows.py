@@ -62,21 +62,16 @@ def _spread(x: Column, over: WindowSpec) -> Column:
 def skew(x: Column, n: int, w: WindowSpec) -> Column:
     """Bias-corrected; 0 in a constant window."""
     over = last_rows(n, w)
-    m = F.avg(x).over(over)
-    # Moments by hand: skewness() raises on a constant window before any CASE can step in.
-    m2, m3 = F.avg(x * x).over(over) - m * m, F.avg(x * x * x).over(over) - 3 * m * F.avg(x * x).over(over) + 2 * m * m * m
-    g = m3 / F.pow(F.when(m2 > 0, m2), F.lit(1.5))
-    return enough(F.when(_spread(x, over), g * (n * (n - 1)) ** 0.5 / (n - 2)).otherwise(0.0), x, over, n)
+    # The built-in keeps central moments, so large prices with small moves do not cancel.
+    unbiased = F.skewness(x).over(over) * ((n * (n - 1)) ** 0.5 / (n - 2))
+    return enough(F.when(_spread(x, over), unbiased).otherwise(0.0), x, over, n)
 
 
 def kurtosis(x: Column, n: int, w: WindowSpec) -> Column:
     """Bias-corrected excess; -3 in a constant window."""
     over = last_rows(n, w)
-    p = [None, *[F.avg(F.pow(x, F.lit(float(k)))).over(over) for k in (1, 2, 3, 4)]]
-    m2 = p[2] - p[1] * p[1]
-    m4 = p[4] - 4 * p[1] * p[3] + 6 * p[1] * p[1] * p[2] - 3 * p[1] * p[1] * p[1] * p[1]
-    g = m4 / F.pow(F.when(m2 > 0, m2), F.lit(2.0)) - 3
-    return enough(F.when(_spread(x, over), ((n + 1) * g + 6) * (n - 1) / ((n - 2) * (n - 3))).otherwise(-3.0), x, over, n)
+    unbiased = ((n + 1) * F.kurtosis(x).over(over) + 6) * (n - 1) / ((n - 2) * (n - 3))
+    return enough(F.when(_spread(x, over), unbiased).otherwise(-3.0), x, over, n)
 
 
 def correlation(x: Column, y: Column, n: int, w: WindowSpec) -> Column:
