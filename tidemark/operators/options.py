@@ -48,5 +48,28 @@ def daily_panel(chain: DataFrame) -> DataFrame:
 
 def short_straddle(premium: Column, spot: Column, strike: Column, highest: Column, stop: float) -> Column:
     """The gain of a sold call and put held to settlement, bought back at the stop if the premium ever rose that far."""
-    stopped = highest >= premium * (1 + stop)
+    stopped = F.round(highest, 9) >= F.round(premium * (1 + stop), 9)
     return F.when(stopped, -premium * stop).otherwise(premium - F.abs(spot - strike))
+
+
+def rolling_panel(panel: DataFrame, iv_scale: float = 1.0) -> DataFrame:
+    """A daily panel with returns of the spot, its deviation over a year's trading days, place against its mean, strength,
+    rank and share of the volatility, its ratio to the past deviation, and the change in open interest.
+
+    iv_scale: what the deviation is multiplied by to have the unit of the volatility (100 where that is in percent).
+    """
+    w, spot = W.series("asset", order="day"), F.col("spot_close")
+    known = [F.col("iv_call"), F.col("iv_put")]
+    mean_iv = W.ratio(F.coalesce(known[0], F.lit(0.0)) + F.coalesce(known[1], F.lit(0.0)), known[0].isNotNull().cast("int") + known[1].isNotNull().cast("int"))
+    total = F.coalesce("oi_call", F.lit(0.0)) + F.coalesce("oi_put", F.lit(0.0))
+    before = F.lag(spot).over(w)
+    base = panel.select("*", mean_iv.alias("iv"), total.alias("total_oi"), F.log(W.ratio(spot, before)).alias("__r"), (spot - before).alias("__d"))
+    gain, loss = (F.avg(F.greatest(x, F.lit(0.0))).over(W.last_rows(7, w)) for x in (F.col("__d"), -F.col("__d")))
+    deviation = {n: W.std(F.col("__r"), n, w, max(2, n // 2)) * 252**0.5 for n in (10, 20)}
+    return base.select(
+        *panel.columns, "iv", "total_oi", *[W.change(spot, n, w).alias(f"spot_return_{n}d") for n in (5, 10, 20, 60)], *[x.alias(f"hv_{n}d") for n, x in deviation.items()],
+        (W.ratio(spot, W.mean(spot, 20, w, 5)) - 1).alias("spot_vs_ma20"), F.coalesce(100 - 100 / (1 + W.ratio(gain, loss)), F.lit(50.0)).alias("rsi_7"),
+        W.rank_in_range(F.col("iv"), 252, w).alias("iv_rank"), W.enough(W.share_below(F.col("iv"), 252, w), F.col("iv"), W.last_rows(252, w), 10).alias("iv_pctile"),
+        W.ratio(F.col("iv"), deviation[20] * iv_scale).alias("iv_vs_hv20"), (F.col("total_oi") - F.lag("total_oi").over(w)).alias("oi_1d_change"),
+        F.col("term_ratio").alias("term_structure_ratio"), F.col("skew_25").alias("skew_25d_rr"),
+    )
