@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 from .store import workers_find_library
 
 #: Bytes of a worker's memo of pieces (and as many of the generation before), what an entry takes besides its text, and the longest text kept.
-MEMO_BYTES, ENTRY, LONGEST_KEPT = 20_000_000, 160, 200
-PAIRS_KEPT = 250_000
+MEMO_BYTES, ENTRY, LONGEST_KEPT = 48_000_000, 160, 200
+PAIRS_KEPT = 500_000
 
 
 class PrefixCoder:
