@@ -39,7 +39,7 @@ def own_queries():
 
 
 def llm_names():
-    if not entry.HAS_LLM:
+    if entry.llm is None:
         return set()
     from tidemark.llm.queries import QUERIES
 
