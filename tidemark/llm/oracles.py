@@ -75,4 +75,31 @@ proven AS (SELECT stratum, rule, arg_max(cutoff, g) AS cutoff FROM counts WHERE
 rejected AS (SELECT DISTINCT doc_id FROM measured JOIN proven USING (stratum, rule) WHERE x > cutoff)
 SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND r.doc_id IS NULL AS kept FROM stats s LEFT JOIN rejected r ON r.doc_id = s.doc_id"""
 
-ORACLES = {"op2_line_dedup": LINES, "op3_license_scan": LICENCES, "op6_minhash_forest": NEAR_COPIES, "op8_chat_format": CHATS, "op9_risk_rules": RULES}
+_PARTS, _ENTRIES, _ROUNDS = 8, 16, 6
+
+
+def _vector_codes() -> str:
+    """Each round's assignment and codebooks as tables of their own."""
+    # cut: part p of each vector; book0: parts of the smallest ids; near1: nearest entries by book0; book1: after one round.
+    tables = [
+        "whole AS (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(floor(4096 * CAST(v AS DOUBLE)) AS BIGINT)) AS x FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0)",
+        f"cut AS MATERIALIZED (SELECT vec_id, label, p, x[p * len(x) // {_PARTS} + 1:(p + 1) * len(x) // {_PARTS}] AS x FROM whole, range(0, {_PARTS}) r(p))",
+        f"book0 AS MATERIALIZED (SELECT p, i, x AS e FROM cut JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM whole ORDER BY vec_id LIMIT {_ENTRIES}) USING (vec_id))",
+    ]
+    for k in range(_ROUNDS + 1):
+        squares = "list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+        tables.append(f"near{k} AS MATERIALIZED (SELECT vec_id, label, p, x, min(ROW({squares}, i)) AS b FROM cut JOIN book{k} USING (p) GROUP BY ALL)")
+        if k < _ROUNDS:
+            floor = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+            tables += [
+                f"sum{k} AS (SELECT p, i, d, sum(v) AS s, count(*) AS n FROM (SELECT p, struct_extract(b, 2) AS i, unnest(range(1, len(x) + 1)) AS d, unnest(x) AS v FROM near{k}) GROUP BY ALL)",
+                f"book{k + 1} AS MATERIALIZED (SELECT p, i, coalesce(m.e, o.e) AS e FROM book{k} o LEFT JOIN (SELECT p, i, list({floor} ORDER BY d) AS e FROM sum{k} GROUP BY ALL) m USING (p, i))",
+            ]
+    last = _ROUNDS
+    return f"""WITH {", ".join(tables)},
+rows AS (SELECT vec_id, label, string_agg(printf('%02x', struct_extract(b, 2)), '' ORDER BY p) AS code, CAST(sum(struct_extract(b, 1)) AS BIGINT) AS error FROM near{last} GROUP BY ALL),
+digest AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, i, d)) AS codebooks_sha256 FROM (SELECT p, i, unnest(range(0, len(e))) AS d, unnest(e) AS v FROM book{last}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM rows, digest"""
+
+
+ORACLES = {"op2_line_dedup": LINES, "op3_license_scan": LICENCES, "op6_minhash_forest": NEAR_COPIES, "op8_chat_format": CHATS, "op9_risk_rules": RULES, "op11_va_codes": _vector_codes()}

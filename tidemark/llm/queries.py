@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, license_scan, line_dedup, minhash_forest, pii_surrogates, quality_rank, risk_rules, toxicity
+from . import bpe, chat_format, decontaminate, license_scan, line_dedup, minhash_forest, pii_surrogates, quality_rank, risk_rules, toxicity, vector_code, whitening, word_bpe
 from .oracles import ORACLES as ORACLES
 
 
@@ -66,6 +66,21 @@ def op9_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_va_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_code.encode(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return word_bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), most=32)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -77,4 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_risk_rules": op9_risk_rules,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_va_codes": op11_va_codes,
+    "op12_word_bpe": op12_word_bpe,
+    "op13_jacobi_whitening": op13_jacobi_whitening,
 }
