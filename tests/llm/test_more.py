@@ -195,3 +195,71 @@ def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
         got = pipeline.run(spark, str(tmp_path / name)).collect()
         # Without labels nothing is toxic; copies and their rows go, texts without a word stay.
         assert (len(got) == 0) if name == "none" else {2, 3, 4, 0, 5, 8} <= {r["doc_id"] for r in got} and len(got) <= docs.count()
+
+
+def shingle_set(text):
+    w = (text or "").split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def naive_groups(rows, percent):
+    """Group of each set, and the least doc_id of each group, by all pairs of distinct sets."""
+    group = {s: s for s in {shingle_set(t) for d, t in rows if d is not None} if s}
+    for a in group:
+        for b in group:
+            if group[a] != group[b] and 100 * len(a & b) >= percent * len(a | b):
+                old, new = group[b], group[a]
+                group = {s: new if g == old else g for s, g in group.items()}
+    least = {}
+    for d, t in rows:
+        if d is not None and shingle_set(t):
+            g = group[shingle_set(t)]
+            least[g] = min(least.get(g, d), d)
+    return group, least
+
+
+def test_one_doc_id_over_several_texts(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    a, u = " ".join(words(60, 1)), " ".join(words(60, 2))
+    rows = [(3, a), (7, a), (7, u), (9, " ".join(words(60, 3)))]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == {(3, a), (7, u), (9, rows[3][1])}
+    bases = [words(50, 10 + i) for i in range(8)]
+    rows = []
+    for _ in range(120):
+        w = list(bases[rng.randrange(8)])
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            w[rng.randrange(len(w))] = f"z{rng.randrange(9)}"
+        rows.append((rng.choice([None, *range(30)]), " ".join(w)))
+    rows += [(5, ""), (5, None), (6, "two words"), (None, "two words")]
+    group, least = naive_groups(rows, 85)
+    for kind in ("long", "int"):
+        docs = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(6)
+        keys = docs.select(store.row_key().alias("k"), "text").select("k.one", "k.two", "text").distinct()
+        judged = minhash_forest.groups(docs, percent=85, with_row=True)
+        got = judged.join(keys, (judged["row1"] == keys["one"]) & (judged["row2"] == keys["two"])).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            own = shingle_set(r["text"])
+            want = least[group[own]] if own in group else r["doc_id"] if not own else None
+            assert r["component_id"] == want and r["kept"] == (r["doc_id"] is not None and r["doc_id"] == want)
+    group, _ = naive_groups(rows, 80)
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    for g in {*group.values()}:
+        assert len({(d, t) for d, t in left if d is not None and shingle_set(t) and group[shingle_set(t)] == g}) == 1
+    assert {r for r in rows if r[0] is None or not shingle_set(r[1])} <= {*left} <= {*rows}
+
+
+def test_one_long_text_does_not_end_the_sample(spark):
+    """Texts are learned from as if one labelled text above the bound were not there."""
+    rows = [(i, " ".join(words(30, i))) for i in range(60)]
+    long_id = 1000
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows] + [(long_id, 1)], "doc_id long, quality long")
+    chosen = []
+    for longer in ([], [(long_id, "x" * 200_000)]):
+        docs = spark.createDataFrame(rows + longer, "doc_id long, text string")
+        known = quality_rank.learnable(docs, labels, "quality", 3, 5)
+        chosen.append({r["doc_id"] for r in quality_rank.labelled(docs, known, {0: 50, 1: 50}, 100_000).collect()})
+    assert chosen[0] == chosen[1] and len(chosen[0]) == 60

@@ -17,8 +17,9 @@ may differ in shingles; no link is lost by that, and few other pairs pass.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; copies, repeated rows and ties go
 to the smallest doc_id; rows without a doc_id belong to the group of their text but never represent it (component_id
-may be null then, kept is false); different texts under one doc_id count as one node; very long texts are large sets,
-taken whole; an empty table gives an empty table; extra columns of any name are ignored.
+may be null then, kept is false); different texts under one doc_id are nodes of their own, so each row is judged by its
+text, and `first` holds for the rows of one text of a group only; very long texts are large sets, taken whole; an empty
+table gives an empty table; extra columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import mixed, text_sets
-from .store import MOST_KEYS, dropped, matching, settled, workers_find_library
+from .store import MOST_KEYS, dropped, matching, row_key, settled, workers_find_library
 
 TREES, DEPTH = 16, 8
 NEIGHBOURS = 2
@@ -88,12 +89,12 @@ def parities(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, n_shingles, two keys of the whole set, its minhashes (null without shingles), its prefix and its parities."""
+    """doc_id, the key of the row, n_shingles, two keys of the whole set, its minhashes (null without shingles), its prefix and its parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, one, two, signs, heads, bits, wide = [], [], [], [], [], [], []
-            for values in text_sets(batch.column(1), width):
+            for values in text_sets(batch.column(3), width):
                 counts.append(len(values))
                 one.append(int(mixed(values).sum().view(np.int64)) if len(values) else 0)
                 two.append(int(mixed(values ^ np.uint64(0x5851F42D4C957F2D)).sum().view(np.int64)) if len(values) else 0)
@@ -101,10 +102,10 @@ def sketch(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray,
                 heads.append(prefix(values, percent, common).view(np.int64))
                 bits.append(parities(values, BITS))
                 wide.append(parities(values, WIDE_BITS) if len(values) > SMALL else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.binary()), pa.array(heads, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "key1", "key2", "signature", "head", "bits", "wide"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(counts, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signs, pa.binary()), pa.array(heads, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())), pa.array(wide, pa.list_(pa.int64()))], names=["doc_id", "row1", "row2", "n_shingles", "key1", "key2", "signature", "head", "bits", "wide"])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles bigint, key1 bigint, key2 bigint, signature binary, head array<bigint>, bits array<bigint>, wide array<bigint>"
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row1 bigint, row2 bigint, n_shingles bigint, key1 bigint, key2 bigint, signature binary, head array<bigint>, bits array<bigint>, wide array<bigint>"
+    return docs.select("doc_id", row_key().alias("row"), F.col("text").cast("string").alias("text")).select("doc_id", "row.one", "row.two", "text").mapInArrow(run, schema)
 
 
 def _pairs(keys: np.ndarray, trees: np.ndarray, ids: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,8 +190,11 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (apart <= F.col("na") + F.col("nb") - 2 * shared)).select("a", "b")
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """pairs (a, b) with linked, from the full sets of their texts, which are read once more."""
+def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """pairs (a, b) with linked, from the full sets of their texts, which are read once more.
+
+    A node's text is that of its first row: found by doc_id, then told from other texts under that id by the row's key.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,12 +205,16 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Data
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
                     at, sets = at + len(sets), []
 
-    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    texts = matching(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), ids, "doc_id").dropDuplicates(["doc_id"])
+    nodes = settled(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-nodes")
+    ids = settled(matching(classes.select("node", "doc_id", "row1", "row2"), nodes, "node"), "pair-ids")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("doc_id").cast("bigint").alias("id"))
+    found = matching(texts, ids.select(F.col("doc_id").alias("id")).distinct(), "id")
+    found = found.select(row_key().alias("row"), "text").select(F.col("row.one").alias("row1"), F.col("row.two").alias("row2"), "text")
+    texts = found.join(F.broadcast(ids) if ids.count() <= MOST_KEYS // 4 else ids, ["row1", "row2"]).select("node", "text").dropDuplicates(["node"])
     sets = settled(texts.mapInArrow(run, "node bigint, set array<bigint>"), "pair-sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("one")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("two")), "b")
     found = settled(both.select("a", "b", similar(F.size(F.array_intersect("one", "two")), F.size("one"), F.size("two"), percent).alias("linked")), "confirmed")
-    dropped(ids, sets)
+    dropped(nodes, ids, sets)
     return found
 
 
@@ -222,10 +230,11 @@ def hubs_of_failed(tried: DataFrame) -> DataFrame:
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """Rows (shingle, node, n_shingles, at, component, degree) of shingles whose nodes lie in more than one component; one shuffle."""
-    over = Window.partitionBy("shingle")
-    seen = rows.withColumns({"low": F.min("component").over(over), "high": F.max("component").over(over)})
-    return settled(seen.where("low < high").drop("low", "high"), "open")
+    """Rows (shingle, node, n_shingles, at, component, degree) of shingles whose nodes lie in more than one component."""
+    keys = settled(rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle"), "open-shingles")
+    left = settled(matching(rows, keys, "shingle"), "open")
+    dropped(keys)
+    return left
 
 
 def _all_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -272,7 +281,7 @@ def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int,
         else:
             met = _all_pairs(left, classes, percent)
         pairs = settled(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "met")
-        more = settled(confirm(docs, settled(plausible(pairs, classes, percent), "plausible"), width, percent).where("linked").select("a", "b"), "more")
+        more = settled(confirm(docs, classes, settled(plausible(pairs, classes, percent), "plausible"), width, percent).where("linked").select("a", "b"), "more")
         none = more.isEmpty()
         if not none:
             links = settled(links.union(more), "all-links")
@@ -288,19 +297,32 @@ def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int,
     return found
 
 
-def groups(docs: DataFrame, width: int = 5, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of docs (doc_id integer, text)."""
+def groups(docs: DataFrame, width: int = 5, percent: int = 85, with_row: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of docs (doc_id integer, text).
+
+    with_row: also row1 and row2, the key of the row, and first, true for the one text that stands for its group.
+    """
     workers_find_library(docs.sparkSession)
     sketches = settled(sketch(docs, width, percent, common_shingles(docs, width)), "sketches")
-    classes = settled(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "head", "bits", "wide")).alias("first")).select("key1", "key2", F.col("first.doc_id").cast("bigint").alias("node"), "first.n_shingles", "first.signature", "first.head", "first.bits", "first.wide"), "classes")
+    carried = ("doc_id", "row1", "row2", "n_shingles", "signature", "head", "bits", "wide")
+    by_set = sketches.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2").agg(F.min(F.struct(*carried)).alias("first"))
+    # Nodes are numbers of their own: one doc_id may stand over several texts.
+    classes = settled(by_set.select("key1", "key2", F.monotonically_increasing_id().alias("node"), F.col("first.doc_id").cast("bigint").alias("doc_id"), *[f"first.{c}" for c in carried[1:]]), "classes")
     near = candidates(classes)
     likely = settled(plausible(near, classes, percent), "plausible")
-    linked = confirm(docs, likely, width, percent)
+    linked = confirm(docs, classes, likely, width, percent)
     # Of a pair that is ruled out or fails, the best connected neighbours are tried.
     tried = settled(near.join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked")), "tried")
     more = settled(plausible(hubs_of_failed(tried), classes, percent), "hubs")
-    links = settled(tried.where("linked").union(confirm(docs, more, width, percent).where("linked")).select("a", "b"), "forest-links")
-    of_class = classes.select("key1", "key2", "node").join(completed(docs, classes, links, width, percent), "node", "left").select("key1", "key2", F.coalesce("component", "node").alias("component"))
-    found = sketches.where("n_shingles > 0").select("doc_id", "n_shingles", "key1", "key2").join(of_class, ["key1", "key2"], "left").select("doc_id", "n_shingles", "component")
-    empty = sketches.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
-    return found.unionByName(empty).select("doc_id", "n_shingles", F.col("component").cast(docs.schema["doc_id"].dataType).alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False)).alias("kept"))
+    links = settled(tried.where("linked").union(confirm(docs, classes, more, width, percent).where("linked")).select("a", "b"), "forest-links")
+    met = settled(completed(docs, classes, links, width, percent).join(classes.select("node", "doc_id"), "node"), "members")
+    firsts = settled(met.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least")).select("component", F.col("least.doc_id").alias("least_id"), F.col("least.node").alias("least_node")), "firsts")
+    met = settled(met.join(F.broadcast(firsts) if firsts.count() <= MOST_KEYS // 4 else firsts, "component").select("node", "least_id", "least_node"), "members")
+    of_class = classes.select("key1", "key2", "node", "doc_id").join(met, "node", "left")
+    of_class = of_class.select("key1", "key2", F.coalesce("least_id", "doc_id").alias("component"), F.coalesce(F.col("least_node") == F.col("node"), F.lit(True)).alias("leads"))
+    rows = ("doc_id", "row1", "row2", "n_shingles")
+    found = sketches.where("n_shingles > 0").select(*rows, "key1", "key2").join(of_class, ["key1", "key2"], "left").select(*rows, "component", "leads")
+    empty = sketches.where("n_shingles = 0").select(*rows, F.col("doc_id").cast("bigint").alias("component"), F.lit(True).alias("leads"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False))
+    more = ["row1", "row2", (kept & F.coalesce("leads", F.lit(False))).alias("first")] if with_row else []
+    return found.unionByName(empty).select("doc_id", "n_shingles", F.col("component").cast(docs.schema["doc_id"].dataType).alias("component_id"), kept.alias("kept"), *more)

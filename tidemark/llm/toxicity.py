@@ -9,7 +9,7 @@ document scores as its worst window.
 
 Training learns from document labels: in each round the windows that score highest in their document stand for it. The
 sample is bounded (at most `most_toxic` + `most_clean` labelled documents of at most `most_chars` characters in all,
-taken by the hash of their id); every text of the table is scored whole.
+taken by the hash of their id, none of over a fiftieth of that); every text of the table is scored whole.
 
 Defined results: null and empty texts, and texts without a word, score 0; very long texts are scored whole, in a chunk
 of their own; repeated rows are scored row by row and learned from once; of repeated labels the smallest counts, null
