@@ -155,7 +155,7 @@ def unit_root_statistic(spreads: DataFrame, by: str = "pair") -> DataFrame:
     det = F.col("ss") * F.col("ll") - F.col("sl") * F.col("sl")
     b = (F.col("sd") * F.col("ll") - F.col("ld") * F.col("sl")) / F.when(det > 0, det)
     c = (F.col("ld") * F.col("ss") - F.col("sd") * F.col("sl")) / F.when(det > 0, det)
-    residual = F.greatest(F.col("dd") - b * F.col("sd") - c * F.col("ld"), F.lit(0.0)) * F.col("n") / (F.col("n") - 4)
+    residual = F.greatest(F.col("dd") - b * F.col("sd") - c * F.col("ld"), F.lit(0.0)) * F.col("n") / (F.col("n") - 3)
     error = F.sqrt(residual * F.col("ll") / F.when(det > 0, det) / F.col("n"))
     return m.where("n > 4").select(by, "n", b.alias("level"), W.ratio(b, error).alias("statistic"))
 
@@ -169,3 +169,10 @@ def break_states(rows: DataFrame, p: str = "p", threshold: float = 0.05, by: str
     failed = ever.withColumn("__f", F.max(((F.col("__e") == 1) & ~F.col("__p")).cast("int")).over(W.so_far(w)))
     state = F.when(F.col("__e") == 0, "inactive").when(F.col("__f") == 0, "cointegrated").when(F.col("__p"), "recovered").otherwise("broken")
     return failed.select(*rows.columns, state.alias("state"))
+
+
+def both_recovered(quick: DataFrame, slow: DataFrame, by: str = "pair", order: str = "t") -> DataFrame:
+    """quick with slow_state, the state of the slower frame at the same time, and tradeable, true where both have recovered."""
+    other = slow.select(by, order, F.col("state").alias("slow_state"))
+    both = (F.col("state") == "recovered") & F.coalesce(F.col("slow_state") == "recovered", F.lit(False))
+    return quick.join(other, [by, order], "left").withColumn("tradeable", both)

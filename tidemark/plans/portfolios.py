@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import pairs, sequential
+from ..operators import cointegration, pairs, portfolio, sequential
 from ..operators import windows as W
 from ..sources import driver_tables as tables
 from . import oracles as sql
@@ -71,14 +71,111 @@ def correlation_breaks(spark, sf_dir):
     return sequential.positions_by_break(rows, 0.1, by=("pair",)).select("pair", "t", "position")
 
 
-_P = "p AS (SELECT pair, t, exp(-abs(coalesce(z, 0))) AS p FROM scores)"
+def _normal(z: str) -> str:
+    """The normal distribution function, by the series of the error function."""
+    x = f"(abs({z}) / sqrt(2))"
+    series = f"list_sum(list_transform(range(0, 400), lambda n: exp(-{x} * {x} + (2 * n + 1) * ln({x}) + n * ln(4) + lgamma(n + 1) - lgamma(2 * n + 2))))"
+    return f"(0.5 + sign({z}) / sqrt(pi()) * CASE WHEN {z} = 0 THEN 0 ELSE {series} END)"
 
 
-@query("break_states", f"""WITH RECURSIVE {sql.PAIRS}, {_P}, k AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY t) AS i FROM p), run AS (SELECT pair, CAST(0 AS BIGINT) AS i, 'inactive' AS state FROM (SELECT DISTINCT pair FROM k) UNION ALL SELECT k.pair, k.i, CASE WHEN p < 0.2 THEN CASE state WHEN 'inactive' THEN 'cointegrated' WHEN 'broken' THEN 'recovered' ELSE state END ELSE CASE state WHEN 'inactive' THEN state ELSE 'broken' END END FROM run r JOIN k ON k.pair = r.pair AND k.i = r.i + 1)
-  SELECT k.pair, k.t, state FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i""")
+def _tested(source: str, by: str, constant: bool = True, series: int = 1) -> str:
+    """Common table expressions up to `tested` (by, lags, n, statistic, p) for the column spread of source, with one lag at most."""
+    k, at = int(constant), series - 1
+    m = (lambda x, y: f"covar_pop({x}, {y})") if constant else (lambda x, y: f"avg({x} * {y})")
+    poly = lambda c: " + ".join(f"{v} * power(tau, {i})" for i, v in enumerate(c))
+    return f"""lag1 AS (SELECT {by}, t, lag(spread) OVER w AS s, spread - lag(spread) OVER w AS d FROM {source} WHERE spread IS NOT NULL WINDOW w AS (PARTITION BY {by} ORDER BY t)), lag2 AS (SELECT *, lag(d) OVER w AS l FROM lag1 WINDOW w AS (PARTITION BY {by} ORDER BY t)),
+  whole AS (SELECT {by}, count(*) AS n0, {m('s', 's')} AS ss0, {m('s', 'd')} AS sd0, {m('d', 'd')} AS dd0 FROM lag2 WHERE s IS NOT NULL GROUP BY ALL),
+  common AS (SELECT {by}, count(*) AS n1, {m('s', 's')} AS ss, {m('l', 'l')} AS ll, {m('d', 'd')} AS dd, {m('s', 'l')} AS sl, {m('s', 'd')} AS sd, {m('l', 'd')} AS ld FROM lag2 WHERE s IS NOT NULL AND l IS NOT NULL GROUP BY ALL),
+  solved AS (SELECT *, sd0 / nullif(ss0, 0) AS b0, ss * ll - sl * sl AS det, (sd * ll - ld * sl) / nullif(ss * ll - sl * sl, 0) AS b1, (ld * ss - sd * sl) / nullif(ss * ll - sl * sl, 0) AS c1 FROM whole LEFT JOIN common USING ({by})),
+  orders AS (SELECT *, CASE WHEN n0 >= 19 AND n1 * ln(dd - b1 * sd - c1 * ld) + 2 < n1 * ln(dd - sd * sd / ss) THEN 1 ELSE 0 END AS lags FROM solved),
+  taus AS (SELECT *, CASE WHEN n0 < 19 THEN NULL WHEN lags = 1 THEN b1 / sqrt((dd - b1 * sd - c1 * ld) / (n1 - 2 - {k}) * ll / det) ELSE b0 / sqrt((dd0 - b0 * sd0) / (n0 - 1 - {k}) / ss0) END AS tau FROM orders),
+  zs0 AS (SELECT *, CASE WHEN tau <= {cointegration.TAU_STAR[at]} THEN {poly(cointegration.TAU_SMALL[at])} ELSE {poly(cointegration.TAU_LARGE[at])} END AS zt FROM taus),
+  tested AS (SELECT {by}, lags, CASE WHEN lags = 1 THEN n1 ELSE n0 END AS n, tau AS statistic, CASE WHEN tau IS NULL OR tau > {cointegration.TAU_MAX[at]} THEN 1 WHEN tau < {cointegration.TAU_MIN[at]} THEN 0 ELSE {_normal('zt')} END AS p FROM zs0)"""
+
+
+@query("unit_root_tests", f"WITH {sql.PAIRS}, {_tested('spreads', 'pair')} SELECT pair, lags, n, round(statistic, 6) + 0.0 AS statistic, round(p, 6) + 0.0 AS p FROM tested")
+def unit_root_tests(spark, sf_dir):
+    df = cointegration.unit_root_test(_spreads(spark, sf_dir), ["pair"], lags=1)
+    return df.select("pair", "lags", "n", *rounded(df, "statistic p"))
+
+
+@query("engle_granger_tests", f"WITH {sql.PAIRS}, {_tested('spreads', 'pair', constant=False, series=2)} SELECT pair, lags, n, round(statistic, 6) + 0.0 AS statistic, round(p, 6) + 0.0 AS p FROM tested")
+def engle_granger_tests(spark, sf_dir):
+    df = cointegration.engle_granger(_spreads(spark, sf_dir), ["pair"], lags=1)
+    return df.select("pair", "lags", "n", *rounded(df, "statistic p"))
+
+
+# Windows of 180 days, every 30 days; the slower frame has weekly closes in windows of 720 days.
+_BACK, _STEP, _SLOW, _P = 180, 30, 720, 1e-5
+
+
+def _window_spreads(source: str, back: int) -> str:
+    """seen: the rows of each window's past; wfits, wspreads: hedged in the window."""
+    return f"""seen AS (SELECT pair, t, x, y, t - t % {_STEP * 86400} + k * {_STEP * 86400} AS win FROM {source}, range(0, {-(-back // _STEP) + 1}) r(k) WHERE t < t - t % {_STEP * 86400} + k * {_STEP * 86400} AND t >= t - t % {_STEP * 86400} + k * {_STEP * 86400} - {back * 86400}),
+  wfits AS (SELECT pair, win, CASE WHEN count(x) >= 10 THEN coalesce(regr_slope(y, x), 1) ELSE 1 END AS hedge, avg(x) AS mx, avg(y) AS my FROM seen GROUP BY 1, 2),
+  wspreads AS (SELECT pair, win, t, y - hedge * x - (my - hedge * mx) AS spread FROM seen JOIN wfits USING (pair, win))"""
+
+
+_STATE = f"""k AS (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY win) AS i FROM tested), run AS (SELECT pair, CAST(0 AS BIGINT) AS i, 'inactive' AS state FROM (SELECT DISTINCT pair FROM k) UNION ALL SELECT k.pair, k.i, CASE WHEN p < {_P} THEN CASE state WHEN 'inactive' THEN 'cointegrated' WHEN 'broken' THEN 'recovered' ELSE state END ELSE CASE state WHEN 'inactive' THEN state ELSE 'broken' END END FROM run r JOIN k ON k.pair = r.pair AND k.i = r.i + 1)"""
+_WEEKLY = f"{sql.CANDLES}, weekly AS (SELECT symbol, t - t % 604800 AS t, arg_max(close, t) AS close FROM candles GROUP BY 1, 2), pairs AS (SELECT a.symbol || '/' || b.symbol AS pair, a.t, ln(a.close) AS x, ln(b.close) AS y FROM weekly a JOIN weekly b ON a.t = b.t AND a.symbol < b.symbol)"
+
+
+def _window_tests(aligned, back):
+    seen = pairs.walk_forward(aligned, back * pairs.DAY, _STEP * pairs.DAY).where("not test")
+    keyed = seen.select(F.concat_ws("|", "pair", F.col("window").cast("string")).alias("pair"), "t", "x", "y")
+    tests = cointegration.unit_root_test(pairs.hedged(keyed), ["pair"], lags=1)
+    return tests.select(F.substring_index("pair", "|", 1).alias("pair"), F.substring_index("pair", "|", -1).cast("long").alias("t"), "p")
+
+
+@query("break_states", f"WITH RECURSIVE {sql.PAIRS}, {_window_spreads('pairs', _BACK)}, {_tested('wspreads', 'pair, win')}, {_STATE} SELECT k.pair, k.win AS t, round(k.p, 6) + 0.0 AS p, state FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i")
 def break_states(spark, sf_dir):
-    rows = _scores(spark, sf_dir).select("pair", "t", F.exp(-F.abs(F.coalesce("z", F.lit(0.0)))).alias("p"))
-    return pairs.break_states(rows, threshold=0.2).select("pair", "t", "state")
+    df = pairs.break_states(_window_tests(pairs.aligned(tables.candles(spark, sf_dir)), _BACK), threshold=_P)
+    return df.select("pair", "t", *rounded(df, "p"), "state")
+
+
+_BOTH = f"""WITH RECURSIVE quick AS (WITH RECURSIVE {sql.PAIRS}, {_window_spreads('pairs', _BACK)}, {_tested('wspreads', 'pair, win')}, {_STATE} SELECT k.pair, k.win AS t, state FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i),
+  slow AS (WITH RECURSIVE {_WEEKLY}, {_window_spreads('pairs', _SLOW)}, {_tested('wspreads', 'pair, win')}, {_STATE} SELECT k.pair, k.win AS t, state FROM k JOIN run r ON r.pair = k.pair AND r.i = k.i)
+  SELECT pair, t, quick.state, slow.state AS slow_state, quick.state = 'recovered' AND coalesce(slow.state = 'recovered', false) AS tradeable FROM quick LEFT JOIN slow USING (pair, t)"""
+
+
+@query("states_of_two_frames", _BOTH)
+def states_of_two_frames(spark, sf_dir):
+    candles = tables.candles(spark, sf_dir)
+    weekly = candles.groupBy("symbol", (F.col("t") - F.pmod("t", F.lit(7 * pairs.DAY))).alias("week")).agg(F.max_by("close", "t").alias("close")).withColumnRenamed("week", "t")
+    quick = pairs.break_states(_window_tests(pairs.aligned(candles), _BACK), threshold=_P)
+    slow = pairs.break_states(_window_tests(pairs.aligned(weekly), _SLOW), threshold=_P)
+    return pairs.both_recovered(quick, slow).select("pair", "t", "state", "slow_state", "tradeable")
+
+
+def _yearly(spark, sf_dir):
+    rows = pairs.walk_forward(tables.candles(spark, sf_dir), 730 * pairs.DAY, 365 * pairs.DAY)
+    return rows.where("not test").select("window", "t", "symbol", "close")
+
+
+@query("cointegrating_vectors")
+def cointegrating_vectors(spark, sf_dir):
+    prices = _yearly(spark, sf_dir)
+    baskets = prices.groupBy("window").agg(F.slice(F.array_sort(F.collect_set("symbol")), 1, 3).alias("symbols"))
+    df = cointegration.cointegrating_vectors(prices, baskets, ["window"])
+    return df.select("window", "n", "rank", "place", *rounded(df, "eigenvalue"), *rounded(df, "trace", 4), F.transform("weights", lambda x: F.round(x, 4) + 0.0).alias("weights"))
+
+
+@query("built_portfolios")
+def built_portfolios(spark, sf_dir):
+    df = portfolio.built(_yearly(spark, sf_dir), assets=3, most=0.6, rounds=100)
+    return df.select("window", "symbols", F.transform("weights", lambda x: F.round(x, 3) + 0.0).alias("weights"), *rounded(df, "speed deviation half_life drift score", 4), "n")
+
+
+_CARD = f"""{sql.PAIRS}, p AS (SELECT pair, t, spread, CASE WHEN z > 1.5 THEN -1.0 WHEN z < -1.5 THEN 1.0 ELSE 0.0 END AS position FROM scores), g AS (SELECT pair, t, coalesce(lag(position) OVER w, 0) * coalesce(spread - lag(spread) OVER w, 0) - abs(position - coalesce(lag(position) OVER w, 0)) * 0.001 AS gain FROM p WINDOW w AS (PARTITION BY pair ORDER BY t)),
+  s AS (SELECT pair, t - t % 7776000 AS win, CASE WHEN count(gain) > 1 THEN coalesce(avg(gain) / nullif(stddev_samp(gain), 0), 0) ELSE coalesce(sum(gain), 0) END AS sharpe FROM (SELECT pair, t - t % 86400 AS t, sum(gain) AS gain FROM g GROUP BY 1, 2) GROUP BY 1, 2)"""
+
+
+@query("scorecards", f'WITH {_CARD} SELECT pair, win AS "window", round(sharpe, 6) + 0.0 AS sharpe, sharpe > 0 AS good, round(CASE WHEN lag(sharpe) OVER w IS NULL THEN 1 ELSE least(greatest(lag(sharpe) OVER w, 0), 3) END, 6) + 0.0 AS weight, lag(sharpe) OVER w IS NULL OR coalesce(sum(CASE WHEN sharpe > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY pair ORDER BY win ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), 0) >= 2 AS trades FROM s WINDOW w AS (PARTITION BY pair ORDER BY win)')
+def scorecards(spark, sf_dir):
+    rows = _scores(spark, sf_dir).withColumn("position", pairs.threshold_position(F.col("z"), F.lit(1.5)))
+    days = pairs.daily(pairs.gains(rows, 0.001)).withColumn("window", F.col("day") - F.pmod("day", F.lit(7_776_000)))
+    df = portfolio.scorecard(days, least_good=2, of_last=4)
+    return df.select("pair", "window", *rounded(df, "sharpe"), "good", *rounded(df, "weight"), "trades")
 
 
 _ENTER = "CASE WHEN z > 1.5 THEN -1.0 WHEN z < -1.5 THEN 1.0 ELSE 0.0 END"
@@ -122,7 +219,7 @@ def best_settings(spark, sf_dir):
 
 
 @query("unit_root_statistics", f"""WITH {sql.PAIRS}, a AS (SELECT pair, t, lag(spread) OVER w AS s, spread - lag(spread) OVER w AS d FROM spreads {_W}), r AS (SELECT pair, s, d, lag(d) OVER w AS l FROM a {_W}), q AS (SELECT * FROM r WHERE s IS NOT NULL AND d IS NOT NULL AND l IS NOT NULL), m AS (SELECT pair, count(*) AS n, var_pop(s) AS ss, var_pop(l) AS ll, var_pop(d) AS dd, covar_pop(s, l) AS sl, covar_pop(s, d) AS sd, covar_pop(l, d) AS ld FROM q GROUP BY 1),
-  b AS (SELECT *, (sd * ll - ld * sl) / (ss * ll - sl * sl) AS b, (ld * ss - sd * sl) / (ss * ll - sl * sl) AS c FROM m WHERE n > 4) SELECT pair, n, round(b, 6) + 0.0 AS level, round(b / sqrt((dd - b * sd - c * ld) * n / (n - 4) * ll / (ss * ll - sl * sl) / n), 4) + 0.0 AS statistic FROM b""")
+  b AS (SELECT *, (sd * ll - ld * sl) / (ss * ll - sl * sl) AS b, (ld * ss - sd * sl) / (ss * ll - sl * sl) AS c FROM m WHERE n > 4) SELECT pair, n, round(b, 6) + 0.0 AS level, round(b / sqrt((dd - b * sd - c * ld) * n / (n - 3) * ll / (ss * ll - sl * sl) / n), 4) + 0.0 AS statistic FROM b""")
 def unit_root_statistics(spark, sf_dir):
     df = pairs.unit_root_statistic(_spreads(spark, sf_dir))
     return df.select("pair", "n", *rounded(df, "level"), *rounded(df, "statistic", 4))
