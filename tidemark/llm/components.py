@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import settled
+from .store import dropped, settled
 
 
 def _stars(links: DataFrame, small: bool) -> DataFrame:
@@ -27,8 +27,11 @@ def components(links: DataFrame) -> DataFrame:
     links = settled(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     state = None
     while True:
-        links = settled(_stars(_stars(links, small=False), small=True), "links")
+        before, links = links, settled(_stars(_stars(links, small=False), small=True), "links")
+        dropped(before)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select("b", "b").distinct())
+            found = settled(links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select("b", "b").distinct()), "components")
+            dropped(links)
+            return found
         state = now

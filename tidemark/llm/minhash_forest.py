@@ -25,6 +25,7 @@ table gives an empty table; extra columns of any name are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ HUB_ROUNDS = 3
 SALTED = 500
 #: Bits of the parities of a set, and of those of a set of more than SMALL shingles besides.
 BITS, SMALL, WIDE_BITS = 512, 700, 8192
+#: Longs that these are folded to where nodes meet at a shingle; the wide ones rule out unlike sets of some thousand shingles there.
+FOLDED, WIDE_FOLDED = 4, 16
 MULTIPLIERS = mixed(np.arange(1000, 1000 + TREES * DEPTH, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -243,7 +246,9 @@ def _all_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     A shingle of n nodes is dealt over n / SALTED tasks: a node stands once in its own one and as a guest in the others.
     Both sides of the join are the same rows, shuffled once.
     """
-    folded = classes.select("node", *[F.get("bits", F.lit(i)).bitwiseXOR(F.get("bits", F.lit(i + BITS // 128))).alias(f"p{i}") for i in range(BITS // 128)])
+    fold = lambda c, longs, n: [reduce(Column.bitwiseXOR, [F.get(c, F.lit(i + k)) for k in range(0, longs, n)]) for i in range(n)]
+    bits, wide = [f"p{i}" for i in range(FOLDED)], [f"w{i}" for i in range(WIDE_FOLDED)]
+    folded = classes.select("node", *[c.alias(n) for n, c in zip(bits + wide, fold("bits", BITS // 64, FOLDED) + fold("wide", WIDE_BITS // 64, WIDE_FOLDED), strict=True)])
     counted = rows.join(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "shingle").join(F.broadcast(folded) if classes.count() <= MOST_KEYS // 20 else folded, "node")
     salts = F.ceil(F.col("n") / SALTED).cast("int")
     dealt = counted.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.pmod(F.xxhash64("node"), salts).cast("int").alias("own"), "node", "n_shingles", "at", "component", *folded.columns[1:])
@@ -251,10 +256,11 @@ def _all_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     x, y = dealt.alias("x"), dealt.alias("y")
     n1, n2 = F.col("x.n_shingles"), F.col("y.n_shingles")
     shared = F.ceil(percent * (n1 + n2) / (100 + percent))
-    apart = sum((F.bit_count(F.col(f"x.p{i}").bitwiseXOR(F.col(f"y.p{i}"))) for i in range(BITS // 128)), F.lit(0))
+    differ = lambda names: sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in names), F.lit(0))
     passes = (
         (F.col("x.own") == F.col("x.salt")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
-        & similar(F.least(n1 - F.col("x.at"), n2 - F.col("y.at")), n1, n2, percent) & (apart <= n1 + n2 - 2 * shared)
+        & similar(F.least(n1 - F.col("x.at"), n2 - F.col("y.at")), n1, n2, percent) & (differ(bits) <= n1 + n2 - 2 * shared)
+        & F.coalesce(differ(wide) <= n1 + n2 - 2 * shared, F.lit(True))
     )
     met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.salt") == F.col("y.salt")) & F.coalesce(passes, F.lit(False)))
     return met.select(F.col("x.node").alias("node"), F.col("y.node").alias("other"))
@@ -263,15 +269,16 @@ def _all_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
     """node, component of the links and of all those between different components that they lack."""
 
-    def placed(rows: DataFrame, found: DataFrame, links: DataFrame) -> DataFrame:
+    def placed(rows: DataFrame, found: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
         degree = links.union(links.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
         known = settled(found.join(degree, "node"), "placed")
-        known = F.broadcast(known) if known.count() <= MOST_KEYS // 4 else known
-        return rows.join(known, "node", "left").withColumns({"component": F.coalesce("component", "node"), "degree": F.coalesce("degree", F.lit(0))})
+        at = F.broadcast(known) if known.count() <= MOST_KEYS // 4 else known
+        return rows.join(at, "node", "left").withColumns({"component": F.coalesce("component", "node"), "degree": F.coalesce("degree", F.lit(0))}), known
 
-    found = settled(components(links), "components")
-    nodes = placed(classes.select("node", "n_shingles", "head"), found, links)
+    found = components(links)
+    nodes, known = placed(classes.select("node", "n_shingles", "head"), found, links)
     left = _open(nodes.select("node", "n_shingles", "component", "degree", F.posexplode("head").alias("at", "shingle")))
+    dropped(known)
     sizes = lambda one, two: 100 * F.least(one, two) >= percent * F.greatest(one, two)
     rounds = 0
     while not left.isEmpty():
@@ -281,19 +288,26 @@ def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int,
         else:
             met = _all_pairs(left, classes, percent)
         pairs = settled(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "met")
-        more = settled(confirm(docs, classes, settled(plausible(pairs, classes, percent), "plausible"), width, percent).where("linked").select("a", "b"), "more")
+        likely = settled(plausible(pairs, classes, percent), "plausible")
+        confirmed = confirm(docs, classes, likely, width, percent)
+        more = settled(confirmed.where("linked").select("a", "b"), "more")
+        dropped(pairs, likely, confirmed)
         none = more.isEmpty()
         if not none:
+            before = links, found
             links = settled(links.union(more), "all-links")
-            found = settled(components(links), "components")
+            found = components(links)
+            dropped(*before)
+        dropped(more)
         if rounds >= HUB_ROUNDS:
             break
         if not none:
             before = left
-            left = _open(placed(left.drop("component", "degree"), found, links))
-            dropped(before)
-        dropped(pairs, more)
+            again, known = placed(left.drop("component", "degree"), found, links)
+            left = _open(again)
+            dropped(before, known)
         rounds = HUB_ROUNDS if none else rounds + 1
+    dropped(left, links)
     return found
 
 
@@ -311,18 +325,27 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 85, with_row: bool =
     near = candidates(classes)
     likely = settled(plausible(near, classes, percent), "plausible")
     linked = confirm(docs, classes, likely, width, percent)
+    dropped(likely)
     # Of a pair that is ruled out or fails, the best connected neighbours are tried.
     tried = settled(near.join(linked, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked")), "tried")
+    dropped(near, linked)
     more = settled(plausible(hubs_of_failed(tried), classes, percent), "hubs")
-    links = settled(tried.where("linked").union(confirm(docs, classes, more, width, percent).where("linked")).select("a", "b"), "forest-links")
-    met = settled(completed(docs, classes, links, width, percent).join(classes.select("node", "doc_id"), "node"), "members")
+    hubs = confirm(docs, classes, more, width, percent)
+    links = settled(tried.where("linked").union(hubs.where("linked")).select("a", "b"), "forest-links")
+    dropped(tried, more, hubs)
+    whole = completed(docs, classes, links, width, percent)
+    met = settled(whole.join(classes.select("node", "doc_id"), "node"), "members")
+    dropped(whole)
     firsts = settled(met.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least")).select("component", F.col("least.doc_id").alias("least_id"), F.col("least.node").alias("least_node")), "firsts")
-    met = settled(met.join(F.broadcast(firsts) if firsts.count() <= MOST_KEYS // 4 else firsts, "component").select("node", "least_id", "least_node"), "members")
-    of_class = classes.select("key1", "key2", "node", "doc_id").join(met, "node", "left")
+    led = settled(met.join(F.broadcast(firsts) if firsts.count() <= MOST_KEYS // 4 else firsts, "component").select("node", "least_id", "least_node"), "led")
+    of_class = classes.select("key1", "key2", "node", "doc_id").join(led, "node", "left")
     of_class = of_class.select("key1", "key2", F.coalesce("least_id", "doc_id").alias("component"), F.coalesce(F.col("least_node") == F.col("node"), F.lit(True)).alias("leads"))
     rows = ("doc_id", "row1", "row2", "n_shingles")
     found = sketches.where("n_shingles > 0").select(*rows, "key1", "key2").join(of_class, ["key1", "key2"], "left").select(*rows, "component", "leads")
     empty = sketches.where("n_shingles = 0").select(*rows, F.col("doc_id").cast("bigint").alias("component"), F.lit(True).alias("leads"))
     kept = F.coalesce(F.col("doc_id") == F.col("component"), F.lit(False))
     more = ["row1", "row2", (kept & F.coalesce("leads", F.lit(False))).alias("first")] if with_row else []
-    return found.unionByName(empty).select("doc_id", "n_shingles", F.col("component").cast(docs.schema["doc_id"].dataType).alias("component_id"), kept.alias("kept"), *more)
+    judged = found.unionByName(empty).select("doc_id", "n_shingles", F.col("component").cast(docs.schema["doc_id"].dataType).alias("component_id"), kept.alias("kept"), *more)
+    judged = settled(judged, "groups")  # narrow; all tables behind it can go
+    dropped(sketches, classes, met, firsts, led)
+    return judged
