@@ -143,3 +143,30 @@ def weekly_samples(days: DataFrame, threshold: float = 0.10, stop: float = 0.10)
     label = F.when(change <= -threshold, 0).when(change >= threshold, 2).otherwise(1)
     gains = [short_gain(F.col(f"price_{leg}_open"), worth[leg], F.col(f"__{leg}"), stop).alias(f"gain_short_{leg}") for leg in worth]
     return met.select(*days.columns, "iso_week", "target_price", label.alias("label"), *gains)
+
+
+LEGS = ("call", "put", "straddle")
+
+
+def weekly_reentry(samples: DataFrame, prediction: str = "prediction", stop: float = 0.10) -> DataFrame:
+    """asset, iso_week, legs, gain: sold positions of a week that follow a daily prediction.
+
+    samples: weekly_samples with a prediction (0 falls: a call is sold; 2 rises: a put; else a straddle). Days of one position on end
+    are one leg. A leg that another one follows is closed at that day's open, unless its price reached the stop on a day in
+    between; the last one is held to settlement. What cannot be priced gains nothing.
+    """
+    keys, w = ["asset", "iso_week"], W.series("asset", "iso_week", order="day")
+    leg = F.when(F.col(prediction) == 0, "call").when(F.col(prediction) == 2, "put").otherwise("straddle")
+    own = lambda name: F.coalesce(*[F.when(F.col("__leg") == x, F.col(name.format(x))) for x in LEGS])
+    rows = samples.withColumn("__leg", leg).withColumn("__new", F.coalesce(F.col("__leg") != F.lag("__leg").over(w), F.lit(True)))
+    rows = rows.withColumn("__run", F.sum(F.col("__new").cast("int")).over(W.so_far(w)))
+    runs = rows.groupBy(*keys, "__run", "__leg").agg(
+        F.min_by(own("price_{}_open"), "day").alias("entry"), F.min_by(own("gain_short_{}"), "day").alias("held"), F.max(F.when(~F.col("__new"), own("price_{}_high"))).alias("high"),
+        F.min_by(F.struct(*[f"price_{x}_open" for x in LEGS]), "day").alias("opens"),
+    )
+    after = runs.withColumn("__next", F.lead("opens").over(W.series(*keys, order="__run")))
+    close = F.coalesce(*[F.when(F.col("__leg") == x, F.col(f"__next.price_{x}_open")) for x in LEGS])
+    entry = F.col("entry")
+    early = F.when(F.col("high") >= entry * (1 + stop), -stop).when(close > 0, (entry - close) / entry).otherwise(0.0)
+    gain = F.when(F.col("__next").isNull(), F.coalesce("held", F.lit(0.0))).when(entry > 0, early).otherwise(0.0)
+    return after.groupBy(*keys).agg(F.count(F.lit(1)).alias("legs"), F.sum(gain).alias("gain"))

@@ -46,12 +46,6 @@ def daily_panel(chain: DataFrame) -> DataFrame:
     )
 
 
-def short_straddle(premium: Column, spot: Column, strike: Column, highest: Column, stop: float) -> Column:
-    """The gain of a sold call and put held to settlement, bought back at the stop if the premium ever rose that far."""
-    stopped = F.round(highest, 9) >= F.round(premium * (1 + stop), 9)
-    return F.when(stopped, -premium * stop).otherwise(premium - F.abs(spot - strike))
-
-
 def rolling_panel(panel: DataFrame, iv_scale: float = 1.0) -> DataFrame:
     """A daily panel with returns of the spot, its deviation over a year's trading days, place against its mean, strength,
     rank and share of the volatility, its ratio to the past deviation, and the change in open interest.

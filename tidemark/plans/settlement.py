@@ -66,9 +66,32 @@ def _gain(leg: str) -> str:
     return f"round(CASE WHEN {p} > 0 THEN CASE WHEN coalesce(later_{leg} >= {p} * 1.1, false) THEN -0.1 ELSE ({p} - ({worth[leg]})) / {p} END END, 8) + 0.0 AS gain_short_{leg}"
 
 
-@query("weekly_samples", f"""WITH {_ROWS}, dated AS (SELECT *, isoyear(date) * 100 + week(date) AS iso_week, isodow(date) - 1 AS dow FROM rows), held AS (SELECT *, {", ".join(f"max(price_{leg}_high) OVER w AS later_{leg}" for leg in ("call", "put", "straddle"))} FROM dated WINDOW w AS (PARTITION BY asset, iso_week ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
-  fridays AS (SELECT asset, iso_week, CASE WHEN spot_settlement > 0 THEN spot_settlement ELSE spot_close END AS target_price FROM dated WHERE dow = 4)
-  SELECT asset, day, CAST(iso_week AS INTEGER) AS iso_week, target_price, CASE WHEN target_price / spot_open - 1 <= -0.05 THEN 0 WHEN target_price / spot_open - 1 >= 0.05 THEN 2 ELSE 1 END AS label, {_gain('call')}, {_gain('put')}, {_gain('straddle')} FROM held JOIN fridays USING (asset, iso_week) WHERE dow <= 3 AND spot_open > 0""")
+_WEEKS = f"""{_ROWS}, dated AS (SELECT *, isoyear(date) * 100 + week(date) AS iso_week, isodow(date) - 1 AS dow FROM rows), held AS (SELECT *, {", ".join(f"max(price_{leg}_high) OVER w AS later_{leg}" for leg in ("call", "put", "straddle"))} FROM dated WINDOW w AS (PARTITION BY asset, iso_week ORDER BY day ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+  fridays AS (SELECT asset, iso_week, CASE WHEN spot_settlement > 0 THEN spot_settlement ELSE spot_close END AS target_price FROM dated WHERE dow = 4),
+  samples AS (SELECT asset, day, CAST(iso_week AS INTEGER) AS iso_week, target_price, CASE WHEN target_price / spot_open - 1 <= -0.05 THEN 0 WHEN target_price / spot_open - 1 >= 0.05 THEN 2 ELSE 1 END AS label, {_gain('call')}, {_gain('put')}, {_gain('straddle')}, {", ".join(f"price_{leg}_{p}" for leg in option_days.LEGS for p in ("open", "high"))} FROM held JOIN fridays USING (asset, iso_week) WHERE dow <= 3 AND spot_open > 0)"""
+
+
+@query("weekly_samples", f"WITH {_WEEKS} SELECT asset, day, iso_week, target_price, label, gain_short_call, gain_short_put, gain_short_straddle FROM samples")
 def weekly_samples(spark, sf_dir):
     df = option_days.weekly_samples(_days(spark, sf_dir), threshold=0.05)
     return df.select("asset", "day", "iso_week", "target_price", "label", *rounded(df, "gain_short_call gain_short_put gain_short_straddle", 8))
+
+
+def _choose(name: str) -> str:
+    return "CASE leg " + " ".join(f"WHEN '{x}' THEN {name.format(x)}" for x in option_days.LEGS) + " END"
+
+
+@query("weekly_reentry", f"""WITH {_WEEKS}, l AS (SELECT *, CASE WHEN day // 86400 % 3 = 0 THEN 'call' WHEN day // 86400 % 3 = 2 THEN 'put' ELSE 'straddle' END AS leg FROM samples), n AS (SELECT *, CASE WHEN leg = lag(leg) OVER (PARTITION BY asset, iso_week ORDER BY day) THEN 0 ELSE 1 END AS fresh FROM l), r AS (SELECT *, sum(fresh) OVER (PARTITION BY asset, iso_week ORDER BY day) AS run FROM n),
+  g AS (SELECT asset, iso_week, run, leg, arg_min({_choose('coalesce(price_{}_open, -1)')}, day) AS entry, arg_min({_choose('coalesce(gain_short_{}, 0)')}, day) AS held, max({_choose('price_{}_high')}) FILTER (fresh = 0) AS high, {", ".join(f"arg_min(coalesce(price_{x}_open, -1), day) AS open_{x}" for x in option_days.LEGS)} FROM r GROUP BY ALL),
+  f AS (SELECT *, lead(run) OVER w AS following, {_choose('lead(open_{}) OVER w')} AS closed FROM g WINDOW w AS (PARTITION BY asset, iso_week ORDER BY run))
+  SELECT asset, iso_week, count(*) AS legs, round(sum(CASE WHEN following IS NULL THEN held WHEN entry > 0 THEN CASE WHEN high >= entry * 1.1 THEN -0.1 WHEN closed > 0 THEN (entry - closed) / entry ELSE 0 END ELSE 0 END), 6) + 0.0 AS gain FROM f GROUP BY 1, 2""")
+def weekly_reentry(spark, sf_dir):
+    samples = option_days.weekly_samples(_days(spark, sf_dir), threshold=0.05).withColumn("prediction", F.pmod(F.col("day") / 86_400, F.lit(3)).cast("int"))
+    df = option_days.weekly_reentry(samples)
+    return df.select("asset", "iso_week", "legs", *rounded(df, "gain"))
+
+
+@query("straddle_gains", f"WITH {_WEEKS} SELECT asset, day, gain_short_straddle AS gain FROM samples")
+def straddle_gains(spark, sf_dir):
+    df = option_days.weekly_samples(_days(spark, sf_dir), threshold=0.05)
+    return df.select("asset", "day", (F.round("gain_short_straddle", 8) + 0.0).alias("gain"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import options, predicates
-from ..operators import windows as W
 from ..sources import driver_tables as tables
 from . import oracles as sql
 from .market import counted, counts_sql
@@ -44,11 +43,3 @@ _ROUND = ("term_structure_ratio", "skew_25d_rr")
 def option_atoms(spark, sf_dir):
     rows = predicates.with_cutoffs(_rolled(spark, sf_dir), predicates.CUTOFFS["options"], ("asset",))
     return counted(rows.withColumns({c: F.round(c, 9) for c in _ROUND}).withColumn("t", F.col("day")), "options")
-
-
-@query("straddle_gains", f"WITH {_PANEL}, s AS (SELECT asset, day, spot_close, (iv_call + iv_put) * 100 AS premium, (lead(iv_call) OVER w + lead(iv_put) OVER w) * 100 AS highest, lead(spot_close) OVER w AS settled FROM rolled WINDOW w AS (PARTITION BY asset ORDER BY day)) SELECT asset, day, round(CASE WHEN round(highest, 9) >= round(premium * 1.1, 9) THEN -premium * 0.1 ELSE premium - abs(settled - spot_close) END, 6) + 0.0 AS gain FROM s")
-def straddle_gains(spark, sf_dir):
-    w = W.series("asset", order="day")
-    rows = _rolled(spark, sf_dir).withColumns({"premium": (F.col("iv_call") + F.col("iv_put")) * 100})
-    gain = options.short_straddle(F.col("premium"), F.lead("spot_close").over(w), F.col("spot_close"), F.lead("premium").over(w), 0.1)
-    return rows.select("asset", "day", (F.round(gain, 6) + 0.0).alias("gain"))
