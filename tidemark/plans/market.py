@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import bars as B
-from ..operators import book, indicators, predicates, sequential
+from ..operators import book, features, indicators, predicates, sequential
 from ..operators import windows as W
 from ..sources import driver_tables as tables
 from . import oracles as sql
@@ -142,15 +142,6 @@ def running_totals(spark, sf_dir):
     return df.select("symbol", "t", *rounded(df, "obv ad obv_change ad_change", 3))
 
 
-_SAR = "avg(close) OVER (PARTITION BY symbol ORDER BY t ROWS 4 PRECEDING)"
-
-
-@query("scale_free", f"""WITH RECURSIVE {sql.CANDLES}, {_TOTALS}, {PLAIN.format(source='totals')} SELECT symbol, t, round((close - {_SAR}) / nullif(close, 0), 5) + 0.0 AS sar_dist, round((close - bb_lower) / nullif(bb_upper - bb_lower, 0), 5) + 0.0 AS bb_pctb, round((bb_upper - bb_lower) / nullif(close, 0), 5) + 0.0 AS bb_width,
-  round(macd / nullif(close, 0), 5) + 0.0 AS macd_norm, round(macdhist / nullif(close, 0), 5) + 0.0 AS macdhist_norm, {", ".join(f"round((({x}) - lag({x}, 20) OVER w) / nullif({sql.rolled('sum(volume)', 'volume', 20)}, 0), 5) + 0.0 AS {x}_slope" for x in ('obv', 'ad'))} FROM plain {_W}""")
-def scale_free(spark, sf_dir):
-    rows = indicators.plain_indicators(indicators.accumulation(tables.candles(spark, sf_dir)))
-    df = indicators.scale_free(rows.withColumn("sar", W.mean(F.col("close"), 5, W.series(), 1)))
-    return df.select("symbol", "t", *rounded(df, "sar_dist bb_pctb bb_width macd_norm macdhist_norm obv_slope ad_slope", 5))
 
 
 _K5 = "100 * (close - {0}) / nullif({1} - {0}, 0)".format(sql.rolled("min(low)", "low", 5), sql.rolled("max(high)", "high", 5))
@@ -202,11 +193,14 @@ def more_recursive(spark, sf_dir):
     return df.select("symbol", "t", *rounded(df, "rsi_7 rsi_28 cmo natr plus_di minus_di dx trix", 4), *rounded(df, "atr_10 atr_60 stochrsi_k stochrsi_d", 3))
 
 
-@query("parabolic_stop", f"""WITH RECURSIVE {sql.CANDLES}, rows_ AS (SELECT *, row_number() OVER w AS i, lag(high) OVER w AS ph, lag(low) OVER w AS pl, lead(high) OVER w AS nh, lead(low) OVER w AS nl FROM candles {_W}),
+SAR = f"""rows_ AS (SELECT *, row_number() OVER w AS i, lag(high) OVER w AS ph, lag(low) OVER w AS pl, lead(high) OVER w AS nh, lead(low) OVER w AS nl FROM candles {_W}),
   run AS (SELECT symbol, CAST(1 AS BIGINT) AS i, CAST(NULL AS DOUBLE) AS shown, nh + nl >= high + low AS rising, CASE WHEN nh + nl >= high + low THEN low ELSE high END AS stop, CASE WHEN nh + nl >= high + low THEN nh ELSE nl END AS far, CAST(0.02 AS DOUBLE) AS speed FROM rows_ WHERE i = 1
     UNION ALL SELECT symbol, i, shown, CASE WHEN hit THEN NOT rising ELSE rising END, CASE WHEN hit THEN far WHEN rising THEN least(moved, low, pl) ELSE greatest(moved, high, ph) END, CASE WHEN hit THEN CASE WHEN rising THEN low ELSE high END ELSE far2 END, CASE WHEN hit THEN CAST(0.02 AS DOUBLE) ELSE speed2 END
-    FROM (SELECT *, stop + speed2 * (far2 - stop) AS moved FROM (SELECT k.symbol, k.i, k.high, k.low, k.ph, k.pl, r.stop AS shown, r.stop, r.rising, r.far, CASE WHEN rising THEN k.low <= r.stop ELSE k.high >= r.stop END AS hit, CASE WHEN rising THEN greatest(k.high, far) ELSE least(k.low, far) END AS far2, CASE WHEN (rising AND k.high > far) OR (NOT rising AND k.low < far) THEN least(0.2, speed + 0.02) ELSE speed END AS speed2 FROM run r JOIN rows_ k ON k.symbol = r.symbol AND k.i = r.i + 1)))
-  SELECT k.symbol, k.t, round(shown, 4) + 0.0 AS stop FROM rows_ k JOIN run r ON r.symbol = k.symbol AND r.i = k.i""")
+    FROM (SELECT *, stop + speed2 * (far2 - stop) AS moved FROM (SELECT k.symbol, k.i, k.high, k.low, k.ph, k.pl, r.stop AS shown, r.stop, r.rising, r.far, CASE WHEN rising THEN k.low <= r.stop ELSE k.high >= r.stop END AS hit, CASE WHEN rising THEN greatest(k.high, far) ELSE least(k.low, far) END AS far2, CASE WHEN (rising AND k.high > far) OR (NOT rising AND k.low < far) THEN least(0.2, speed + 0.02) ELSE speed END AS speed2 FROM run r JOIN rows_ k ON k.symbol = r.symbol AND k.i = r.i + 1))),
+  sar AS (SELECT k.symbol, k.t, shown AS sar FROM rows_ k JOIN run r ON r.symbol = k.symbol AND r.i = k.i)"""
+
+
+@query("parabolic_stop", f"WITH RECURSIVE {sql.CANDLES}, {SAR} SELECT symbol, t, round(sar, 4) + 0.0 AS stop FROM sar")
 def parabolic_stop(spark, sf_dir):
     df = sequential.parabolic_stop(tables.candles(spark, sf_dir))
     return df.select("symbol", "t", *rounded(df, "stop", 4))
@@ -215,12 +209,28 @@ def parabolic_stop(spark, sf_dir):
 _TIGHT_W = {n: f"OVER (PARTITION BY symbol ORDER BY t ROWS {n - 1} PRECEDING)" for n in (3, 10)}
 
 
-@query("convergence_tight", f"""WITH {sql.CANDLES}, r AS (SELECT *, {sql.mean('high - low', 10)} / nullif({sql.mean('high - low', 60)}, 0) AS ratio, {sql.rolled('max(high)', 'high', 20)} AS level, {sql.mean('close', 9)} - {sql.mean('close', 21)} AS gap FROM candles), q AS (SELECT *, {sql.rolled('quantile_cont(ratio, 0.4)', 'ratio', 60)} AS q, lag(level) OVER w AS lv FROM r {_W}),
-  f AS (SELECT *, coalesce(ratio <= q AND close / nullif(lv, 0) - 1 BETWEEN -0.045 AND 0, false) AS tight, {sql.rolled('stddev_samp(gap)', 'gap', 10)} / nullif(close, 0) AS apart FROM q) SELECT symbol, t, tight AND sum(CASE WHEN tight THEN 1 ELSE 0 END) {_TIGHT_W[3]} = 3 AND coalesce(apart < 0.008, false) AS convergence_tight FROM f""")
+TIGHT = f"""tr AS (SELECT symbol, t, high, close, a10 / nullif(a60, 0) AS ratio, {sql.rolled('max(high)', 'high', 20)} AS level, {sql.mean('close', 9)} - {sql.mean('close', 21)} AS gap FROM s4), tq AS (SELECT *, {sql.rolled('quantile_cont(ratio, 0.4)', 'ratio', 60)} AS q, lag(level) OVER w AS lv FROM tr {_W}),
+  tf AS (SELECT *, coalesce(ratio <= q AND close / nullif(lv, 0) - 1 BETWEEN -0.045 AND 0, false) AS tight, {sql.rolled('stddev_samp(gap)', 'gap', 10)} / nullif(close, 0) AS apart FROM tq), tightly AS (SELECT symbol, t, tight AND sum(CASE WHEN tight THEN 1 ELSE 0 END) {_TIGHT_W[3]} = 3 AND coalesce(apart < {{apart}}, false) AS convergence_tight FROM tf)"""
+
+
+def _recursed(spark, sf_dir):
+    """Candles with the indicators that need a recurrence: one sort by series serves all of them."""
+    base = tables.candles(spark, sf_dir)
+    rows = sequential.parabolic_stop(sequential.more_recursive(sequential.recursive_indicators(base)))
+    return rows.select(*base.columns, "adx", "atr_10", "atr_60", F.col("stop").alias("sar"))
+
+
+@query("convergence_tight", f"WITH RECURSIVE {RECURSIVE}, {TIGHT.format(apart=0.008)} SELECT symbol, t, convergence_tight FROM tightly")
 def convergence_tight(spark, sf_dir):
-    w, span = W.series(), F.col("high") - F.col("low")
-    rows = tables.candles(spark, sf_dir).withColumns({"atr_10": W.mean(span, 10, w), "atr_60": W.mean(span, 60, w)})
-    return indicators.convergence_tight(rows).select("symbol", "t", "convergence_tight")
+    return indicators.convergence_tight(_recursed(spark, sf_dir)).select("symbol", "t", "convergence_tight")
+
+
+@query("scale_free", f"""WITH RECURSIVE {sql.CANDLES}, {SAR}, {_TOTALS}, {PLAIN.format(source='totals')} SELECT symbol, t, round((close - sar) / nullif(close, 0), 5) + 0.0 AS sar_dist, round((close - bb_lower) / nullif(bb_upper - bb_lower, 0), 5) + 0.0 AS bb_pctb, round((bb_upper - bb_lower) / nullif(close, 0), 5) + 0.0 AS bb_width,
+  round(macd / nullif(close, 0), 5) + 0.0 AS macd_norm, round(macdhist / nullif(close, 0), 5) + 0.0 AS macdhist_norm, {", ".join(f"round((({x}) - lag({x}, 20) OVER w) / nullif({sql.rolled('sum(volume)', 'volume', 20)}, 0), 5) + 0.0 AS {x}_slope" for x in ('obv', 'ad'))} FROM plain JOIN sar USING (symbol, t) {_W}""")
+def scale_free(spark, sf_dir):
+    rows = indicators.plain_indicators(indicators.accumulation(sequential.parabolic_stop(tables.candles(spark, sf_dir)).withColumnRenamed("stop", "sar")))
+    df = indicators.scale_free(rows)
+    return df.select("symbol", "t", *rounded(df, "sar_dist bb_pctb bb_width macd_norm macdhist_norm obv_slope ad_slope", 5))
 
 
 def counted(rows, family: str):
@@ -243,26 +253,33 @@ _UP, _DOWN = "close > mvg1 AND mvg1 > mvg2", "close < mvg1 AND mvg1 < mvg2"
 _UNDER, _CALM = "(close < mvg1 AND close < mvg2 AND close < mvg3)", f"({_DOWN} AND price_range_pct < price_range_pct_q50)"
 _SURGE = f"({_DOWN} AND quote_vol_ratio > 2)"
 KLINE_SQL = {
-    "low_vol": ("price_range_pct < price_range_pct_q50",) * 2, "high_vol": ("price_range_pct > price_range_pct_q50",) * 2, **{f"high_vol_q{q}": (f"price_range_pct > price_range_pct_q{q}",) * 2 for q in (80, 90, 95)}, "convergence_tight": ("tightly",) * 2,
+    "low_vol": ("price_range_pct < price_range_pct_q50",) * 2, "high_vol": ("price_range_pct > price_range_pct_q50",) * 2, **{f"high_vol_q{q}": (f"price_range_pct > price_range_pct_q{q}",) * 2 for q in (80, 90, 95)}, "convergence_tight": ("convergence_tight",) * 2,
     "strong_candle": ("close / open - 1 > 0.005", "close / open - 1 < -0.005"), "rsi_oversold": ("rsi_14 < 30", "false"), "rsi_overbought": ("false", "rsi_14 > 70"), "macd_bullish": ("macdhist > 0", "false"), "macd_bearish": ("false", "macdhist < 0"), "stoch_bullish": ("stoch_k > stoch_d", "false"),
-    "cci_reversal": ("roc * 30 > 100", "roc * 30 < -100"), "adx_trend": ("rsi_28 - 25 > 25",) * 2, "mom_positive": ("mom > 0", "mom < 0"), "low_volume": ("quote_vol_ratio < 1",) * 2, "high_volume": ("quote_vol_ratio > 1",) * 2, "vol_breakout": ("quote_vol_ratio > 2",) * 2,
-    "buy_pressure": ("place > 0.55", "place < 0.45"), "mfi_oversold": ("rsi_7 < 30", "false"), "mfi_overbought": ("false", "rsi_7 > 70"), "bop_bullish": ("bop > 0.1", "false"), "bop_bearish": ("false", "bop < -0.1"), "roc_positive": ("roc > 0", "false"), "roc_negative": ("false", "roc < 0"),
+    "cci_reversal": ("cci > 100", "cci < -100"), "adx_trend": ("adx > 25",) * 2, "mom_positive": ("mom > 0", "mom < 0"), "low_volume": ("quote_vol_ratio < 1",) * 2, "high_volume": ("quote_vol_ratio > 1",) * 2, "vol_breakout": ("quote_vol_ratio > 2",) * 2,
+    "buy_pressure": ("place > 0.55", "place < 0.45"), "mfi_oversold": ("mfi < 30", "false"), "mfi_overbought": ("false", "mfi > 70"), "bop_bullish": ("bop > 0.1", "false"), "bop_bearish": ("false", "bop < -0.1"), "roc_positive": ("roc > 0", "false"), "roc_negative": ("false", "roc < 0"),
     "trend_aligned": (_UP, _DOWN), "strong_trend": (f"{_UP} AND mvg2 > mvg3", f"{_DOWN} AND mvg2 < mvg3"), "ma_momentum": ("mvg1 > mvg2 AND mvg1 > mvg3", "mvg1 < mvg2 AND mvg1 < mvg3"), "above_all_mas": ("close > mvg1 AND close > mvg2 AND close > mvg3", _UNDER),
-    "near_ma": ("(close - mvg1) / mvg1 < 0.02", "(mvg1 - close) / mvg1 < 0.02"), "bb_rebound": ("close < bb_lower", "close > bb_upper"), "sar_aligned": ("close > mvg2", "close < mvg2"), "combined_union": ("false", f"{_CALM} OR {_SURGE}"), "combined_intersection": ("false", f"{_CALM} AND {_SURGE}"),
+    "near_ma": ("(close - mvg1) / mvg1 < 0.02", "(mvg1 - close) / mvg1 < 0.02"), "bb_rebound": ("close < bb_lower", "close > bb_upper"), "sar_aligned": ("close > sar", "close < sar"), "combined_union": ("false", f"{_CALM} OR {_SURGE}"), "combined_intersection": ("false", f"{_CALM} AND {_SURGE}"),
     "combined_union_plus": ("false", f"{_CALM} OR {_SURGE} OR {_UNDER}"), "combined_union_alt": ("false", f"{_CALM} OR {_UNDER}"),
 }
 
 
-@query("kline_atoms", f"""WITH RECURSIVE {sql.CANDLES}, base AS (SELECT *, (high - low) / nullif(close, 0) AS price_range_pct, {_K5} AS fast FROM candles), {PLAIN.format(source='base')}, k AS (SELECT *, {sql.mean('fast', 3)} AS stoch_k FROM plain), x AS (SELECT *, {sql.mean('stoch_k', 3)} AS stoch_d, {sql.mean('close', 7)} AS mvg1, {sql.mean('close', 25)} AS mvg2, {sql.mean('close', 99)} AS mvg3,
-  volume / nullif({sql.mean('volume', 7, 1)}, 0) AS quote_vol_ratio, (close - low) / nullif(high - low, 0) AS place, (close - open) / nullif(high - low, 0) AS bop, volume > 300 AS tightly FROM k), cuts AS (SELECT symbol, {", ".join(f"quantile_cont(price_range_pct, {q}) AS price_range_pct_q{round(100 * q)}" for q in (0.5, 0.8, 0.9, 0.95))} FROM x GROUP BY 1), f AS (SELECT * FROM x JOIN cuts USING (symbol)) {counts_sql('f', KLINE_SQL)}""")
+_W14 = "OVER (PARTITION BY symbol ORDER BY t ROWS 13 PRECEDING)"
+_MONEY = f"""a0 AS (SELECT symbol, t, high, low, close, volume, (high + low + close) / 3 AS tp, lag(close) OVER w AS pc, lag((high + low + close) / 3) OVER w AS ptp, (high + low + close) / 3 * volume AS flow FROM candles {_W}), b0 AS (SELECT *, {sql.mean('tp', 14)} AS tpm, list(tp) {_W14} AS tps FROM a0),
+  money AS (SELECT symbol, t, (tp - tpm) / nullif(0.015 * list_sum(list_transform(tps, lambda v: abs(v - tpm))) / 14, 0) AS cci, CASE WHEN count(pc) {_W14} >= 14 THEN 100 * sum(CASE WHEN tp > ptp THEN flow ELSE 0 END) {_W14} / nullif(sum(CASE WHEN tp > ptp THEN flow WHEN tp < ptp THEN flow ELSE 0 END) {_W14}, 0) END AS mfi FROM b0)"""
+
+
+@query("kline_atoms", f"""WITH RECURSIVE {RECURSIVE}, {TIGHT.format(apart=0.008)}, {SAR}, {_MONEY}, base AS (SELECT c.*, (high - low) / nullif(close, 0) AS price_range_pct, {_K5} AS fast FROM candles c), {PLAIN.format(source='base')}, k AS (SELECT *, {sql.mean('fast', 3)} AS stoch_k FROM plain), x AS (SELECT *, {sql.mean('stoch_k', 3)} AS stoch_d, {sql.mean('close', 7)} AS mvg1, {sql.mean('close', 25)} AS mvg2, {sql.mean('close', 99)} AS mvg3,
+  volume / nullif({sql.mean('volume', 7, 1)}, 0) AS quote_vol_ratio, (close - low) / nullif(high - low, 0) AS place, (close - open) / nullif(high - low, 0) AS bop FROM k), cuts AS (SELECT symbol, {", ".join(f"quantile_cont(price_range_pct, {q}) AS price_range_pct_q{round(100 * q)}" for q in (0.5, 0.8, 0.9, 0.95))} FROM x GROUP BY 1),
+  f AS (SELECT x.*, cuts.* EXCLUDE (symbol), s4.adx, sar.sar, cci, mfi, convergence_tight FROM x JOIN cuts USING (symbol) JOIN s4 ON s4.symbol = x.symbol AND s4.t = x.t JOIN sar ON sar.symbol = x.symbol AND sar.t = x.t JOIN money ON money.symbol = x.symbol AND money.t = x.t JOIN tightly ON tightly.symbol = x.symbol AND tightly.t = x.t) {counts_sql('f', KLINE_SQL)}""")
 def kline_atoms(spark, sf_dir):
     w = W.series()
     c, span = F.col("close"), F.col("high") - F.col("low")
-    rows = indicators.plain_indicators(indicators.more_windows(tables.candles(spark, sf_dir)))
-    # Stand-ins for columns that other queries check: what counts here is how atoms read them.
+    rows = _recursed(spark, sf_dir)
+    rows = features.indicators(rows).select(*rows.columns, "cci", F.col("money_flow").alias("mfi"))
+    rows = indicators.plain_indicators(indicators.more_windows(indicators.convergence_tight(rows)))
     rows = rows.withColumns({
         "price_range_pct": W.ratio(span, c), "open_close_pct": W.ratio(c, F.col("open")) - 1, "quote_vol_ratio": W.ratio(F.col("volume"), W.mean(F.col("volume"), 7, w, 1)), "buy_pressure": W.ratio(c - F.col("low"), span), "bop": W.ratio(c - F.col("open"), span),
-        "mvg1": W.mean(c, 7, w), "mvg2": W.mean(c, 25, w), "mvg3": F.col("sma_99"), "sar": W.mean(c, 25, w), "cci": F.col("roc") * 30, "adx": F.col("rsi_28") - 25, "mfi": F.col("rsi_7"), "convergence_tight": F.col("volume") > 300,
+        "mvg1": W.mean(c, 7, w), "mvg2": W.mean(c, 25, w), "mvg3": F.col("sma_99"),
     })
     return counted(predicates.with_cutoffs(rows, predicates.CUTOFFS["kline"]), "kline")
 
@@ -270,7 +287,7 @@ def kline_atoms(spark, sf_dir):
 _TICK = {
     "high_liquidation_pressure": ("liq_burst_ratio > liq_burst_ratio_q75",) * 2, "low_liquidation_pressure": ("liq_burst_ratio < liq_burst_ratio_q25",) * 2, "funding_positive": ("funding_rate > 0",) * 2, "funding_negative": ("funding_rate < 0",) * 2, "deep_book": ("depth_imbalance_L5 > depth_imbalance_L5_q60", "depth_imbalance_L5 < depth_imbalance_L5_q40"),
     "trade_imbalance": ("trade_imbalance > 0", "trade_imbalance < 0"), "basis_premium": ("basis_pct > 0",) * 2, "basis_discount": ("basis_pct < 0",) * 2, "pre_funding_settlement": ("pre_funding > 0",) * 2, "ofi_positive": ("ofi_agg > 0", "ofi_agg < 0"), "tight_spread": ("round(relative_spread, 9) < round(relative_spread_q50, 9)",) * 2, "wide_spread": ("round(relative_spread, 9) > round(relative_spread_q50, 9)",) * 2,
-    "rsi_oversold": ("rsi_14 < 30",) * 2, "rsi_overbought": ("rsi_14 > 70",) * 2, "macd_bullish": ("macdhist > 0", "macdhist < 0"), "macd_bearish": ("macdhist < 0", "macdhist > 0"), "adx_trend": ("rsi_28 - 25 > 25",) * 2, "low_volume": ("vol_ratio < 1",) * 2, "high_volume": ("vol_ratio > 1",) * 2, "vol_breakout": ("vol_ratio > 2",) * 2,
+    "rsi_oversold": ("rsi_14 < 30",) * 2, "rsi_overbought": ("rsi_14 > 70",) * 2, "macd_bullish": ("macdhist > 0", "macdhist < 0"), "macd_bearish": ("macdhist < 0", "macdhist > 0"), "adx_trend": ("adx > 25",) * 2, "low_volume": ("vol_ratio < 1",) * 2, "high_volume": ("vol_ratio > 1",) * 2, "vol_breakout": ("vol_ratio > 2",) * 2,
     "high_vol": ("price_range_pct > price_range_pct_q50",) * 2, "low_vol": ("price_range_pct < price_range_pct_q50",) * 2, "mom_positive": ("mom > 0", "mom < 0"),
 }
 _FLOW = {
@@ -282,11 +299,12 @@ _TICK_CUTS = {"liq_burst_ratio": (0.75, 0.25), "depth_imbalance_L5": (0.6, 0.4),
 
 def _tick_rows(spark, sf_dir):
     rows = indicators.plain_indicators(booked(spark, sf_dir))
-    rows = rows.withColumns({"price_range_pct": W.ratio(F.col("high") - F.col("low"), F.col("close")), "relative_spread": F.round("relative_spread", 9), "adx": F.col("rsi_28") - 25})
-    return rows
+    traded = rows.where("close is not null and high is not null and low is not null").select("symbol", "t", "high", "low", "close")
+    rows = rows.join(sequential.recursive_indicators(traded).select("symbol", "t", "adx"), ["symbol", "t"], "left")
+    return rows.withColumns({"price_range_pct": W.ratio(F.col("high") - F.col("low"), F.col("close")), "relative_spread": F.round("relative_spread", 9)})
 
 
-_TICK_BASE = f"""WITH RECURSIVE {BOOKED}, tb AS (SELECT * REPLACE (round(relative_spread, 9) AS relative_spread), (high - low) / nullif(close, 0) AS price_range_pct FROM booked), {PLAIN.format(source='tb')}, cuts AS (SELECT symbol, {", ".join(f"quantile_cont({c}, {q}) AS {c}_q{round(q * 100)}" for c, qs in _TICK_CUTS.items() for q in qs)} FROM tb GROUP BY 1), f AS (SELECT b.*, rsi_14, rsi_28, macdhist, mom, cuts.* EXCLUDE (symbol) FROM tb b LEFT JOIN plain p ON p.symbol = b.symbol AND p.t = b.t JOIN cuts ON cuts.symbol = b.symbol)"""
+_TICK_BASE = f"""WITH RECURSIVE {BOOKED}, tb AS (SELECT * REPLACE (round(relative_spread, 9) AS relative_spread), (high - low) / nullif(close, 0) AS price_range_pct FROM booked), {MOVES.replace('FROM candles', 'FROM (SELECT symbol, t, high, low, close FROM tb WHERE close IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL)')}, {smoothing({'plus': _wilder('up', 14), 'minus': _wilder('down', 14)}, 'moves', 't1')}, t2 AS (SELECT *, 100 * abs(plus - minus) / nullif(plus + minus, 0) AS dx FROM t1), {smoothing({'adx': _wilder('dx', 14)}, 't2', 'directed')}, {PLAIN.format(source='tb')}, cuts AS (SELECT symbol, {", ".join(f"quantile_cont({c}, {q}) AS {c}_q{round(q * 100)}" for c, qs in _TICK_CUTS.items() for q in qs)} FROM tb GROUP BY 1), f AS (SELECT b.*, adx, rsi_14, rsi_28, macdhist, mom, cuts.* EXCLUDE (symbol) FROM tb b LEFT JOIN plain p ON p.symbol = b.symbol AND p.t = b.t LEFT JOIN directed ON directed.symbol = b.symbol AND directed.t = b.t JOIN cuts ON cuts.symbol = b.symbol)"""
 
 
 @query("tick_atoms", f"{_TICK_BASE} {counts_sql('f', _TICK)}")
