@@ -30,14 +30,18 @@ def month_of(t: Column) -> Column:
     return F.year(day) * 12 + F.month(day) - 1
 
 
+def period_windows(rows: DataFrame, size: int, period: Column) -> DataFrame:
+    """Each row once for every window it belongs to: window (the test period) and test. Periods without rows are no part of a window."""
+    known = rows.withColumn("__period", period)
+    # A row for each calendar period: one small window over them.
+    periods = known.select("__period").distinct().withColumn("__k", F.row_number().over(Window.orderBy("__period")))
+    later = periods.select(F.col("__k").alias("__last"), F.col("__period").alias("window"))
+    windows = periods.join(later, (F.col("__k") <= F.col("__last")) & (F.col("__k") > F.col("__last") - size) & (F.col("__last") >= size))
+    return known.join(F.broadcast(windows), "__period").select(*rows.columns, "window", (F.col("__period") == F.col("window")).alias("test"))
+
+
 def monthly_windows(rows: DataFrame, size: int, at: str = "t") -> DataFrame:
-    """Each row once for every window it belongs to: window (the test month) and test. Months without rows are no part of a window."""
-    month = rows.withColumn("__month", month_of(F.col(at)))
-    # A row for each calendar month: one small window over them.
-    months = month.select("__month").distinct().withColumn("__k", F.row_number().over(Window.orderBy("__month")))
-    later = months.select(F.col("__k").alias("__last"), F.col("__month").alias("window"))
-    windows = months.join(later, (F.col("__k") <= F.col("__last")) & (F.col("__k") > F.col("__last") - size) & (F.col("__last") >= size))
-    return month.join(F.broadcast(windows), "__month").select(*rows.columns, "window", (F.col("__month") == F.col("window")).alias("test"))
+    return period_windows(rows, size, month_of(F.col(at)))
 
 
 def long_features(dealt: DataFrame, features: list[str], target: str, keep: list[str]) -> DataFrame:
