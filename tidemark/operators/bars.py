@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.driver_tables import DAY, floor_to
 from . import windows as W
+from .asof import as_of
 
 EPS = 1e-10
 
@@ -31,6 +32,38 @@ def trade_bars(ticks: DataFrame, seconds: int) -> DataFrame:
     )
 
 
+def sided(ticks: DataFrame, quotes: DataFrame) -> DataFrame:
+    """ticks with taker ('buy', 'sell' or null) and by ('flag', 'quote' or null): what the feed says, else the quote rule.
+
+    A tick without a side is a buy at or above the last ask and a sale at or below the last bid before or at its time; within
+    the spread, or before any quote, it stays unsided rather than be guessed. Missing or non-positive quotes side nothing.
+    """
+    flag = F.lower("side")
+    said = F.when(flag.isin("buy", "b"), "buy").when(flag.isin("sell", "s"), "sell")
+    met = as_of(ticks, quotes.select("symbol", "us", "seq", "bid", "ask"), "symbol", "us", "us", "__q_", block=DAY * 1_000_000)
+    rule = F.when((F.col("__q_ask") > 0) & (F.col("price") >= F.col("__q_ask")), "buy").when((F.col("__q_bid") > 0) & (F.col("price") <= F.col("__q_bid")), "sell")
+    by = F.when(said.isNotNull(), "flag").when(rule.isNotNull(), "quote")
+    return met.select(*ticks.columns, F.coalesce(said, rule).alias("taker"), by.alias("by"))
+
+
+def taker_bars(sided_ticks: DataFrame, seconds: int) -> DataFrame:
+    """symbol, t, OHLC, volume and quote_volume with what takers bought, trades, unsided trades, and which rules sided the bar."""
+    when = F.struct("us", "seq")
+    worth, bought = F.col("price") * F.col("amount"), F.col("taker") == "buy"
+    return sided_ticks.groupBy("symbol", bar_of(F.col("us"), seconds).alias("t")).agg(
+        F.min_by("price", when).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", when).alias("close"), F.sum("amount").alias("volume"), F.sum(worth).alias("quote_volume"), F.count("price").alias("trades"),
+        F.sum(F.when(bought, F.col("amount")).otherwise(0.0)).alias("taker_buy_base"), F.sum(F.when(bought, worth).otherwise(0.0)).alias("taker_buy_quote"), F.count(F.when(F.col("taker").isNull(), 1)).alias("unsided"),
+        F.coalesce(F.bool_or(F.col("by") == "flag"), F.lit(False)).alias("any_flag"), F.coalesce(F.bool_or(F.col("by") == "quote"), F.lit(False)).alias("any_quote_rule"),
+    )
+
+
+def spacing(bars: DataFrame, by: str = "symbol") -> DataFrame:
+    """by, spacing: the median distance in seconds between a series' different times."""
+    w = W.series(by)
+    steps = bars.select(by, (F.col("t") - F.lag("t").over(w)).alias("step")).where("step > 0")
+    return steps.groupBy(by).agg(F.percentile("step", F.lit(0.5)).alias("spacing"))
+
+
 def state_bars(quotes: DataFrame, seconds: int, columns: tuple[str, ...]) -> DataFrame:
     """The last known value of each column within each bar."""
     when = F.struct("us", "seq")

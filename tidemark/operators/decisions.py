@@ -94,10 +94,10 @@ def leaves_early(predictions: DataFrame, held: DataFrame, retain: float) -> Data
 
 def price_at(rows: DataFrame, prices: DataFrame, strict: bool = False) -> DataFrame:
     """rows with the price of their own time; where that is missing or null, the last one before. strict: a row without either is an error."""
-    from .asof import as_of
+    from .asof import BLOCK, as_of
 
     known = prices.where("close is not null").select("symbol", F.col("t").alias("priced_t"), F.col("close").alias("price"))
-    met = as_of(rows, known, "symbol", "t", "priced_t", "")
+    met = as_of(rows, known, "symbol", "t", "priced_t", "", block=BLOCK)
     return met.withColumn("price", F.when(F.col("price").isNull(), F.raise_error(F.lit("no price at or before a scored row"))).otherwise(F.col("price"))) if strict else met
 
 

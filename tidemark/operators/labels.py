@@ -162,9 +162,9 @@ def boundary_return(bars: DataFrame, price: str, bar: int, period: int) -> DataF
 
 def cross_frame_target(base: DataFrame, target: DataFrame, seconds: int, step: float, most: int, fee: float) -> DataFrame:
     """The ladder target of each base row on the target frame's bar that opened last: its close, low and high, from the base close on."""
-    from .asof import as_of
+    from .asof import BLOCK, as_of
 
-    met = as_of(base, target.select("symbol", F.col("t").alias("opened"), F.col("close").alias("exit_close"), F.col("low").alias("exit_low"), F.col("high").alias("exit_high")), "symbol", "t", "opened", "", seconds)
+    met = as_of(base, target.select("symbol", F.col("t").alias("opened"), F.col("close").alias("exit_close"), F.col("low").alias("exit_low"), F.col("high").alias("exit_high")), "symbol", "t", "opened", "", seconds, BLOCK)
     gain, n, m = W.ratio(F.col("exit_close"), F.col("close")) - 1, rungs(F.col("close"), F.col("exit_low"), step, most), short_rungs(F.col("close"), F.col("exit_high"), step, most)
     return met.select(*base.columns, "exit_close", (ladder_return(gain, n, step, most) - 2 * fee * n).alias("target_long"), (ladder_return(gain, m, step, most, short=True) - 2 * fee * m).alias("target_short"))
 

@@ -98,10 +98,31 @@ def asof_closed_bars(spark, sf_dir):
 @query("asof_quotes", f"WITH {sql.TICKS}, {sql.QUOTES} SELECT t.symbol, t.seq, round(t.price, 6) AS price, round(q.bid, 6) AS bid, q.seq AS quote_seq FROM ticks t ASOF LEFT JOIN quotes q ON t.symbol = q.symbol AND t.us >= q.us")
 def asof_quotes(spark, sf_dir):
     quotes = tables.quotes(spark, sf_dir).select("symbol", "us", "seq", "bid")
-    met = asof.as_of(tables.ticks(spark, sf_dir).select("symbol", "us", "seq", "price"), quotes, "symbol", "us", "us", "quote_")
+    met = asof.as_of(tables.ticks(spark, sf_dir).select("symbol", "us", "seq", "price"), quotes, "symbol", "us", "us", "quote_", block=86_400_000_000)
     return met.select("symbol", "seq", F.round("price", 6).alias("price"), F.round("quote_bid", 6).alias("bid"), "quote_seq")
 
 
+_UNSIDED = "sidd AS (SELECT symbol, us, seq, price, amount, CASE WHEN seq % 3 = 0 THEN NULL ELSE side END AS side FROM ticks), moved AS (SELECT symbol, us, seq, bid * CASE WHEN seq % 2 = 0 THEN 0.98 ELSE 1.02 END AS bid, ask * CASE WHEN seq % 2 = 0 THEN 0.98 ELSE 1.02 END AS ask FROM quotes WHERE seq % 4 <> 0)"
+
+
+@query("taker_bars", f"""WITH {sql.TICKS}, {sql.QUOTES}, {_UNSIDED}, q AS (SELECT symbol, us, last(bid ORDER BY seq, bid, ask) AS bid, last(ask ORDER BY seq, bid, ask) AS ask FROM moved GROUP BY 1, 2), m AS (SELECT d.*, q.bid, q.ask FROM sidd d ASOF LEFT JOIN q ON q.symbol = d.symbol AND d.us >= q.us),
+  s AS (SELECT *, CASE WHEN side IS NOT NULL THEN side WHEN price >= ask THEN 'buy' WHEN price <= bid THEN 'sell' END AS taker, CASE WHEN side IS NOT NULL THEN 'flag' WHEN price >= ask OR price <= bid THEN 'quote' END AS by_ FROM m)
+  SELECT symbol, us // 3600000000 * 3600 AS t, round(first(price ORDER BY us, seq), 6) AS open, round(max(price), 6) AS high, round(min(price), 6) AS low, round(last(price ORDER BY us, seq), 6) AS close, round(sum(amount), 4) AS volume, round(sum(price * amount), 4) AS quote_volume, count(price) AS trades, round(coalesce(sum(amount) FILTER (taker = 'buy'), 0), 4) AS taker_buy_base, round(coalesce(sum(price * amount) FILTER (taker = 'buy'), 0), 4) AS taker_buy_quote,
+  count(*) FILTER (taker IS NULL) AS unsided, coalesce(bool_or(by_ = 'flag'), false) AS any_flag, coalesce(bool_or(by_ = 'quote'), false) AS any_quote_rule FROM s GROUP BY 1, 2""")
+def taker_bars(spark, sf_dir):
+    ticks = tables.ticks(spark, sf_dir).withColumn("side", F.when(F.col("seq") % 3 != 0, F.col("side")))
+    shift = F.when(F.col("seq") % 2 == 0, 0.98).otherwise(1.02)
+    quotes = tables.quotes(spark, sf_dir).where("seq % 4 <> 0").withColumns({"bid": F.col("bid") * shift, "ask": F.col("ask") * shift})
+    df = bars.taker_bars(bars.sided(ticks, quotes), HOUR)
+    return df.select("symbol", "t", *rounded(df, "open high low close"), *rounded(df, "volume quote_volume", 4), "trades", *rounded(df, "taker_buy_base taker_buy_quote", 4), "unsided", "any_flag", "any_quote_rule")
+
+
+@query("window_days", f"WITH {sql.uniform(HOUR)}, s AS (SELECT symbol, t - lag(t) OVER (PARTITION BY symbol ORDER BY t) AS step FROM bars) SELECT symbol, round(quantile_cont(step, 0.5), 3) AS spacing, CAST(round(720 * quantile_cont(step, 0.5) / 86400) AS INTEGER) AS days FROM s WHERE step > 0 GROUP BY 1")
+def window_days(spark, sf_dir):
+    spaced = bars.spacing(hourly(spark, sf_dir))
+    return spaced.select("symbol", F.round("spacing", 3).alias("spacing"), F.round(720 * F.col("spacing") / 86_400).cast("int").alias("days"))
+
+
 @query("rolling_moments", f"""WITH {sql.CANDLES}, x AS (SELECT symbol, t, close / 1000 AS c FROM candles), f AS (SELECT symbol, t, {sql.mean('c', 20)} AS mean, {sql.rolled('stddev_samp(c)', 'c', 20)} AS std, {sql.rolled('skewness(c)', 'c', 20)} AS skew, {sql.rolled('kurtosis(c)', 'c', 20)} AS kurt,
   {sql.rolled('quantile_cont(c, 0.4)', 'c', 20)} AS q40, coalesce({"CASE WHEN count(c) OVER w >= 10 THEN 100 * (c - min(c) OVER w) / nullif(max(c) OVER w - min(c) OVER w, 0) END"}, 50) AS rank,
   100.0 * len(list_filter(list(c) OVER p, lambda v: v < c)) / nullif(len(list(c) OVER p), 0) AS below FROM x WINDOW w AS (PARTITION BY symbol ORDER BY t ROWS 19 PRECEDING), p AS (PARTITION BY symbol ORDER BY t ROWS BETWEEN 19 PRECEDING AND 1 PRECEDING)) SELECT symbol, t, {sql.rounded("mean std q40 rank below", 7)}, {sql.rounded("skew kurt", 5)} FROM f""")

@@ -145,10 +145,20 @@ def warmed_up(bars: DataFrame, least: int) -> DataFrame:
     return bars.withColumn("__fed", F.count(F.lit(1)).over(W.so_far(W.series()))).where(F.col("__fed") >= least).drop("__fed")
 
 
+def _numbered(spark, folder: str) -> list[int]:
+    """The numbers of the batch=<n> folders in a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
 def scored_batches(bars: DataFrame, score, sink: str, checkpoint: str, history: int = 1000):
     """Score a stream of final bars with batch code, which also sees the last `history` bars of each symbol.
 
     sink/bars and sink/scores get one folder for each micro-batch; a batch that is run again replaces its own folder.
+    sink/history holds the last bars of each symbol after a batch, so a batch reads those after the batch before it and its own
+    rows, however long the stream has run; folders older than that are deleted.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -156,10 +166,14 @@ def scored_batches(bars: DataFrame, score, sink: str, checkpoint: str, history:
         mine = f"{sink}/bars/batch={number}"
         batch.write.mode("overwrite").parquet(mine)
         fresh = spark.read.schema(batch.schema).parquet(mine)
-        stored = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])).option("basePath", f"{sink}/bars").parquet(f"{sink}/bars")
-        latest = Window.partitionBy("symbol").orderBy(F.desc("t"))
-        past = stored.where(F.col("batch") < number).drop("batch").withColumn("__n", F.row_number().over(latest)).where(F.col("__n") <= history).drop("__n")
-        scored = score(past.unionByName(fresh))
+        before = [n for n in _numbered(spark, f"{sink}/history") if n < number]
+        seen = spark.read.schema(batch.schema).parquet(f"{sink}/history/batch={before[-1]}").unionByName(fresh) if before else fresh
+        scored = score(seen)
         scored.join(fresh.select("symbol", "t"), ["symbol", "t"], "left_semi").write.mode("overwrite").parquet(f"{sink}/scores/batch={number}")
+        latest = Window.partitionBy("symbol").orderBy(F.desc("t"))
+        seen.withColumn("__n", F.row_number().over(latest)).where(F.col("__n") <= history).drop("__n").write.mode("overwrite").parquet(f"{sink}/history/batch={number}")
+        for old in before[:-1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{sink}/history/batch={old}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     return bars.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
