@@ -89,3 +89,40 @@ def against_anchor(bars: DataFrame, anchor: DataFrame, n: int, w: WindowSpec | N
     met = bars.join(anchor.select("t", F.col("close").alias("__a")), "t", "left")
     returns = met.select("*", W.change(F.col("close"), 1, w).alias("__r"), W.change(F.col("__a"), 1, w).alias("__ar"))
     return returns.select(*bars.columns, W.beta(F.col("__r"), F.col("__ar"), n, w).alias("beta"), W.correlation(F.col("__r"), F.col("__ar"), n, w).alias("correlation"), (F.log("close") - F.log("__a")).alias("log_spread"), (F.col("__r") - F.col("__ar")).alias("relative_strength"))
+
+
+def lagged_features(bars: DataFrame, w: WindowSpec | None = None) -> DataFrame:
+    """Past returns of close and volume (1 to 3 rows ago; none over a bar without volume), and ratios to the last 7 rows.
+
+    Buy pressure, quote volume ratio and trade intensity only where bars have the columns they read.
+    """
+    w, there = w or W.series(), set(bars.columns)
+    known = bars.select("*", W.change(F.col("close"), 1, w).alias("__r"), W.change(F.col("volume"), 1, w).alias("__v"))
+    against = lambda c: F.col(c) / (W.mean(F.col(c).cast("double"), 7, w, 1) + 1e-8)
+    made = {f"ret_lag{n}": F.lag("__r", n).over(w) for n in (1, 2, 3)} | {f"vol_ret_lag{n}": F.lag("__v", n).over(w) for n in (1, 2, 3)} | {"vol_ratio": against("volume")}
+    if "quote_volume" in there:
+        made["quote_vol_ratio"] = against("quote_volume")
+        if "taker_buy_quote_volume" in there:
+            made["buy_pressure"] = F.col("taker_buy_quote_volume") / (F.col("quote_volume") + 1e-8)
+        if "number_of_trades" in there:
+            made["trade_intensity"] = against("number_of_trades")
+    return known.select(*bars.columns, *[x.alias(name) for name, x in made.items()])
+
+
+def anchor_lags(bars: DataFrame, anchor: DataFrame, windows: tuple[int, ...], prefix: str, w: WindowSpec | None = None) -> DataFrame:
+    """bars with past returns, range ratio and distance from its mean of an anchor series (t, close, atr, mean_close), and what
+    a series does against it: correlation of returns over each window, distance from its hedge, and strength over the shortest window.
+
+    All returns are those up to the row itself; the hedge is the rolling slope of close on the anchor's close over the longest window.
+    """
+    w, long, short = w or W.series(), max(windows), min(windows)
+    alone = W.Window.orderBy("t")  # one series: the anchor's
+    c = F.col("close")
+    shown = anchor.select("t", F.col("close").alias("__a"), W.change(c, 1, alone).alias("__ar"), W.ratio(F.col("atr"), W.mean(F.col("atr"), long, alone, 1)).alias(f"{prefix}_atr_ratio"), (c - F.col("mean_close")).alias(f"{prefix}_close_vs_ma"))
+    shown = shown.select("*", *[F.lag("__ar", n).over(alone).alias(f"{prefix}_ret_lag{n}") for n in (1, 2, 3)])
+    met = bars.join(shown, "t", "left").withColumn("__r", W.change(c, 1, w))
+    total = lambda x: W.enough(F.sum(x).over(W.last_rows(short, w)), F.col(x), W.last_rows(short, w), short)
+    return met.select(
+        *bars.columns, *[f"{prefix}_{x}" for x in ("ret_lag1", "ret_lag2", "ret_lag3", "atr_ratio", "close_vs_ma")], *[W.correlation(F.col("__r"), F.col("__ar"), n, w).alias(f"{prefix}_corr_{n}") for n in windows],
+        (c - W.beta(c, F.col("__a"), long, w) * F.col("__a")).alias(f"{prefix}_spread"), (total("__r") - total("__ar")).alias(f"{prefix}_rel_strength"),
+    )

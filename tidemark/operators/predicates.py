@@ -234,6 +234,47 @@ def crossed(atoms: list[str], frames: list[str], family: str = "kline") -> list[
     return stack_of([f"{a}_{x}_and_{b}_{y}" for (a, b), x, y in product(pairs, atoms, atoms)], family)
 
 
+# The default rules of a stack over a ladder of frames. Rank 0 is the coarsest frame, which gives the context; a
+# signal comes from a finer one. SINGLE holds on every frame, SAME on one frame at a time, CROSSED are (rank, contexts, rank, signals).
+SINGLE = """strong_trend ma_momentum above_all_mas low_vol high_vol strong_candle near_ma rsi_oversold rsi_overbought macd_bullish macd_bearish
+stoch_bullish cci_reversal adx_trend bb_rebound mom_positive low_volume high_volume vol_breakout buy_pressure sar_aligned mfi_oversold mfi_overbought
+bop_bullish bop_bearish roc_positive roc_negative""".split()
+SAME = [("vol_breakout", "mfi_oversold mfi_overbought"), ("high_volume", "bop_bullish bop_bearish"), ("low_volume", "roc_positive roc_negative")]
+_MACD, _RSI, _BOP, _MFI = "macd_bullish macd_bearish", "rsi_oversold rsi_overbought", "bop_bullish bop_bearish", "mfi_oversold mfi_overbought"
+_TWO, _THREE, _FOUR = f"{_MACD} {_RSI}", f"{_MACD} {_RSI} {_BOP}", f"{_MACD} {_RSI} {_BOP} {_MFI}"
+TREND = [
+    (0, "strong_trend ma_momentum above_all_mas", 2, _TWO), (1, "strong_trend adx_trend", 2, _TWO), (1, "macd_bullish", 2, _RSI), (0, "strong_trend", 1, _TWO), (0, "ma_momentum", 1, _MACD),
+    (0, "vol_breakout", 1, _TWO), (0, "vol_breakout", 2, _TWO), (1, "vol_breakout", 2, _TWO), (0, "strong_trend vol_breakout", 1, "vol_breakout", 2, _MACD),
+]
+VOLUME = [
+    (0, "low_volume", 1, _THREE), (0, "low_volume", 2, _FOUR), (0, "high_volume", 1, _THREE), (0, "high_volume", 2, _FOUR), (1, "low_volume", 2, f"{_FOUR} stoch_bullish"), (1, "high_volume", 2, _FOUR),
+    (0, "low_vol", 1, _THREE), (0, "low_vol", 2, f"{_FOUR} stoch_bullish"), (0, "high_vol", 1, _TWO), (0, "high_vol", 2, _THREE), (1, "low_vol", 2, f"{_FOUR} stoch_bullish"), (1, "high_vol", 2, _THREE),
+]
+FLOW = [(0, "strong_trend", 2, _BOP), (0, "vol_breakout", 2, _MFI), (1, "vol_breakout", 2, _BOP), (1, "vol_breakout", 2, _MFI)]
+
+
+def ranked(rules: list[tuple], ladder: list[str]) -> list[str]:
+    """The names that rules (rank, atoms, rank, atoms, ...) stand for on a ladder of frames, coarsest first.
+
+    Ranks must rise from leg to leg, so that the context is the coarser frame; a ladder without a rank raises.
+    """
+    names = []
+    for rule in rules:
+        ranks, atoms = rule[::2], [a.split() for a in rule[1::2]]
+        if list(ranks) != sorted(set(ranks)) or ranks[-1] >= len(ladder):
+            raise ValueError(f"ranks {ranks} do not go from coarse to fine on {ladder}")
+        names += ["_and_".join(f"{ladder[r]}_{a}" for r, a in zip(ranks, legs, strict=True)) for legs in product(*atoms)]
+    return names
+
+
+def ladder_stack(frames: list[str], family: str = "kline") -> list[tuple[str, str]]:
+    """The default stack on these frames: single atoms, crossed ones, pairs on one frame; each name and side once, none of them banned."""
+    fine = sorted(frames, key=lambda f: int(f[:-1]) * SECONDS[f[-1]])
+    ladder = fine[::-1]
+    names = [f"{f}_{a}" for f in fine for a in SINGLE] + ranked(TREND, ladder) + [f"{f}_{a}_and_{f}_{b}" for f in fine for a, other in SAME for b in other.split()] + ranked(VOLUME, ladder) + ranked(FLOW, ladder)
+    return list(dict.fromkeys((n, s) for n, s in stack_of(names, family) if not any(_framed(a)[1] in BANNED for a in _parts(n, family))))
+
+
 def swept(gates: list[str], techniques: list[str]) -> list[str]:
     """All gates, all techniques, and each gate with each technique."""
     return [*gates, *techniques, *(f"{g}_and_{t}" for g, t in product(gates, techniques))]

@@ -70,7 +70,7 @@ def _write_generations(spark, sf_dir, root: str, form: str) -> None:
     late = rows.where(F.col("open_time_ms") % (4 * 86_400_000) == 0).withColumn("close", F.col("close") * 2)
     for generation in (rows, late):
         stage = archives.scratch(spark, "generation")
-        generation.repartition(1, "symbol").sortWithinPartitions("symbol", "open_time_ms").write.partitionBy("symbol").option("header", True).format(form).save(stage)
+        generation.repartition("symbol").sortWithinPartitions("symbol", "open_time_ms").write.partitionBy("symbol").option("header", True).format(form).save(stage)
         _move_files(spark, stage, root, "a" if generation is rows else "b")
 
 
@@ -166,3 +166,10 @@ def narrowed_sink(spark, sf_dir):
     archives.write_csv(archives.narrowed(rows, ["4h"]), root)
     df = spark.read.schema("symbol STRING, t BIGINT, close DOUBLE, `4h_close` DOUBLE").option("header", True).csv(root)
     return df.select("symbol", "t", *rounded(df, "close 4h_close"))
+
+
+@query("asset_folders", f"WITH {sql.CANDLES} SELECT symbol AS asset, count(*) AS n, CAST(sum(t) AS BIGINT) AS t_sum, round(sum(close), 2) AS closes FROM candles GROUP BY 1")
+def asset_folders(spark, sf_dir):
+    root = archives.scratch(spark, "assets")
+    archives.write_slices(tables.candles(spark, sf_dir).withColumnRenamed("symbol", "asset"), root, ("asset",))
+    return spark.read.parquet(root).groupBy("asset").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("t_sum"), F.round(F.sum("close"), 2).alias("closes"))

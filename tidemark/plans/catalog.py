@@ -214,6 +214,34 @@ def against_anchor(spark, sf_dir):
     return df.select("symbol", "t", *rounded(df, "beta correlation log_spread relative_strength", 5))
 
 
+_LAGGED = " ".join([*(f"{x}_lag{n}" for x in ("ret", "vol_ret") for n in (1, 2, 3)), "vol_ratio quote_vol_ratio buy_pressure trade_intensity"])
+
+
+@query("lagged_features", f"""WITH {sql.CANDLES}, q AS (SELECT *, volume * close AS quote_volume, volume * low / 2 AS taker, close / nullif(lag(close) OVER w, 0) - 1 AS r, volume / nullif(lag(volume) OVER w, 0) - 1 AS v FROM candles WINDOW w AS (PARTITION BY symbol ORDER BY t)),
+  f AS (SELECT symbol, t, {", ".join(f"lag(r, {n}) OVER w AS ret_lag{n}, lag(v, {n}) OVER w AS vol_ret_lag{n}" for n in (1, 2, 3))}, volume / ({sql.mean('volume', 7, 1)} + 1e-8) AS vol_ratio, quote_volume / ({sql.mean('quote_volume', 7, 1)} + 1e-8) AS quote_vol_ratio, taker / (quote_volume + 1e-8) AS buy_pressure, trades / ({sql.mean('trades', 7, 1)} + 1e-8) AS trade_intensity FROM q WINDOW w AS (PARTITION BY symbol ORDER BY t))
+  SELECT symbol, t, {sql.rounded(_LAGGED, 6)} FROM f""")
+def lagged_features(spark, sf_dir):
+    rows = tables.candles(spark, sf_dir)
+    rows = rows.withColumns({"quote_volume": F.col("volume") * F.col("close"), "taker_buy_quote_volume": F.col("volume") * F.col("low") / 2, "number_of_trades": F.col("trades")})
+    df = features.lagged_features(rows)
+    return df.select("symbol", "t", *rounded(df, _LAGGED, 6))
+
+
+_ANCHORED = "x_ret_lag1 x_ret_lag2 x_ret_lag3 x_atr_ratio x_close_vs_ma x_corr_20 x_corr_60 x_spread x_rel_strength"
+
+
+@query("anchor_lags", f"""WITH {sql.CANDLES}, a0 AS (SELECT t, close AS a, high - low AS atr, {sql.mean('close', 7)} AS m, close / nullif(lag(close) OVER (ORDER BY t), 0) - 1 AS ar FROM candles WHERE symbol = '{ANCHOR}'), a1 AS (SELECT t, a, ar, {", ".join(f"lag(ar, {n}) OVER (ORDER BY t) AS x_ret_lag{n}" for n in (1, 2, 3))}, atr / nullif(avg(atr) OVER (ORDER BY t ROWS 59 PRECEDING), 0) AS x_atr_ratio, a - m AS x_close_vs_ma FROM a0),
+  j AS (SELECT c.symbol, c.t, c.close, a1.* EXCLUDE (t), c.close / nullif(lag(c.close) OVER (PARTITION BY c.symbol ORDER BY c.t), 0) - 1 AS r FROM candles c LEFT JOIN a1 ON a1.t = c.t), p AS (SELECT *, CASE WHEN ar IS NOT NULL THEN r END AS rr, CASE WHEN r IS NOT NULL THEN ar END AS aa, CASE WHEN a IS NOT NULL THEN close END AS cc FROM j),
+  f AS (SELECT *, {", ".join(f"CASE WHEN count(aa) OVER w{n} >= {n} THEN covar_pop(rr, aa) OVER w{n} / nullif(stddev_pop(rr) OVER w{n} * stddev_pop(aa) OVER w{n}, 0) END AS x_corr_{n}" for n in (20, 60))}, close - CASE WHEN count(a) OVER w60 >= 60 AND var_pop(a) OVER w60 > 1e-12 THEN covar_samp(cc, a) OVER w60 / var_pop(a) OVER w60 END * a AS x_spread,
+    CASE WHEN count(r) OVER w20 >= 20 THEN sum(r) OVER w20 END - CASE WHEN count(ar) OVER w20 >= 20 THEN sum(ar) OVER w20 END AS x_rel_strength FROM p WINDOW w20 AS (PARTITION BY symbol ORDER BY t ROWS 19 PRECEDING), w60 AS (PARTITION BY symbol ORDER BY t ROWS 59 PRECEDING))
+  SELECT symbol, t, {sql.rounded(_ANCHORED, 4)} FROM f""")
+def anchor_lags(spark, sf_dir):
+    rows = tables.candles(spark, sf_dir)
+    anchor = rows.where(F.col("symbol") == ANCHOR).withColumns({"atr": F.col("high") - F.col("low"), "mean_close": W.mean(F.col("close"), 7, W.series())})
+    df = features.anchor_lags(rows, anchor, (20, 60), "x")
+    return df.select("symbol", "t", *rounded(df, _ANCHORED, 4))
+
+
 @query("ladder_target", f"WITH {sql.CANDLES}, {sql.LADDER.format(source='candles', h=4, step=0.01, top=3, fee=0.0005)} SELECT symbol, t, rungs_long, rungs_short, {sql.rounded('target_long target_short')} FROM ladder")
 def ladder_target(spark, sf_dir):
     df = labels.ladder_target(tables.candles(spark, sf_dir), **LADDER)
@@ -357,6 +385,14 @@ def embedding_clusters(spark, sf_dir):
     return ml.clustered(tables.table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding", 8, 5).groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("cluster_profiles")
+def cluster_profiles(spark, sf_dir):
+    """The eight components of the reduced vectors that tell each cluster apart most, five for each."""
+    found = ml.clustered(tables.table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding", 8, 5)
+    columns = [f"component_{i + 1}" for i in range(8)]
+    return ml.cluster_profile(found.select("cluster", *[F.col("components")[i].alias(c) for i, c in enumerate(columns)]), columns, 5).select("cluster", "n", "feature", "place", F.round("gap", 4).alias("gap"))
+
+
 @query("bare_symbols", "SELECT event_id, regexp_replace(regexp_replace(upper(event_type), '[_/-]', '', 'g'), 'X', 'X') AS symbol FROM events")
 def bare_symbols(spark, sf_dir):
     raw = F.concat(F.when(F.col("event_id") % 2 == 0, "venue_venue_").otherwise("perp_"), F.col("event_type"))

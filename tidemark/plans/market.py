@@ -67,12 +67,16 @@ def book_features(spark, sf_dir):
 LATE = "relative_spread depth_imbalance_L5 ofi_agg basis_pct"
 
 
-@query("point_in_time_signals", f"""WITH {BOOKED}, late AS (SELECT * REPLACE ({", ".join(f"lag({c}) OVER w AS {c}" for c in LATE.split())}) FROM booked {_W})
-  SELECT symbol, t, {sql.rounded(LATE, 5)}, {", ".join(f"round({sql.mean(c, n, max(1, n // 4))}, 5) + 0.0 AS {c}_roll{n}_mean, round({sql.rolled(f'stddev_samp({c})', c, n, max(2, n // 4))}, 5) + 0.0 AS {c}_roll{n}_std" for c in ('trade_imbalance', 'depth_imbalance_L5', 'ofi_agg') for n in (30, 60))} FROM late""")
+SIGNALS, SIZES = ("trade_imbalance", "ofi_agg", "depth_imbalance_L5", "relative_spread", "dollar_tsi", "kyle_lambda"), (30, 60, 300, 900)
+_ROLLED = [(f"{c}_roll{n}_{s}", 2 if c == "dollar_tsi" else 5) for c in SIGNALS for n in SIZES for s in ("mean", "std")]
+
+
+@query("point_in_time_signals", f"""WITH {BOOKED}, late AS (SELECT * REPLACE ({", ".join(f"lag({c}) OVER w AS {c}" for c in LATE.split())}) FROM booked {_W}),
+  r AS (SELECT symbol, t, {LATE.replace(' ', ', ')}, {", ".join(f"{sql.mean(c, n, max(1, n // 4))} AS {c}_roll{n}_mean, {sql.rolled(f'stddev_samp({c})', c, n, max(2, n // 4))} AS {c}_roll{n}_std" for c in SIGNALS for n in SIZES)} FROM late)
+  SELECT symbol, t, {sql.rounded(LATE, 5)}, {", ".join(f"round({c}, {d}) + 0.0 AS {c}" for c, d in _ROLLED)} FROM r""")
 def point_in_time_signals(spark, sf_dir):
-    columns = ("trade_imbalance", "depth_imbalance_L5", "ofi_agg")
-    df = book.rolling_signals(book.point_in_time(booked(spark, sf_dir)), columns, (30, 60))
-    return df.select("symbol", "t", *rounded(df, LATE, 5), *rounded(df, " ".join(f"{c}_roll{n}_{s}" for c in columns for n in (30, 60) for s in ("mean", "std")), 5))
+    df = book.rolling_signals(book.point_in_time(booked(spark, sf_dir)), SIGNALS, SIZES)
+    return df.select("symbol", "t", *rounded(df, LATE, 5), *[(F.round(c, d) + 0.0).alias(c) for c, d in _ROLLED])
 
 
 @query("anchor_features", f"""WITH {BOOKED}, anchor AS (SELECT * FROM booked WHERE symbol = '{ANCHOR}'), j AS (SELECT b.symbol, b.t, b.relative_spread, a.mid_price AS m, a.bid_size AS bs, a.ask_size AS sz, a.trade_imbalance AS ti, a.volume AS v, a.ofi_L1 AS o, a.relative_spread AS rs, a.liq_directional_imbalance AS d FROM booked b LEFT JOIN anchor a ON a.t = b.t),
