@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cointegration, pairs, portfolio, sequential
+from ..operators import backtests, cointegration, pairs, portfolio, sequential
 from ..operators import windows as W
 from ..sources import driver_tables as tables
 from . import oracles as sql
@@ -231,3 +231,43 @@ def stable_pairs(spark, sf_dir):
     fits = pairs.reversion(windowed).where("n >= 10").select(F.substring_index("pair", "|", 1).alias("pair"), F.substring_index("pair", "|", -1).cast("long").alias("window"), "speed", "deviation")
     df = pairs.stable(fits, 3, 0.5)
     return df.select("pair", "windows", F.round("worst", 5).alias("worst"))
+
+
+_FITS = f"""{_window_spreads('pairs', _BACK)}, steps AS (SELECT pair, win, lag(spread) OVER w AS s, spread - lag(spread) OVER w AS d FROM wspreads WINDOW w AS (PARTITION BY pair, win ORDER BY t)), rev AS (SELECT pair, win, -regr_slope(d, s) AS speed, sqrt(greatest(var_pop(d) - regr_slope(d, s) ** 2 * var_pop(s), 0)) AS deviation FROM steps WHERE s IS NOT NULL GROUP BY 1, 2),
+  widths AS (SELECT pair, win, stddev_samp(spread) AS width FROM wspreads GROUP BY 1, 2), live AS (SELECT wfits.*, speed, deviation, width FROM wfits JOIN widths USING (pair, win) JOIN rev USING (pair, win)),
+  tr AS (SELECT pair, win, t, spread, spread / nullif(width, 0) AS z, row_number() OVER (PARTITION BY pair, win ORDER BY t) AS i FROM (SELECT p.pair, win, p.t, width, y - hedge * x - (my - hedge * mx) AS spread FROM pairs p JOIN live l ON l.pair = p.pair AND l.win = p.t - p.t % {_STEP * 86400} WHERE speed > 0 AND ln(2) / speed <= 500)),
+  walked AS (SELECT pair, win, CAST(0 AS BIGINT) AS i, 0 AS held, 0 AS age FROM (SELECT DISTINCT pair, win FROM tr) UNION ALL SELECT pair, win, i, CASE WHEN out THEN 0 WHEN held <> 0 THEN held WHEN z < -1 THEN 1 WHEN z > 1 THEN -1 ELSE 0 END, CASE WHEN out THEN 0 WHEN held <> 0 THEN age + 1 WHEN abs(z) > 1 THEN 1 ELSE 0 END
+    FROM (SELECT k.pair, k.win, k.i, k.z, held, age, held <> 0 AND k.z IS NOT NULL AND (abs(k.z) < 0.5 OR abs(k.z) > 4 OR age + 1 > 10) AS out FROM walked r JOIN tr k ON k.pair = r.pair AND k.win = r.win AND k.i = r.i + 1)),
+  paid AS (SELECT tr.pair, tr.win, tr.t, z, CAST(held AS DOUBLE) AS position, coalesce(lag(held) OVER w, 0) * coalesce(spread - lag(spread) OVER w, 0) - abs(held - coalesce(lag(held) OVER w, 0)) * 0.001 AS gain FROM tr JOIN walked r ON r.pair = tr.pair AND r.win = tr.win AND r.i = tr.i WINDOW w AS (PARTITION BY tr.pair, tr.win ORDER BY tr.t))"""
+
+
+def _walked(spark, sf_dir):
+    aligned = pairs.aligned(tables.candles(spark, sf_dir))
+    _, fits = backtests.fitted_windows(aligned, _BACK * pairs.DAY, _STEP * pairs.DAY)
+    return fits, backtests.traded(aligned, fits, _STEP * pairs.DAY, enter=1.0, leave=0.5, stop=4.0, longest=10)
+
+
+@query("walk_forward_trades", f'WITH RECURSIVE {sql.PAIRS}, {_FITS} SELECT pair, win AS "window", t, round(z, 6) + 0.0 AS z, position, round(gain, 6) + 0.0 AS gain FROM paid')
+def walk_forward_trades(spark, sf_dir):
+    df = _walked(spark, sf_dir)[1]
+    return df.select("pair", "window", "t", *rounded(df, "z"), "position", *rounded(df, "gain"))
+
+
+@query("walk_forward_outcomes", f"""WITH RECURSIVE {sql.PAIRS}, {_FITS}, e AS (SELECT pair, t, gain, sum(gain) OVER (PARTITION BY pair ORDER BY t) AS e FROM paid), u AS (SELECT *, e - max(e) OVER (PARTITION BY pair ORDER BY t) AS u FROM e),
+  c AS (SELECT pair, win, CASE WHEN position <> coalesce(lag(position) OVER (PARTITION BY pair, win ORDER BY t), 0) THEN 1 ELSE 0 END AS c FROM paid), k AS (SELECT pair, CAST(sum(c) AS BIGINT) AS trades FROM c GROUP BY 1), h AS (SELECT pair, count(*) AS windows, avg(ln(2) / speed) AS half FROM (SELECT DISTINCT pair, win FROM tr) JOIN live USING (pair, win) GROUP BY 1)
+  SELECT pair, count(*) AS days, round(sum(gain), 6) AS total, round(avg(gain) / nullif(stddev_samp(gain), 0) * sqrt(365), 5) AS sharpe, round(min(u), 6) + 0.0 AS drawdown, any_value(trades) AS trades, any_value(windows) AS windows, round(any_value(half), 6) AS mean_half_life FROM u JOIN k USING (pair) JOIN h USING (pair) GROUP BY 1""")
+def walk_forward_outcomes(spark, sf_dir):
+    fits, rows = _walked(spark, sf_dir)
+    df = backtests.outcome(rows, fits)
+    return df.select("pair", "days", *rounded(df, "total"), *rounded(df, "sharpe", 5), *rounded(df, "drawdown"), "trades", "windows", *rounded(df, "mean_half_life"))
+
+
+@query("tradeable_pairs", f"""WITH RECURSIVE {sql.PAIRS}, {_FITS}, {_tested('wspreads', 'pair, win')}, days AS (SELECT pair, win, t - t % 86400 AS day, sum(gain) AS gain FROM paid GROUP BY 1, 2, 3), sh AS (SELECT pair, win, coalesce(avg(gain) / nullif(stddev_samp(gain), 0), 0) AS sharpe FROM days GROUP BY 1, 2),
+  hist AS (SELECT pair, win, coalesce(p, 1) AS p, coalesce(speed / nullif(deviation, 0), 0) AS ratio, hedge, coalesce(sharpe, 0) AS sharpe, row_number() OVER (PARTITION BY pair ORDER BY win DESC) AS n, abs(hedge - lag(hedge) OVER v) / nullif(abs(lag(hedge) OVER v), 0) AS drift FROM live LEFT JOIN tested USING (pair, win) JOIN sh USING (pair, win) WINDOW v AS (PARTITION BY pair ORDER BY win)),
+  j AS (SELECT pair, count(*) AS c, bool_and(coalesce(p < 0.05, false)) AS tested, bool_and(n = 2 OR coalesce(drift <= 20, false)) AS steady, max(ratio) FILTER (n = 1) AS ratio, max(sharpe) FILTER (n = 1) AS sharpe FROM hist WHERE n <= 2 GROUP BY 1)
+  SELECT pair, round(ratio, 6) AS ratio, row_number() OVER (ORDER BY ratio DESC, pair) AS place FROM j WHERE c = 2 AND tested AND steady AND ratio >= 0.5 AND sharpe >= -1""")
+def tradeable_pairs(spark, sf_dir):
+    fits, rows = _walked(spark, sf_dir)
+    tests = _window_tests(pairs.aligned(tables.candles(spark, sf_dir)), _BACK).withColumnRenamed("t", "window")
+    df = backtests.tradeable_pairs(backtests.window_history(fits, tests, rows), last=2, most_drift=20.0, least_sharpe=-1.0)
+    return df.select("pair", *rounded(df, "ratio"), "place")
