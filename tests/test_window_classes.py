@@ -79,3 +79,21 @@ def test_small_groups_and_missing_classes(spark):
     assert len(got) == 120 and all((r["predicted"], r["p_neutral"]) == (1, 1.0) for r in got)
     with pytest.raises(ValueError):
         window_classes.walk(dealt(spark, rows).where("false"), FEATURES, ["t"], FEW)
+
+
+def test_runs_are_saved_and_models_read_again(spark, tmp_path):
+    rows = dealt(spark, panel())
+    folder = f"file://{tmp_path}/run"
+    settings = Settings(rounds=2, depth=2, clusters=[Clusters(3, 2), Clusters(2, 2), Clusters(2, 2)], least_rows=20)  # no row is of group 2
+    found = window_classes.walk(rows, FEATURES, ["symbol", "t", "y"], settings, models=f"{folder}/models")
+    window_classes.save_run(found, window_classes.summary(found, "y", "y", 1.0), folder)
+    kept = spark.read.parquet(f"{folder}/predictions")
+    assert kept.count() == found.count() and spark.read.option("header", True).csv(f"{folder}/summary").count() == kept.select("window").distinct().count()
+    last = kept.agg(F.max("window")).first()[0]
+    model = window_classes.WindowModel.load(spark, f"{folder}/models/window={last}")
+    assert model.features == ["a", "b"] and model.clusters[2] is None
+    again = {(r["symbol"], r["t"]): r for r in model.predict(rows.where(f"window = {last} and test"), ["symbol", "t"]).collect()}
+    for r in kept.where(f"window = {last}").collect():
+        other = again[r["symbol"], r["t"]]
+        assert (other["regime"], other["predicted"]) == (r["regime"], r["predicted"]) and abs(other["p_up"] - r["p_up"]) < 1e-12
+    assert window_classes.numeric_features(rows, ("t", "label", "group", "window", "y")) == FEATURES

@@ -7,15 +7,17 @@ the driver goes through them one by one and Spark does each fit and each pass ov
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..sources.shared import settled
 from . import windows as W
@@ -57,108 +59,131 @@ def label(up: Column, down: Column, threshold: float = 0.0) -> Column:
     return F.when(rises & falls, F.when(F.abs(up) >= F.abs(down), UP).otherwise(DOWN)).when(rises, UP).when(falls, DOWN).otherwise(NEUTRAL)
 
 
-def prepared(train: DataFrame, features: list[str]) -> PipelineModel:
-    """Adds `scaled`: features with the training medians in place of what is missing, centred and scaled as in training.
+def _doubles(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The features as doubles, NaN in place of what is missing or infinite, as the imputer wants them."""
+    return rows.withColumns({f"__d_{c}": F.coalesce(W.finite(F.col(c).cast("double")), F.lit(float("nan"))) for c in names})
 
-    A feature that no training row has is left out.
-    """
+
+@dataclass(frozen=True)
+class WindowModel:
+    """What one window has learned: scaling, the clusters of each group (None: the one cluster 0) and the classes (None: all is neutral)."""
+
+    features: list[str]
+    scaling: PipelineModel
+    clusters: list[PipelineModel | None]
+    classes: OneVsRestModel | None
+
+    def scaled(self, rows: DataFrame) -> DataFrame:
+        """rows with scaled: training medians in place of what is missing, centred and scaled as in training."""
+        return self.scaling.transform(_doubles(rows, self.features))
+
+    def augmented(self, rows: DataFrame) -> DataFrame:
+        """scaled rows with cluster, regime (group and cluster in one code) and the classes' input; groups without an entry have cluster 0."""
+        alone = len(self.clusters) == 1
+        parts = [] if alone else [rows.where(~F.coalesce(F.col("group") < len(self.clusters), F.lit(False))).withColumn("cluster", F.lit(0))]
+        for g, own in enumerate(self.clusters):
+            mine = rows if alone else rows.where(F.col("group") == g)
+            parts.append(own.transform(mine).drop("__components") if own else mine.withColumn("cluster", F.lit(0)))
+        out = reduce(DataFrame.unionByName, parts).withColumn("cluster", F.col("cluster").cast("int")).withColumn("regime", F.col("group") * 1000 + F.col("cluster"))
+        return VectorAssembler(inputCols=["scaled", "cluster"] if alone else ["scaled", "cluster", "group"], outputCol="augmented").transform(out)
+
+    def predict(self, rows: DataFrame, keep: list[str]) -> DataFrame:
+        """keep, group, cluster, regime, predicted, p_down, p_neutral, p_up. rows: features and group."""
+        asked = self.augmented(self.scaled(rows).select(*keep, "group", "scaled"))
+        shown = [*keep, "group", "cluster", "regime"]
+        if self.classes is None:
+            return asked.select(*shown, F.lit(NEUTRAL).alias("predicted"), F.lit(0.0).alias("p_down"), F.lit(1.0).alias("p_neutral"), F.lit(0.0).alias("p_up"))
+        # A margin of an ensemble is half its log odds.
+        scored = self.classes.transform(asked).withColumn("__o", F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m))))
+        p = F.transform("__o", lambda x: x / F.aggregate("__o", F.lit(0.0), lambda s, y: s + y))
+        best = F.when((p[0] >= p[1]) & (p[0] >= p[2]), DOWN).when(p[1] >= p[2], NEUTRAL).otherwise(UP)
+        return scored.select(*shown, best.alias("predicted"), p[0].alias("p_down"), p[1].alias("p_neutral"), p[2].alias("p_up"))
+
+    def save(self, folder: str) -> None:
+        """Into a new folder of the shared store."""
+        spark = SparkSession.active()
+        self.scaling.save(f"{folder}/scaling")
+        for g, own in enumerate(self.clusters):
+            if own:
+                own.save(f"{folder}/clusters-{g}")
+        if self.classes:
+            self.classes.save(f"{folder}/classes")
+        parts = [(self.features, [own is not None for own in self.clusters], self.classes is not None)]
+        spark.createDataFrame(parts, "features array<string>, clusters array<boolean>, classes boolean").coalesce(1).write.json(f"{folder}/parts")
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> WindowModel:
+        parts = spark.read.schema("features array<string>, clusters array<boolean>, classes boolean").json(f"{folder}/parts").first()
+        clusters = [PipelineModel.load(f"{folder}/clusters-{g}") if there else None for g, there in enumerate(parts["clusters"])]
+        return WindowModel(list(parts["features"]), PipelineModel.load(f"{folder}/scaling"), clusters, OneVsRestModel.load(f"{folder}/classes") if parts["classes"] else None)
+
+
+def numeric_features(frame: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
+    """The numeric columns of a table that are not excluded (keys, times, targets), in its order."""
+    return [f.name for f in frame.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
+
+
+def learn(train: DataFrame, features: list[str], settings: Settings) -> WindowModel:
+    """A window's model from its training rows (features, label, group) alone. A feature that no row has is left out."""
     there = train.agg(*[F.count(W.finite(F.col(c).cast("double"))).alias(c) for c in features]).first()
     known = [c for c in features if there[c]]
-    doubles = _Doubles(known)
+    rows = _doubles(train, known)
     filled = [f"__f_{c}" for c in known]
-    rows = doubles.transform(train)
     imputer = Imputer(strategy="median", inputCols=[f"__d_{c}" for c in known], outputCols=filled, relativeError=1e-4).fit(rows)
     assembler = VectorAssembler(inputCols=filled, outputCol="__raw")
     scaler = StandardScaler(inputCol="__raw", outputCol="scaled", withMean=True).fit(assembler.transform(imputer.transform(rows)))
-    return PipelineModel([doubles, imputer, assembler, scaler])
-
-
-class _Doubles(Transformer):
-    """The features as doubles, NaN in place of what is missing or infinite, as the imputer wants them."""
-
-    def __init__(self, names: list[str]):
-        super().__init__()
-        self.names = names
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumns({f"__d_{c}": F.coalesce(W.finite(F.col(c).cast("double")), F.lit(float("nan"))) for c in self.names})
+    scaling = PipelineModel([imputer, assembler, scaler])
+    scaled = settled(scaling.transform(rows).select("label", "group", "scaled"), "window-train")
 
-
-def clustered(train: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
-    """rows (with scaled and group) with cluster, by the clusters of their group in train; 0 for groups without an entry."""
-    alone = len(settings.clusters) == 1
-    sizes = {r["group"]: r["count"] for r in train.groupBy("group").count().collect()}  # a row for each group
-    parts = [] if alone else [rows.where(~F.coalesce(F.col("group") < len(settings.clusters), F.lit(False))).withColumn("cluster", F.lit(0))]
+    alone, clusters = len(settings.clusters) == 1, []
+    sizes = {r["group"]: r["count"] for r in scaled.groupBy("group").count().collect()}  # a row for each group
     for g, own in enumerate(settings.clusters):
-        mine, there = (rows, train) if alone else (x.where(F.col("group") == g) for x in (rows, train))
+        mine = scaled if alone else scaled.where(F.col("group") == g)
         n = sum(sizes.values()) if alone else sizes.get(g, 0)
-        if n < max(settings.least_rows, 1):
-            parts.append(mine.withColumn("cluster", F.lit(0)))
+        if n < max(settings.least_rows, 2):
+            clusters.append(None)
             continue
-        width = there.select(F.size(vector_to_array("scaled")).alias("w")).first()["w"]
-        pca = PCA(k=max(1, min(own.components, width, max(n - 1, 1))), inputCol="scaled", outputCol="__components").fit(there)
-        means = KMeans(k=max(2, min(own.k, n)), seed=settings.seed, featuresCol="__components", predictionCol="cluster").fit(pca.transform(there)) if n > 1 else None
-        parts.append(means.transform(pca.transform(mine)).drop("__components") if means else mine.withColumn("cluster", F.lit(0)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def fitted(train: DataFrame, settings: Settings) -> OneVsRestModel:
-    """One boosted ensemble for each class; classes weigh alike."""
-    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-    total = sum(counts.values())
-    weight = F.coalesce(*[F.when(F.col("label") == c, total / (len(counts) * n)) for c, n in counts.items()])
-    learned = train.select("augmented", F.col("label").cast("double").alias("label"), weight.alias("weight")).persist()
+        pca = PCA(k=max(1, min(own.components, len(known), n - 1)), inputCol="scaled", outputCol="__components").fit(mine)
+        means = KMeans(k=max(2, min(own.k, n)), seed=settings.seed, featuresCol="__components", predictionCol="cluster").fit(pca.transform(mine))
+        clusters.append(PipelineModel([pca, means]))
+    model = WindowModel(known, scaling, clusters, None)
+    counts = {r["label"]: r["count"] for r in scaled.groupBy("label").count().collect()}
+    if len(counts) < 3:
+        return model
+    # One boosted ensemble for each class; classes weigh alike.
+    weight = F.coalesce(*[F.when(F.col("label") == c, sum(counts.values()) / (len(counts) * n)) for c, n in counts.items()])
+    learned = model.augmented(scaled).select("augmented", F.col("label").cast("double").alias("label"), weight.alias("weight")).persist()
     tree = GBTClassifier(featuresCol="augmented", maxIter=settings.rounds, maxDepth=settings.depth, stepSize=settings.rate, seed=settings.seed)
     try:
-        return OneVsRest(classifier=tree, featuresCol="augmented", weightCol="weight", parallelism=3).fit(learned)
+        return replace(model, classes=OneVsRest(classifier=tree, featuresCol="augmented", weightCol="weight", parallelism=3).fit(learned))
     finally:
         learned.unpersist()
 
 
 def window_predictions(train: DataFrame, test: DataFrame, features: list[str], keep: list[str], settings: Settings) -> DataFrame:
-    """keep, label, group, cluster, regime, predicted, p_down, p_neutral, p_up of the test rows. Both frames: features, label, group.
+    """What the model of train says of the test rows: keep, label and WindowModel.predict. Both frames: features, label, group."""
+    return learn(train, features, settings).predict(test, [*keep, "label"])
 
-    regime: group and cluster in one code. Unless all three classes stand in train, all is neutral.
-    """
-    ready = prepared(train, features)
-    learned, shown = (ready.transform(x).select(*keep, "label", "group", "scaled") for x in (train, test))
-    learned = settled(learned, "window-train")
-    sides = [clustered(learned, x, settings) for x in (learned, shown)]
-    code = (F.col("group") * 1000 + F.col("cluster")).alias("regime")
-    extra = ["cluster", "group"] if len(settings.clusters) > 1 else ["cluster"]
-    known, asked = (VectorAssembler(inputCols=["scaled", *extra], outputCol="augmented").transform(x.withColumn("cluster", F.col("cluster").cast("int"))) for x in sides)
-    if known.select("label").distinct().count() < 3:
-        neutral = [F.lit(NEUTRAL).alias("predicted"), F.lit(0.0).alias("p_down"), F.lit(1.0).alias("p_neutral"), F.lit(0.0).alias("p_up")]
-        return asked.select(*keep, "label", "group", "cluster", code, *neutral)
-    margins = vector_to_array("rawPrediction")
-    # A margin of an ensemble is half its log odds.
-    odds = F.transform(margins, lambda m: 1 / (1 + F.exp(-2 * m)))
-    scored = fitted(known, settings).transform(asked).withColumn("__o", odds)
-    p = F.transform("__o", lambda x: x / F.aggregate("__o", F.lit(0.0), lambda s, y: s + y))
-    best = F.when((p[0] >= p[1]) & (p[0] >= p[2]), DOWN).when(p[1] >= p[2], NEUTRAL).otherwise(UP)
-    return scored.select(*keep, "label", "group", "cluster", code, best.alias("predicted"), p[0].alias("p_down"), p[1].alias("p_neutral"), p[2].alias("p_up"))
-
-
-def walk(dealt: DataFrame, features: list[str], keep: list[str], settings: Settings | None = None) -> DataFrame:
-    """window_predictions of all windows (window, test), each written once it is there.
+
+def walk(dealt: DataFrame, features: list[str], keep: list[str], settings: Settings | None = None, models: str | None = None) -> DataFrame:
+    """window_predictions of all windows (window, test), each written once it is there; models: a folder that keeps each window's model as window=<w>.
 
     dealt: window, test, features, label and group for each row and window. A window's test rows meet finished models only.
     """
-    settings, out = settings or Settings(), None
+    settings, out = settings or Settings(), []
     for r in dealt.select("window").where("test").distinct().orderBy("window").collect():  # calendar periods
         rows = dealt.where(F.col("window") == r["window"])
         train = rows.where("not test")
         if train.isEmpty():
             continue
-        found = window_predictions(train, rows.where("test"), features, keep, settings).withColumn("window", F.lit(r["window"]))
-        found = settled(found, "window-predictions")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
+        model = learn(train, features, settings)
+        if models:
+            model.save(f"{models}/window={r['window']}")
+        found = model.predict(rows.where("test"), [*keep, "label"]).withColumn("window", F.lit(r["window"]))
+        out.append(settled(found, "window-predictions"))
+    if not out:
         raise ValueError("no window has training and test rows")
-    return out
+    return reduce(DataFrame.unionByName, out)
 
 
 def summary(predictions: DataFrame, up: str, down: str, per_year: float, by: str = "window") -> DataFrame:
@@ -169,3 +194,9 @@ def summary(predictions: DataFrame, up: str, down: str, per_year: float, by: str
         F.count(F.lit(1)).alias("n"), *[F.count(F.when(F.col("label") == c, 1)).alias(name) for c, name in ((DOWN, "n_down"), (NEUTRAL, "n_neutral"), (UP, "n_up"))], F.count(F.when(F.col("label") == F.col("predicted"), 1)).alias("hits"),
         sharpe(long).alias("sharpe_long"), sharpe(short).alias("sharpe_short"), sharpe(F.coalesce(long, short)).alias("sharpe_both"), sharpe(F.col(up)).alias("sharpe_all_long"), sharpe(-F.col(down)).alias("sharpe_all_short"),
     )
+
+
+def save_run(predictions: DataFrame, sums: DataFrame, folder: str, by: str = "window") -> None:
+    """A run's tables: predictions in a folder for each window, the summary as one CSV file with a header."""
+    predictions.repartition(by).write.partitionBy(by).option("compression", "zstd").parquet(f"{folder}/predictions")
+    sums.orderBy(by).coalesce(1).write.option("header", True).csv(f"{folder}/summary")  # a row for each window
