@@ -49,3 +49,10 @@ def test_default_stack_of_a_ladder():
         predicates.ranked([(1, "low_vol", 0, "low_vol")], ["1d", "1h"])
     with pytest.raises(ValueError):
         predicates.ladder_stack(["1h", "4h"])
+
+
+def test_time_frames_that_must_be_there(spark):
+    frame = spark.createDataFrame([(1, 2)], "`1h_close` long, `4h_close` long")
+    assert names.with_frames(frame, ["1h", "4h"]) is frame
+    with pytest.raises(ValueError, match="1d"):
+        names.with_frames(frame, ["1h", "1d"])

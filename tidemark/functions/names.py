@@ -114,3 +114,11 @@ def same_columns(frames: dict[str, DataFrame]) -> list[str]:
     if lacking:
         raise ValueError(f"columns that are not in all tables: {lacking}")
     return list(next(iter(frames.values())).columns)
+
+
+def with_frames(frame: DataFrame, frames: list[str]) -> DataFrame:
+    """frame, if it has a column of each time frame (`<frame>_...`); else an error that names those it lacks."""
+    lacking = [f for f in frames if not any(c.startswith(f"{f}_") for c in frame.columns)]
+    if lacking:
+        raise ValueError(f"no columns of the time frames {lacking}")
+    return frame

@@ -170,3 +170,19 @@ def weekly_reentry(samples: DataFrame, prediction: str = "prediction", stop: flo
     early = F.when(F.col("high") >= entry * (1 + stop), -stop).when(close > 0, (entry - close) / entry).otherwise(0.0)
     gain = F.when(F.col("__next").isNull(), F.coalesce("held", F.lit(0.0))).when(entry > 0, early).otherwise(0.0)
     return after.groupBy(*keys).agg(F.count(F.lit(1)).alias("legs"), F.sum(gain).alias("gain"))
+
+
+#: Names of positions and the gains that they earn.
+POSITIONS = {f"short_{leg}": f"gain_short_{leg}" for leg in LEGS}
+
+
+def position_slices(samples: DataFrame, stack: list[tuple[str, Column]]) -> DataFrame:
+    """A row for each (position, condition) of the stack that holds: the sample with position and its gain as gain.
+
+    Rows whose position cannot be priced are left out; unknown positions raise.
+    """
+    unknown = sorted({p for p, _ in stack} - set(POSITIONS))
+    if unknown:
+        raise ValueError(f"no such positions: {unknown}")
+    held = F.array_compact(F.array(*[F.when(F.coalesce(holds, F.lit(False)) & F.col(POSITIONS[p]).isNotNull(), F.struct(F.lit(p).alias("position"), F.col(POSITIONS[p]).alias("gain"))) for p, holds in stack]))
+    return samples.select("*", F.explode(held).alias("__h")).select(*samples.columns, "__h.position", "__h.gain")

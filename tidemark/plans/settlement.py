@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import option_days, options
+from ..sources import archives
 from ..sources import driver_tables as tables
 from .registry import query, rounded
 
@@ -95,3 +96,14 @@ def weekly_reentry(spark, sf_dir):
 def straddle_gains(spark, sf_dir):
     df = option_days.weekly_samples(_days(spark, sf_dir), threshold=0.05)
     return df.select("asset", "day", (F.round("gain_short_straddle", 8) + 0.0).alias("gain"))
+
+
+_HOLDS = {"short_call": "label = 0", "short_put": "label = 2", "short_straddle": "target_price < 1600"}
+
+
+@query("position_slices", f"""WITH {_WEEKS}, s AS ({" UNION ALL ".join(f"SELECT '{p}' AS position, {option_days.POSITIONS[p]} AS gain FROM samples WHERE {holds} AND {option_days.POSITIONS[p]} IS NOT NULL" for p, holds in _HOLDS.items())}) SELECT position, count(*) AS n, round(sum(gain), 6) + 0.0 AS gain FROM s GROUP BY 1""")
+def position_slices(spark, sf_dir):
+    root = archives.scratch(spark, "positions")
+    samples = option_days.weekly_samples(_days(spark, sf_dir), threshold=0.05)
+    archives.write_slices(option_days.position_slices(samples, [(p, F.expr(holds)) for p, holds in _HOLDS.items()]), root, ("position",))
+    return spark.read.parquet(root).groupBy("position").agg(F.count(F.lit(1)).alias("n"), (F.round(F.sum("gain"), 6) + 0.0).alias("gain"))
