@@ -91,7 +91,8 @@ def report(docs: DataFrame, items: DataFrame, score: int = SCORE) -> DataFrame:
     """For each row of docs: doc_id, n_items, items (ids, comma-joined), best_score, best_words, contaminated."""
     found = overlaps(docs, items, score)
     ids = F.concat_ws(",", F.transform(F.array_sort(F.collect_set("item_id")), lambda i: i.cast("string")))
-    by_row = found.groupBy("row").agg(F.countDistinct("item_id").alias("n_items"), ids.alias("items"), F.max("score").cast("long").alias("best_score"), F.max("words").cast("long").alias("best_words"))
+    by_row = found.groupBy("row").agg(F.countDistinct("item_id").alias("n_items"), ids.alias("items"), F.max(F.struct("score", "words")).alias("best"))
+    by_row = by_row.select("row", "n_items", "items", F.col("best.score").cast("long").alias("best_score"), F.col("best.words").cast("long").alias("best_words"))
     kept = docs.select("doc_id", row_key().alias("row")).join(by_row, "row", "left")
     return kept.select("doc_id", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items", F.lit("")).alias("items"), F.coalesce("best_score", F.lit(0)).alias("best_score"), F.coalesce("best_words", F.lit(0)).alias("best_words"), F.col("n_items").isNotNull().alias("contaminated"))
 
