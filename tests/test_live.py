@@ -114,3 +114,25 @@ def test_a_batch_reads_a_bounded_history(spark, tmp_path):
     live.scored_batches(stream, score, str(tmp_path / "out"), str(tmp_path / "c"), history=2).awaitTermination()
     assert seen == [2, 4, 6, 6, 6, 6] and spark.read.parquet(str(tmp_path / "out" / "scores")).count() == 12
     assert len([d for d in os.listdir(tmp_path / "out" / "history") if d.startswith("batch=")]) == 2
+
+
+@pytest.mark.parametrize("size, back", [(1, 1), (3, 2), (10, 10), (1000, 4)])
+def test_blocks_change_nothing(spark, size, back):
+    from tidemark.operators import windows as W
+
+    rng = random.Random(1)
+    rows = [(s, t * 3600 * rng.choice([1, 1, 30]) + t * 40 * 86_400 // 39, rng.random() if rng.random() > 0.1 else None) for s, n in (("a", 60), ("b", 1), (None, 7)) for t in range(n)]
+    rows = list({(s, t): (s, t, x) for s, t, x in rows}.values())
+    frame = spark.createDataFrame(rows, "symbol string, t long, x double").repartition(4)
+    numbers = W.numbered(frame).collect()
+    for s in ("a", "b", None):
+        own = sorted((r for r in numbers if r["symbol"] == s), key=lambda r: r["t"])
+        assert [r["__n"] for r in own] == list(range(len(own)))
+    compute = lambda df, w: df.select("*", W.mean(F.col("x"), back + 1, w, 1).alias("m"), F.lag("x", back).over(w).alias("l"))
+    key = lambda r: (str(r["symbol"]), r["t"])
+    whole, dealt = (sorted(df.collect(), key=key) for df in (compute(frame, W.series()), W.in_blocks(frame, back, compute, size)))
+    assert len(whole) == len(dealt) == len(rows)
+    for a, b in zip(whole, dealt):
+        assert (a["symbol"], a["t"], a["l"]) == (b["symbol"], b["t"], b["l"]) and (a["m"] == b["m"] or abs(a["m"] - b["m"]) < 1e-12)
+    with pytest.raises(ValueError):
+        W.in_blocks(frame, size + 1, compute, size)

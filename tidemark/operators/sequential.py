@@ -7,10 +7,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import windows as W
+
 
 def _per_series(rows: DataFrame, added: list[str], run, by: tuple[str, ...] = ("symbol",), order: str = "t") -> DataFrame:
     schema = T.StructType([*rows.schema.fields, *[T.StructField(a, T.DoubleType()) for a in added]])
@@ -128,7 +130,7 @@ def rolling_quantile(rows: DataFrame, column: str, quantiles: tuple[float, ...],
 
     A series is dealt in blocks of rows, each with the n - 1 rows before it, so that a long one is no single task.
     """
-    numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy("symbol").orderBy("t")) - 1)
+    numbered = W.numbered(rows)
     own = F.floor(F.col("__n") / block)
     reach = F.floor((F.col("__n") + n - 1) / block)
     dealt = numbered.withColumn("__block", F.explode(F.sequence(own, reach)))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -122,3 +124,38 @@ def streak(condition: Column, n: int, w: WindowSpec) -> Column:
 def drawdown(gain: Column, w: WindowSpec) -> tuple[Column, str]:
     """Running sum of gains, under a name to put a running maximum on."""
     return F.sum(gain).over(so_far(w)), "equity"
+
+
+DAY = 86_400
+
+
+def numbered(rows: DataFrame, by: str = "symbol", order: str = "t", name: str = "__n", per: int = DAY) -> DataFrame:
+    """rows with their number in their series, from 0: numbered within periods, whose row counts are added up in front.
+
+    So no task orders a whole series; what is laid in order for one is a row for each of its periods.
+    """
+    period = F.floor(F.col(order) / per).cast("long")
+    dated = rows.withColumn("__period", period)
+    counts = dated.groupBy(by, "__period").agg(F.count(F.lit(1)).alias("__c"))
+    before = F.sum("__c").over(Window.partitionBy(by).orderBy("__period").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.col(by).alias("__by"), F.col("__period").alias("__of"), F.coalesce(before, F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy(by, "__period").orderBy(order)) - 1
+    met = dated.withColumn("__i", inside).join(offsets, dated[by].eqNullSafe(offsets["__by"]) & dated["__period"].eqNullSafe(offsets["__of"]))
+    return met.select(*rows.columns, (F.col("__i") + F.col("__before")).alias(name))
+
+
+def in_blocks(rows: DataFrame, back: int, compute: Callable[[DataFrame, WindowSpec], DataFrame], size: int = 20_000, by: str = "symbol", order: str = "t") -> DataFrame:
+    """What compute(rows, w) makes of windows that look back over at most `back` rows, a series being dealt in blocks of `size` rows.
+
+    Each block also gets the `back` rows before it, and their results are dropped again, so long series are many tasks and
+    nothing changes but that. compute must keep the rows and their columns.
+    """
+    if not 0 <= back <= size:
+        raise ValueError(f"a block of {size} rows cannot be preceded by {back}")
+    at = numbered(rows, by, order)
+    block = F.floor(F.col("__n") / size)
+    late = F.col("__n") % size >= size - back
+    each = F.when(late, F.array(block, block + 1)).otherwise(F.array(block))
+    dealt = at.select(*rows.columns, "__n", F.explode(each).alias("__block"))
+    done = compute(dealt, Window.partitionBy(by, "__block").orderBy(order))
+    return done.where(F.floor(F.col("__n") / size) == F.col("__block")).drop("__n", "__block")

@@ -223,7 +223,7 @@ _LAGGED = " ".join([*(f"{x}_lag{n}" for x in ("ret", "vol_ret") for n in (1, 2,
 def lagged_features(spark, sf_dir):
     rows = tables.candles(spark, sf_dir)
     rows = rows.withColumns({"quote_volume": F.col("volume") * F.col("close"), "taker_buy_quote_volume": F.col("volume") * F.col("low") / 2, "number_of_trades": F.col("trades")})
-    df = features.lagged_features(rows)
+    df = W.in_blocks(rows, 10, features.lagged_features)
     return df.select("symbol", "t", *rounded(df, _LAGGED, 6))
 
 

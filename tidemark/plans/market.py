@@ -75,7 +75,7 @@ _ROLLED = [(f"{c}_roll{n}_{s}", 2 if c == "dollar_tsi" else 5) for c in SIGNALS
   r AS (SELECT symbol, t, {LATE.replace(' ', ', ')}, {", ".join(f"{sql.mean(c, n, max(1, n // 4))} AS {c}_roll{n}_mean, {sql.rolled(f'stddev_samp({c})', c, n, max(2, n // 4))} AS {c}_roll{n}_std" for c in SIGNALS for n in SIZES)} FROM late)
   SELECT symbol, t, {sql.rounded(LATE, 5)}, {", ".join(f"round({c}, {d}) + 0.0 AS {c}" for c, d in _ROLLED)} FROM r""")
 def point_in_time_signals(spark, sf_dir):
-    df = book.rolling_signals(book.point_in_time(booked(spark, sf_dir)), SIGNALS, SIZES)
+    df = W.in_blocks(booked(spark, sf_dir), 1 + max(SIZES), lambda rows, w: book.rolling_signals(book.point_in_time(rows, w=w), SIGNALS, SIZES, w))
     return df.select("symbol", "t", *rounded(df, LATE, 5), *[(F.round(c, d) + 0.0).alias(c) for c, d in _ROLLED])
 
 
