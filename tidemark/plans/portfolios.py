@@ -148,7 +148,13 @@ def states_of_two_frames(spark, sf_dir):
 
 
 def _yearly(spark, sf_dir):
-    rows = pairs.walk_forward(tables.candles(spark, sf_dir), 730 * pairs.DAY, 365 * pairs.DAY)
+    """Weekly closes, carried on over weeks without a candle, in windows of four years."""
+    candles, week = tables.candles(spark, sf_dir), 7 * pairs.DAY
+    closes = candles.groupBy("symbol", (F.col("t") - F.pmod("t", F.lit(week))).alias("week")).agg(F.max_by("close", "t").alias("close"))
+    ends = closes.groupBy("symbol").agg(F.min("week").alias("a"), F.max("week").alias("b"))
+    grid = ends.select("symbol", F.explode(F.sequence("a", "b", F.lit(week).cast("long"))).alias("week"))
+    filled = grid.join(closes, ["symbol", "week"], "left").select("symbol", F.col("week").alias("t"), W.fill_forward(F.col("close"), W.series(order="week")).alias("close"))
+    rows = pairs.walk_forward(filled, 4 * 365 * pairs.DAY, 365 * pairs.DAY)
     return rows.where("not test").select("window", "t", "symbol", "close")
 
 
