@@ -1,14 +1,17 @@
 """As-of joins in blocks, sided trades, settings, and rules that change while a stream runs."""
 
+import datetime as dt
 import os
 import random
 import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import settings
 from tidemark.operators import asof, bars
+from tidemark.plans import catalog
 from tidemark.streaming import bars as live
 from tidemark.streaming.live_stack import Stack, decided_batches
 
@@ -42,6 +45,20 @@ def test_trades_without_a_side_take_the_quote_rule_or_none(spark):
     assert (got["b", 0]["unsided"], got["b", 0]["any_flag"], got["b", 0]["any_quote_rule"]) == (1, False, False)
 
 
+def test_taker_bars_take_quotes_of_zero_as_their_sql_does(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1)
+    rows = [(1, at, 1, "a", 0.0, '{"k": 3}'), (4, at + dt.timedelta(seconds=5), 2, "a", 7.0, '{"k": 4}'), (12, at + dt.timedelta(seconds=9), 2, "a", 7.5, '{"k": 5}'), (16, at + dt.timedelta(seconds=10), 1, "b", 7.5, '{"k": 5}')]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE events (event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR)")
+    db.executemany("INSERT INTO events VALUES (?, ?, ?, ?, ?, ?)", rows)
+    db.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    got = catalog.QUERIES["taker_bars"](spark, str(tmp_path))
+    want = db.execute(catalog.ORACLES["taker_bars"])
+    assert got.columns == [c[0] for c in want.description]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
+    assert sorted((r["symbol"], r["unsided"]) for r in got.collect()) == [("a", 0), ("b", 0)]
+
+
 def test_settings_are_checked():
     assert settings.rolling_cutoffs({}) is None and settings.rolling_cutoffs({settings.MODE: "fixed"}) is None
     found = settings.rolling_cutoffs({settings.MODE: "rolling_quantile"})

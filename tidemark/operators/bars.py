@@ -32,16 +32,18 @@ def trade_bars(ticks: DataFrame, seconds: int) -> DataFrame:
     )
 
 
-def sided(ticks: DataFrame, quotes: DataFrame) -> DataFrame:
+def sided(ticks: DataFrame, quotes: DataFrame, positive: bool = True) -> DataFrame:
     """ticks with taker ('buy', 'sell' or null) and by ('flag', 'quote' or null): what the feed says, else the quote rule.
 
     A tick without a side is a buy at or above the last ask and a sale at or below the last bid before or at its time; within
-    the spread, or before any quote, it stays unsided rather than be guessed. Missing or non-positive quotes side nothing.
+    the spread, or before any quote, it stays unsided rather than be guessed. Missing quotes side nothing, and neither do
+    those that are not above zero, unless positive is false.
     """
     flag = F.lower("side")
     said = F.when(flag.isin("buy", "b"), "buy").when(flag.isin("sell", "s"), "sell")
     met = as_of(ticks, quotes.select("symbol", "us", "seq", "bid", "ask"), "symbol", "us", "us", "__q_", block=DAY * 1_000_000)
-    rule = F.when((F.col("__q_ask") > 0) & (F.col("price") >= F.col("__q_ask")), "buy").when((F.col("__q_bid") > 0) & (F.col("price") <= F.col("__q_bid")), "sell")
+    counts = lambda c: F.col(c) > 0 if positive else F.lit(True)
+    rule = F.when(counts("__q_ask") & (F.col("price") >= F.col("__q_ask")), "buy").when(counts("__q_bid") & (F.col("price") <= F.col("__q_bid")), "sell")
     by = F.when(said.isNotNull(), "flag").when(rule.isNotNull(), "quote")
     return met.select(*ticks.columns, F.coalesce(said, rule).alias("taker"), by.alias("by"))
 
