@@ -57,6 +57,7 @@ def _days(spark, sf_dir):
 @query("option_day_rows", f"WITH {_ROWS} SELECT asset, day, {_DATES}, {', '.join(f'round({c}, 10) + 0.0 AS {c}' for c in NUMBERS.split())} FROM rows")
 def option_day_rows(spark, sf_dir):
     df = _days(spark, sf_dir)
+    df = df.withColumns({c: F.round(c, 15) for c in df.columns if c.startswith("atm_")})  # means of hundredths that lie between two tenth digits
     return df.select("asset", "day", "weekly", "monthly", "day_of_week", "days_to_friday", "week_number", "days_to_expiry", *rounded(df, NUMBERS, 10))
 
 
