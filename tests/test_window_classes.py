@@ -97,3 +97,17 @@ def test_runs_are_saved_and_models_read_again(spark, tmp_path):
         other = again[r["symbol"], r["t"]]
         assert (other["regime"], other["predicted"]) == (r["regime"], r["predicted"]) and abs(other["p_up"] - r["p_up"]) < 1e-12
     assert window_classes.numeric_features(rows, ("t", "label", "group", "window", "y")) == FEATURES
+
+
+def test_rows_are_made_once_for_all_fits(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        made.add(1)
+        return x
+
+    rows = dealt(spark, panel(240))
+    n = rows.count()
+    counted = rows.withColumn("a", F.udf(seen, "double").asNondeterministic()("a"))
+    window_classes.walk(counted, FEATURES, ["symbol", "t", "y"], Settings(rounds=1, depth=1, clusters=[Clusters(2, 2)]))
+    assert made.value == n
