@@ -297,3 +297,27 @@ def test_one_long_text_does_not_end_the_sample(spark):
         known = quality_rank.learnable(docs, labels, "quality", 3, 5)
         chosen.append({r["doc_id"] for r in quality_rank.labelled(docs, known, {0: 50, 1: 50}, 100_000).collect()})
     assert chosen[0] == chosen[1] and len(chosen[0]) == 60
+
+
+def test_a_pair_of_sets_meets_once_however_many_shingles_it_shares(spark):
+    """Joined rows grow with the pairs, not with the shingles that each pair shares."""
+    rng = np.random.default_rng(6)
+    fields = "shingle long, node long, n_shingles long, at int, component long, degree long"
+    rows, heads = [], {}
+    for node in range(30):
+        heads[node] = sorted(rng.choice(40, 12, replace=False).tolist()) if node > 3 else list(range(12))
+        rows += [(s, node, 1000, at, node // 2, 0) for at, s in enumerate(heads[node])]
+    classes = spark.createDataFrame([(node, [0] * 8, None) for node in heads], "node long, bits array<long>, wide array<long>")
+    placed = spark.createDataFrame(rows, fields)
+    n = placed.groupBy("shingle").count().withColumnRenamed("count", "n")
+    got = [(r["node"], r["other"]) for r in minhash_forest._all_pairs(placed.join(n, "shingle"), classes, 85).collect()]
+    want = {(a, b) for a in heads for b in heads if a < b and a // 2 != b // 2 and {*heads[a]} & {*heads[b]}}
+    assert set(got) == want and got.count((0, 2)) == got.count((1, 3)) == 1 and len(got) < 1.5 * len(want)
+
+
+def test_shingles_of_two_unlike_sets_are_not_open(spark):
+    fields = "shingle long, node long, n_shingles long, component long, degree long, at int"
+    rows = [(1, 1, 100, 1, 0, 0), (1, 2, 80, 2, 0, 0), (2, 1, 100, 1, 0, 1), (2, 3, 90, 3, 0, 0), (3, 1, 100, 1, 0, 15), (3, 3, 90, 3, 0, 12), (4, 1, 100, 1, 0, 2), (4, 4, 95, 1, 0, 2)]
+    rows += [(5, 1, 100, 1, 0, 3), (5, 2, 80, 2, 0, 1), (5, 4, 95, 1, 0, 3)]
+    left = minhash_forest._open(spark.createDataFrame(rows, fields), 85)
+    assert sorted((r["shingle"], r["node"], r["n"]) for r in left.collect()) == [(2, 1, 2), (2, 3, 2), (5, 1, 3), (5, 2, 3), (5, 4, 3)]

@@ -9,8 +9,9 @@ start, so thousands of copies cost one row.
 
 What the forest leaves open is settled exactly. In any one order of all shingles, two sets that are similar enough share
 one of their first few (prefix filter); the order puts shingles that are common in a sample last. These first shingles
-are shuffled once, and only those whose nodes lie in different components are kept: some rounds tie nodes to the best
-connected node of a shingle, then all pairs of nodes in different components that sizes and places allow are looked at.
+are shuffled once, and only those whose nodes lie in different components are kept: where a shingle has many nodes, some
+rounds tie them to its best connected one, then all pairs of nodes in different components that sizes and places allow are
+looked at, each where the two first meet.
 
 Before any pair is confirmed, the parities of its sets, folded into BITS bits, must differ in no more bits than the sets
 may differ in shingles; no link is lost by that, and few other pairs pass.
@@ -29,7 +30,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -40,9 +41,13 @@ TREES, DEPTH = 16, 8
 NEIGHBOURS = 2
 AGREEING = 5
 SET_BATCH = 200_000
-#: Texts sampled for the order of shingles, how often a shingle stands in them to count as common, and how many of these count. Results do not depend on them.
-SAMPLED, COMMON, MOST_COMMON = 8_000, 3, 100_000
+#: For the order of shingles one text in SHARE is read, or more, up to SAMPLED; how often a shingle stands in these to count as common, and how many of them count. Results do not depend on them.
+SAMPLED, SHARE, COMMON, MOST_COMMON = 8_000, 8, 3, 100_000
 HUB_ROUNDS = 3
+#: Shingles of more nodes than this take part in these rounds; those of fewer have at most half as many pairs for each node.
+DENSE = 64
+#: A pair is looked at where it first meets: each node carries so many of its open shingles before the one at hand.
+EARLIER = 4
 SALTED = 500
 #: Bits of the parities of a set, and of those of a set of more than SMALL shingles besides.
 BITS, SMALL, WIDE_BITS = 512, 700, 8192
@@ -62,7 +67,7 @@ def minhashes(values: np.ndarray) -> bytes:
 def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that are common in a sample of texts, in ascending order, and the rank of each by its frequency."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    sample = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // SAMPLED))) == 0).distinct()
+    sample = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(max(1, min(SHARE, docs.count() // SAMPLED)))) == 0).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,26 +237,38 @@ def hubs_of_failed(tried: DataFrame) -> DataFrame:
     return proposed.select(F.least("a", "hub").alias("a"), F.greatest("a", "hub").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def _open(rows: DataFrame) -> DataFrame:
-    """Rows (shingle, node, n_shingles, at, component, degree) of shingles whose nodes lie in more than one component."""
+def _open(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows (shingle, node, n_shingles, at, component, degree, n) of shingles whose n nodes lie in more than one component.
+
+    Where these are two, their sizes and places say at once whether they can be similar.
+    """
     keys = settled(rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle"), "open-shingles")
-    left = settled(matching(rows, keys, "shingle"), "open")
-    dropped(keys)
+    met = settled(matching(rows, keys, "shingle"), "open")
+    least, most, behind = F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.min(F.col("n_shingles") - F.col("at")).alias("behind")
+    counted = met.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), least, most, behind)
+    alike = (100 * F.col("least") >= percent * F.col("most")) & similar(F.col("behind"), F.col("least"), F.col("most"), percent)
+    counted = settled(counted.where((F.col("n") > 2) | alike).select("shingle", "n"), "counted-shingles")
+    left = settled(met.join(F.broadcast(counted) if counted.count() <= MOST_KEYS // 2 else counted, "shingle"), "open")
+    dropped(keys, met, counted)
     return left
 
 
 def _all_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(node, other) for the nodes of each shingle that lie in different components, as far as sizes, places and parities allow.
 
+    Two nodes that met at one of the last shingles of both do not meet again: whatever allows the pair here allowed it there.
+
     A shingle of n nodes is dealt over n / SALTED tasks: a node stands once in its own one and as a guest in the others.
     Both sides of the join are the same rows, shuffled once.
     """
     fold = lambda c, longs, n: [reduce(Column.bitwiseXOR, [F.get(c, F.lit(i + k)) for k in range(0, longs, n)]) for i in range(n)]
     bits, wide = [f"p{i}" for i in range(FOLDED)], [f"w{i}" for i in range(WIDE_FOLDED)]
     folded = classes.select("node", *[c.alias(n) for n, c in zip(bits + wide, fold("bits", BITS // 64, FOLDED) + fold("wide", WIDE_BITS // 64, WIDE_FOLDED), strict=True)])
-    counted = rows.join(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "shingle").join(F.broadcast(folded) if classes.count() <= MOST_KEYS // 20 else folded, "node")
+    nth = Window.partitionBy("node").orderBy("at")
+    before = F.array_compact(F.array(*[F.lag("shingle", k).over(nth) for k in range(1, EARLIER + 1)])).alias("before")
+    counted = rows.select("*", before).join(F.broadcast(folded) if classes.count() <= MOST_KEYS // 20 else folded, "node")
     salts = F.ceil(F.col("n") / SALTED).cast("int")
-    dealt = counted.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.pmod(F.xxhash64("node"), salts).cast("int").alias("own"), "node", "n_shingles", "at", "component", *folded.columns[1:])
+    dealt = counted.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.pmod(F.xxhash64("node"), salts).cast("int").alias("own"), "node", "n_shingles", "at", "component", "before", *folded.columns[1:])
     dealt = dealt.where("shingle is not null and salt is not null")
     x, y = dealt.alias("x"), dealt.alias("y")
     n1, n2 = F.col("x.n_shingles"), F.col("y.n_shingles")
@@ -260,12 +277,19 @@ def _all_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     passes = (
         (F.col("x.own") == F.col("x.salt")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
         & similar(F.least(n1 - F.col("x.at"), n2 - F.col("y.at")), n1, n2, percent) & (differ(bits) <= n1 + n2 - 2 * shared)
-        & F.coalesce(differ(wide) <= n1 + n2 - 2 * shared, F.lit(True))
+        & F.coalesce(differ(wide) <= n1 + n2 - 2 * shared, F.lit(True)) & ~F.arrays_overlap("x.before", "y.before")
     )
     met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.salt") == F.col("y.salt")) & F.coalesce(passes, F.lit(False)))
     return met.select(F.col("x.node").alias("node"), F.col("y.node").alias("other"))
 
 
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (node, other) whose ends lie in different components of found."""
+    of = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    placed = pairs.join(of("node"), "node", "left").join(of("other"), "other", "left")
+    return placed.where(F.coalesce("of_node", "node") != F.coalesce("of_other", "other")).select("node", "other")
+
+
 def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int, percent: int) -> DataFrame:
     """node, component of the links and of all those between different components that they lack."""
 
@@ -275,39 +299,45 @@ def completed(docs: DataFrame, classes: DataFrame, links: DataFrame, width: int,
         at = F.broadcast(known) if known.count() <= MOST_KEYS // 4 else known
         return rows.join(at, "node", "left").withColumns({"component": F.coalesce("component", "node"), "degree": F.coalesce("degree", F.lit(0))}), known
 
+    def confirmed(met: DataFrame) -> DataFrame:
+        pairs = settled(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "met")
+        likely = settled(plausible(pairs, classes, percent), "plausible")
+        judged = confirm(docs, classes, likely, width, percent)
+        more = settled(judged.where("linked").select("a", "b"), "more")
+        dropped(pairs, likely, judged)
+        return more
+
     found = components(links)
     nodes, known = placed(classes.select("node", "n_shingles", "head"), found, links)
-    left = _open(nodes.select("node", "n_shingles", "component", "degree", F.posexplode("head").alias("at", "shingle")))
+    left = _open(nodes.select("node", "n_shingles", "component", "degree", F.posexplode("head").alias("at", "shingle")), percent)
     dropped(known)
-    sizes = lambda one, two: 100 * F.least(one, two) >= percent * F.greatest(one, two)
-    rounds = 0
-    while not left.isEmpty():
-        if rounds < HUB_ROUNDS:
-            top = F.max(F.struct("degree", "node", "n_shingles", "component")).alias("hub")
-            met = left.join(left.groupBy("shingle").agg(top), "shingle").where((F.col("component") != F.col("hub.component")) & sizes(F.col("n_shingles"), F.col("hub.n_shingles"))).select("node", F.col("hub.node").alias("other"))
-        else:
-            met = _all_pairs(left, classes, percent)
-        pairs = settled(met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "met")
-        likely = settled(plausible(pairs, classes, percent), "plausible")
-        confirmed = confirm(docs, classes, likely, width, percent)
-        more = settled(confirmed.where("linked").select("a", "b"), "more")
-        dropped(pairs, likely, confirmed)
-        none = more.isEmpty()
-        if not none:
-            before = links, found
-            links = settled(links.union(more), "all-links")
-            found = components(links)
-            dropped(*before)
-        dropped(more)
-        if rounds >= HUB_ROUNDS:
+    dense = settled(left.where(F.col("n") > DENSE), "dense")
+    tied = False
+    for _ in range(HUB_ROUNDS):
+        if dense.isEmpty():
+            break
+        top = F.max(F.struct("degree", "node", "n_shingles", "component")).alias("hub")
+        sizes = 100 * F.least("n_shingles", "hub.n_shingles") >= percent * F.greatest("n_shingles", "hub.n_shingles")
+        met = dense.join(dense.groupBy("shingle").agg(top), "shingle").where((F.col("component") != F.col("hub.component")) & sizes)
+        more = confirmed(met.select("node", F.col("hub.node").alias("other")))
+        if more.isEmpty():
+            dropped(more)
             break
-        if not none:
-            before = left
-            again, known = placed(left.drop("component", "degree"), found, links)
-            left = _open(again)
-            dropped(before, known)
-        rounds = HUB_ROUNDS if none else rounds + 1
-    dropped(left, links)
+        before, tied = (links, found, dense), True
+        links = settled(links.union(more), "all-links")
+        found = components(links)
+        again, known = placed(dense.drop("component", "degree", "n"), found, links)
+        dense = _open(again, percent)
+        dropped(*before, known, more)
+    # Where a shingle has few nodes, their components are those before the rounds: the pairs are few all the same.
+    met = _all_pairs(left.where(F.col("n") <= DENSE).unionByName(dense), classes, percent)
+    more = confirmed(_apart(met.distinct(), found) if tied else met)
+    if not more.isEmpty():
+        before = links, found
+        links = settled(links.union(more), "all-links")
+        found = components(links)
+        dropped(*before)
+    dropped(left, dense, links, more)
     return found
 
 
