@@ -321,3 +321,23 @@ def test_shingles_of_two_unlike_sets_are_not_open(spark):
     rows += [(5, 1, 100, 1, 0, 3), (5, 2, 80, 2, 0, 1), (5, 4, 95, 1, 0, 3)]
     left = minhash_forest._open(spark.createDataFrame(rows, fields), 85)
     assert sorted((r["shingle"], r["node"], r["n"]) for r in left.collect()) == [(2, 1, 2), (2, 3, 2), (5, 1, 3), (5, 2, 3), (5, 4, 3)]
+
+
+def test_quality_learns_from_all_labels(spark, monkeypatch):
+    """Blocks and the cutoff take in every label, however rare one is; each block has pairs."""
+    rng = np.random.default_rng(8)
+    n, rare = 900, 7
+    x = rng.normal(size=(n, quality_rank.N_FEATURES))
+    good = np.arange(n) >= rare
+    x[good, 0] += 1.5
+    found = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "doc_id long, x array<double>")
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)], "doc_id long, quality long")
+    monkeypatch.setattr(quality_rank, "BLOCK", 100)
+    rows = found.join(labels.withColumnRenamed("quality", "label"), "doc_id")
+    blocks = quality_rank.blocks_of(rows, {0: rare, 1: n - rare}).collect()
+    met = {tuple(v) for b in blocks for v in np.reshape(b["x"], (-1, quality_rank.N_FEATURES)).tolist()}
+    assert len(blocks) == 9 and met == {tuple(v) for v in x.tolist()} and all({*b["labels"]} == {0, 1} for b in blocks)
+    model = quality_rank.train(found, labels, of=3, remainder=5)
+    assert abs((model.score(x) < 0.5).sum() - rare) <= 1
+    whole = quality_rank.fit(x, good)
+    assert np.corrcoef(model.weights, whole.weights)[0, 1] > 0.9 and abs(model.weights - quality_rank.train(found.where("doc_id < 100"), labels, of=3, remainder=5).weights).max() > 0.01
