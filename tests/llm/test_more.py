@@ -341,3 +341,28 @@ def test_quality_learns_from_all_labels(spark, monkeypatch):
     assert abs((model.score(x) < 0.5).sum() - rare) <= 1
     whole = quality_rank.fit(x, good)
     assert np.corrcoef(model.weights, whole.weights)[0, 1] > 0.9 and abs(model.weights - quality_rank.train(found.where("doc_id < 100"), labels, of=3, remainder=5).weights).max() > 0.01
+
+
+def test_common_words_stand_in_two_bands(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "COMMON", 0)
+    rng, lines = random.Random(11), []
+    for i in range(40):
+        own = [f"w{rng.randrange(200)}" for _ in range(rng.randint(9, 40))]
+        # Shorter and longer likenesses, before and after.
+        some = [own, own[1:], [*own, f"v{i}"], [*own[:-1], f"u{i}"], own[: -max(1, len(own) // 11)]]
+        rng.shuffle(some)
+        lines += some
+    rng.shuffle(lines)
+    texts = ["\n".join(" ".join(w) for w in lines[at : at + 5]) for at in range(0, len(lines), 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, want = [], {}
+    for d, text in enumerate(texts):
+        want[d] = []
+        for i, line in enumerate(text.split("\n")):
+            s = frozenset(line.split(" "))
+            if any(10 * len(s & t) >= 9 * len(s | t) for t in seen):
+                want[d].append(str(i))
+            seen.append(s)
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.report(docs).collect()} == {d: ",".join(x) for d, x in want.items()}
+    classes = line_dedup.nodes(docs, line_dedup.rarity(docs), 90).select(F.struct("doc_id", "row", "line_no").alias("place"), "n", "prefix", "bits", F.monotonically_increasing_id().alias("c"))
+    assert line_dedup._entries(classes, 90).count() == 2 * classes.agg(F.sum(F.size("prefix"))).first()[0]

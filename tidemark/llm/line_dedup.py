@@ -60,7 +60,9 @@ def rarity(docs: DataFrame) -> Column:
 def _numbers(line: Column, ranks: Column) -> Column:
     """The distinct words of a line as longs, rarest first: the rank takes the upper bits, the hash the others."""
     hashes = F.transform(_words(line), lambda w: F.xxhash64(w))
-    number = lambda h: F.shiftleft(F.get(ranks, _bucket(h)).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    # Never null, which sort_array then knows: it sorts longs, not objects.
+    rank = lambda h: F.coalesce(F.get(ranks, _bucket(h)), F.lit(0).cast("tinyint"))
+    number = lambda h: F.shiftleft(rank(h).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
     return F.sort_array(F.array_distinct(F.transform(hashes, number)))
 
 
@@ -87,9 +89,15 @@ def _least_overlap(one: Column, two: Column, percent: int) -> Column:
     return F.ceil(percent * (one + two) / (100 + percent))
 
 
+def _place(x: str) -> Column:
+    """The position of the word of row x in its set; that of a guest is stored as -1 - position."""
+    at = F.col(f"{x}.at")
+    return F.when(at < 0, -1 - at).otherwise(at)
+
+
 def _passes(x: str, y: str, percent: int) -> Column:
     """Length, positional and parity filters for sets x and y that share a prefix word at their positions."""
-    nx, ny, ix, iy = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.at", f"{y}.at"))
+    nx, ny, ix, iy = F.col(f"{x}.n"), F.col(f"{y}.n"), _place(x), _place(y)
     needed = _least_overlap(nx, ny, percent)
     apart = F.bit_count(F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits")))
     return (100 * ny >= percent * nx) & (100 * nx >= percent * ny) & (F.least(nx - ix, ny - iy) >= needed) & (apart <= nx + ny - 2 * needed)
@@ -119,13 +127,13 @@ def _entries(classes: DataFrame, percent: int) -> DataFrame:
     """A row for each prefix word of each class: word, c, d and l (document and line of the class), n, at, bits.
 
     Words that stand in very many lines (their rank says so) are dealt by length: the word then also says a band of
-    lengths, and the class is a guest (at < 0) in the bands of all lengths that can be similar but are not its own.
+    lengths, and the class is a guest (at < 0) in the next longer band: there it meets all longer sets that can be similar.
     """
     prefixes = classes.select("c", F.col("place.doc_id").alias("d"), F.col("place.line_no").alias("l"), "n", "bits", F.posexplode("prefix").alias("at", "word"))
     band = _band(F.col("n"), percent)
     common = F.shiftright("word", 56) >= COMMON
     # Null for the word itself, else the band.
-    keys = F.when(common, F.array(band, band - 1, band + 1)).otherwise(F.array(F.lit(None).cast("int")))
+    keys = F.when(common, F.array(band, band + 1)).otherwise(F.array(F.lit(None).cast("int")))
     dealt = prefixes.select("c", "d", "l", "n", "bits", "at", "word", F.posexplode(keys).alias("guest", "key"))
     word = F.when(F.col("key").isNull(), F.col("word")).otherwise(F.xxhash64("word", "key"))
     rows = dealt.select(word.alias("word"), "c", "d", "l", "n", F.when(F.col("guest") == 0, F.col("at")).otherwise(-1 - F.col("at")).alias("at"), "bits")
@@ -140,17 +148,18 @@ def _band(n: Column, percent: int) -> Column:
 def _meets(x: DataFrame, y: DataFrame, percent: int) -> DataFrame:
     """(a, b, by_head): classes a < b of rows x and y with one word that pass the filters, y before x.
 
-    A row x with a head meets that class alone; by_head then is its own class.
+    A row x with a head meets that class alone, besides guests; by_head then is its own class. Two guests of a band meet in their own.
     """
-    place = lambda s: F.when(F.col(f"{s}.at") < 0, -1 - F.col(f"{s}.at")).otherwise(F.col(f"{s}.at"))
     # Of two sets the shorter one shares a word of a prefix that is shorter still.
-    short = lambda s: place(s) <= F.col(f"{s}.n") - F.ceil(2 * percent * F.col(f"{s}.n") / (100 + percent))
+    short = lambda s: _place(s) <= F.col(f"{s}.n") - F.ceil(2 * percent * F.col(f"{s}.n") / (100 + percent))
     shorter = F.when(F.col("x.n") < F.col("y.n"), short("x")).when(F.col("x.n") > F.col("y.n"), short("y")).otherwise(short("x") & short("y"))
     earlier = (F.struct("y.d", "y.l") <= F.struct("x.d", "x.l")) & (F.col("x.c") != F.col("y.c"))
-    passes = (F.col("y.at") >= 0) & F.when(F.col("x.head").isNotNull(), F.col("x.head") == F.col("y.c")).otherwise(earlier & shorter & _passes("x", "y", percent))
+    headed = F.col("x.head").isNotNull() & (F.col("y.at") >= 0)
+    one_own = (F.col("x.at") >= 0) | (F.col("y.at") >= 0)
+    passes = F.when(headed, F.col("x.head") == F.col("y.c")).otherwise(one_own & earlier & shorter & _passes("x", "y", percent))
     # Inside coalesce the conditions stay with the join: where x and y are the same rows, these are shuffled once.
     met = x.alias("x").join(y.alias("y"), (F.col("x.word") == F.col("y.word")) & F.coalesce(passes, F.lit(False)))
-    return met.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"), F.when(F.col("x.head").isNotNull(), F.col("x.c")).alias("by_head"))
+    return met.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"), F.when(headed, F.col("x.c")).alias("by_head"))
 
 
 def similar_classes(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
