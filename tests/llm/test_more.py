@@ -1,6 +1,7 @@
 """Brute force for what SQL cannot express, and odd rows with their values."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -366,3 +367,21 @@ def test_common_words_stand_in_two_bands(spark, monkeypatch):
     assert {r["doc_id"]: r["removed"] for r in line_dedup.report(docs).collect()} == {d: ",".join(x) for d, x in want.items()}
     classes = line_dedup.nodes(docs, line_dedup.rarity(docs), 90).select(F.struct("doc_id", "row", "line_no").alias("place"), "n", "prefix", "bits", F.monotonically_increasing_id().alias("c"))
     assert line_dedup._entries(classes, 90).count() == 2 * classes.agg(F.sum(F.size("prefix"))).first()[0]
+
+
+def test_facts_of_many_nodes_stay_off_the_driver(spark):
+    classes = spark.range(6000).select(F.col("id").alias("node"), F.lit(900).cast("long").alias("n_shingles"), F.array(F.lit(1).cast("long")).alias("bits"), F.array(F.lit(1).cast("long")).alias("wide"))
+    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+    plan = minhash_forest.plausible(pairs, classes, 80)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+    assert minhash_forest.plausible(pairs, classes, 80).count() == 1
+
+
+def test_training_holds_its_texts_once():
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(2000)) for _ in range(150)]
+    tracemalloc.start()
+    toxicity.fit(texts, np.arange(150) % 3 == 0, rounds=1, least_steps=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 35 * sum(map(len, texts)), peak / sum(map(len, texts))

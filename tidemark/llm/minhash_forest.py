@@ -49,6 +49,8 @@ DENSE = 64
 #: A pair is looked at where it first meets: each node carries so many of its open shingles before the one at hand.
 EARLIER = 4
 SALTED = 500
+#: Facts on up to this many nodes (at most some 1.2 KB each) may go through the driver to every executor.
+MOST_FACTS = 5_000
 #: Bits of the parities of a set, and of those of a set of more than SMALL shingles besides.
 BITS, SMALL, WIDE_BITS = 512, 700, 8192
 #: Longs that these are folded to where nodes meet at a shingle; the wide ones rule out unlike sets of some thousand shingles there.
@@ -188,7 +190,7 @@ def similar(shared: Column, one: Column, two: Column, percent: int) -> Column:
 def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sizes and parities do not rule a link out."""
     facts = classes.select("node", F.col("n_shingles").alias("n"), "bits", "wide")
-    if classes.count() <= MOST_KEYS // 20:
+    if classes.count() <= MOST_FACTS:
         facts = F.broadcast(facts)
     side = lambda c: facts.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"), F.col("wide").alias(f"wide{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -266,7 +268,7 @@ def _all_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     folded = classes.select("node", *[c.alias(n) for n, c in zip(bits + wide, fold("bits", BITS // 64, FOLDED) + fold("wide", WIDE_BITS // 64, WIDE_FOLDED), strict=True)])
     nth = Window.partitionBy("node").orderBy("at")
     before = F.array_compact(F.array(*[F.lag("shingle", k).over(nth) for k in range(1, EARLIER + 1)])).alias("before")
-    counted = rows.select("*", before).join(F.broadcast(folded) if classes.count() <= MOST_KEYS // 20 else folded, "node")
+    counted = rows.select("*", before).join(F.broadcast(folded) if classes.count() <= MOST_FACTS else folded, "node")
     salts = F.ceil(F.col("n") / SALTED).cast("int")
     dealt = counted.select("shingle", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.pmod(F.xxhash64("node"), salts).cast("int").alias("own"), "node", "n_shingles", "at", "component", "before", *folded.columns[1:])
     dealt = dealt.where("shingle is not null and salt is not null")

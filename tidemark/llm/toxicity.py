@@ -195,11 +195,11 @@ def windows_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, of
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int = 80, batch: int = 96, least_texts: int = 8, forget: float = 0.2, decay: float = 0.02, seed: int = 3) -> Network | None:
+def fit(texts: list[str] | pa.Array, toxic: np.ndarray, rounds: int = 6, least_steps: int = 80, batch: int = 96, least_texts: int = 8, forget: float = 0.2, decay: float = 0.02, seed: int = 3) -> Network | None:
     """Train on texts with their labels; None if one label is missing."""
     if not toxic.any() or toxic.all():
         return None
-    column, rng = pa.array(texts, pa.string()), np.random.default_rng(seed)
+    column, rng = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), np.random.default_rng(seed)
     chunks = list(text_chunks(column))
     # In how many texts each word stands.
     seen = []
@@ -209,18 +209,24 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int =
             seen += [np.unique(part) for part in np.split(hashes, np.cumsum(counts)[:-1])]
     values, in_texts = np.unique(np.concatenate(seen), return_counts=True)
     net = Network(values[in_texts >= least_texts], seed)
-    read = [net.words(text, ends) for text, ends in chunks]
-    del chunks, seen
-    bytes_before = np.cumsum([0, *[len(r[1]) for r in read[:-1]]])
+    # The driver holds these while it trains: in small types, and once (a chunk is a slice).
+    narrow = (np.int32, np.uint16, np.int32, np.int32, np.int32)
+    read = [[x.astype(t) for x, t in zip(net.words(text, ends), narrow, strict=True)] for text, ends in chunks]
+    del chunks, seen, values, in_texts, column, texts
     numbers, grams, counts = (np.concatenate([r[i] for r in read]) for i in (0, 1, 4))
-    first, last = (np.concatenate([r[i] + before for r, before in zip(read, bytes_before, strict=True)]) for i in (2, 3))
+    bytes_at, words_at = (np.cumsum([0, *[len(r[i]) for r in read]], dtype=np.int32) for i in (1, 0))
+    first, last = (np.concatenate([r[i] + before for r, before in zip(read, bytes_at, strict=False)]) for i in (2, 3))
+    chunk_counts = [r[4] for r in read]
+    del read
     windows, of = windows_of(counts)
 
     def logits() -> np.ndarray:
         """Chunk by chunk, as `score` does."""
         found = []
-        for words in read:
-            found.append(net.logits(net.gates(net.inputs(*words[:4])), windows_of(words[4])[0]))
+        for i, counts in enumerate(chunk_counts):
+            of_words, of_bytes = slice(*words_at[i : i + 2]), slice(*bytes_at[i : i + 2])
+            inputs = net.inputs(numbers[of_words], grams[of_bytes], first[of_words] - bytes_at[i], last[of_words] - bytes_at[i])
+            found.append(net.logits(net.gates(inputs), windows_of(counts)[0]))
         return np.concatenate(found)
 
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
@@ -260,7 +266,12 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, least_steps: int =
 def train(docs: DataFrame, labels: DataFrame, most_toxic: int = 700, most_clean: int = 3000, of: int = 4, remainder: int = 2, most_chars: int = MOST_CHARS) -> Network | None:
     known = learnable(docs, labels, "toxic", of, remainder)
     rows = labelled(docs, known, {1: most_toxic, 0: most_clean}, most_chars).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    return fit(rows["text"].to_pylist(), rows["__label"].to_numpy() == 1)
+    texts, toxic = rows["text"].cast(pa.string()).combine_chunks(), rows["__label"].to_numpy() == 1
+    del rows
+    net = fit(texts, toxic)
+    del texts
+    pa.default_memory_pool().release_unused()
+    return net
 
 
 def _scored(docs: DataFrame, net: Network | None, keep: list[str], held: Column) -> DataFrame:
