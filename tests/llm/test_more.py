@@ -369,6 +369,37 @@ def test_common_words_stand_in_two_bands(spark, monkeypatch):
     assert line_dedup._entries(classes, 90).count() == 2 * classes.agg(F.sum(F.size("prefix"))).first()[0]
 
 
+def test_rare_words_of_lines_do_not_look_frequent(spark):
+    frequent, rare = [f"often{i}" for i in range(6000)], [f"once{i}" for i in range(20000)]
+    texts = [" ".join(frequent[at : at + 60]) for at in range(0, 6000, 60)] * 20 + [" ".join(rare[at : at + 50]) for at in range(0, 20000, 50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    numbers = docs.where("doc_id >= 2000").select(F.explode(line_dedup._numbers(F.col("text"), line_dedup.rarity(docs))).alias("w"))
+    ranks = numbers.groupBy(F.shiftright("w", 56).alias("rank")).count().collect()
+    assert sum(r["count"] for r in ranks) == 20000
+    # Some 2 % of them share a bucket with a frequent word (20 places, rank 17); with 65536 buckets it was 9 %.
+    assert sum(r["count"] for r in ranks if r["rank"] >= 17) < 0.04 * 20000
+
+
+def test_lines_without_doc_id_come_first(spark):
+    """Null comes before every doc_id, and of one document the earlier line stays, also among sets that meet in pairs."""
+    rng = random.Random(5)
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{i}" for i in range(60)]
+        near = [" ".join([*base[:at], f"x{g}y{at}", *base[at + 1 :]]) for at in rng.sample(range(60), 3)]
+        rows += [(g + 1, f"{near[0]}\n{near[1]}"), (None if g % 2 else 100 + g, near[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = sorted(((d is not None, d or 0, k, i, line) for k, (d, t) in enumerate(rows) for i, line in enumerate(t.split("\n"))), key=lambda x: x[:4])
+    seen, want = [], {k: [] for k in range(len(rows))}
+    for _, _, k, i, line in lines:
+        s = frozenset(line.split(" "))
+        if any(10 * len(s & t) >= 9 * len(s | t) for t in seen):
+            want[k].append(str(i))
+        seen.append(s)
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["removed"]) for r in line_dedup.report(docs).collect())
+    assert got == sorted((d is not None, d or 0, ",".join(want[k])) for k, (d, _) in enumerate(rows))
+
+
 def test_facts_of_many_nodes_stay_off_the_driver(spark):
     classes = spark.range(6000).select(F.col("id").alias("node"), F.lit(900).cast("long").alias("n_shingles"), F.array(F.lit(1).cast("long")).alias("bits"), F.array(F.lit(1).cast("long")).alias("wide"))
     pairs = spark.createDataFrame([(1, 2)], "a long, b long")

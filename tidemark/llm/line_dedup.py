@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .store import MOST_KEYS, dropped, free_names, matching, row_key, settled
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 PERCENT = 90
 PLACE = ("doc_id", "row", "line_no")
 MOST_LINES = 4_000_000
@@ -42,18 +42,23 @@ def _words(line: Column) -> Column:
 
 
 def _bucket(hash_: Column) -> Column:
-    return hash_.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+    # hash() gives an int at once; a cast of a long, with its check for overflow, takes longer.
+    return F.hash(hash_).bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def rarity(docs: DataFrame) -> Column:
-    """An array literal with 4 log2(count) of each bucket of words, over all documents: BUCKETS bytes whatever the input."""
+    """An array literal with 4 log2(count) of each bucket of words, over all documents: BUCKETS bytes whatever the input.
+
+    There are more buckets than frequent words, so that few rare words share one with a frequent word and look frequent.
+    """
     lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line"))
     words = lines.select(F.explode(F.split("line", " ", -1)).alias("w"))
     counts = words.groupBy(_bucket(F.xxhash64("w")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     ranks = ["0"] * BUCKETS
-    rank = F.least(F.lit(127), F.floor(4 * F.log2(1 + F.col("n")))).cast("string")
-    for row in counts.select("bucket", rank.alias("rank")).toLocalIterator():
-        ranks[row["bucket"]] = row["rank"]
+    rank = F.least(F.lit(127), F.floor(4 * F.log2(1 + F.col("n")))).cast("tinyint")
+    found = counts.select("bucket", rank.alias("rank")).toArrow()
+    for bucket, r in zip(found["bucket"].to_pylist(), found["rank"].to_pylist(), strict=True):
+        ranks[bucket] = str(r)
     return F.split(F.lit(",".join(ranks)), ",").cast("array<tinyint>")
 
 
@@ -67,8 +72,8 @@ def _numbers(line: Column, ranks: Column) -> Column:
 
 
 def _parities(words: Column) -> Column:
-    """Bit i of 64 says whether an odd number of words end in i."""
-    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
+    """Bit i of 64 says whether for an odd number of words the hash ends in i (a shift of a long takes the last six bits)."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(w))))
 
 
 def nodes(docs: DataFrame, ranks: Column, percent: int) -> DataFrame:
@@ -153,11 +158,13 @@ def _meets(x: DataFrame, y: DataFrame, percent: int) -> DataFrame:
     # Of two sets the shorter one shares a word of a prefix that is shorter still.
     short = lambda s: _place(s) <= F.col(f"{s}.n") - F.ceil(2 * percent * F.col(f"{s}.n") / (100 + percent))
     shorter = F.when(F.col("x.n") < F.col("y.n"), short("x")).when(F.col("x.n") > F.col("y.n"), short("y")).otherwise(short("x") & short("y"))
-    earlier = (F.struct("y.d", "y.l") <= F.struct("x.d", "x.l")) & (F.col("x.c") != F.col("y.c"))
+    # As structs of (d, l) compare, nulls first, without making two structs for each pair.
+    same = F.col("y.d").eqNullSafe(F.col("x.d"))
+    earlier = F.when(same, F.col("y.l") <= F.col("x.l")).otherwise(F.coalesce(F.col("y.d") < F.col("x.d"), F.col("y.d").isNull())) & (F.col("x.c") != F.col("y.c"))
     headed = F.col("x.head").isNotNull() & (F.col("y.at") >= 0)
     one_own = (F.col("x.at") >= 0) | (F.col("y.at") >= 0)
-    passes = F.when(headed, F.col("x.head") == F.col("y.c")).otherwise(one_own & earlier & shorter & _passes("x", "y", percent))
-    # Inside coalesce the conditions stay with the join: where x and y are the same rows, these are shuffled once.
+    passes = F.when(headed, F.col("x.head") == F.col("y.c")).otherwise(_passes("x", "y", percent) & one_own & earlier & shorter)
+    # Lengths are looked at first: most rows of a word differ in them. Inside coalesce the conditions stay with the join: where x and y are the same rows, these are shuffled once.
     met = x.alias("x").join(y.alias("y"), (F.col("x.word") == F.col("y.word")) & F.coalesce(passes, F.lit(False)))
     return met.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"), F.when(headed, F.col("x.c")).alias("by_head"))
 
@@ -165,9 +172,9 @@ def _meets(x: DataFrame, y: DataFrame, percent: int) -> DataFrame:
 def similar_classes(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """c of each class of which an earlier one is similar."""
     entries = _entries(classes, percent).repartition("word")
-    like = Window.partitionBy("word", _band(F.col("n"), percent)).orderBy("d", "l", "c")
+    like = Window.partitionBy("word", _band(F.col("n"), percent))
     own = F.when(F.col("at") >= 0, F.struct("d", "l", "c", "n", "at", "bits"))
-    headed = entries.withColumn("first", F.first(own, ignorenulls=True).over(like)).alias("x")
+    headed = entries.withColumn("first", F.min(own).over(like)).alias("x")
     # What passes the filters with the first set of its word and length will most likely be similar to it, and meets no other set of this word.
     by_head = (F.struct("x.first.d", "x.first.l") < F.struct("x.d", "x.l")) & (F.col("x.at") >= 0) & _passes("x", "x.first", percent)
     headed = headed.withColumn("head", F.when(by_head, F.col("x.first.c"))).drop("first")
