@@ -25,7 +25,7 @@ def tables(spark, tmp_path_factory):
     return str(root)
 
 
-@pytest.mark.parametrize("name", ["option_atoms"])
+@pytest.mark.parametrize("name", ["option_atoms", "option_panel"])
 def test_query_agrees_with_its_sql_in_table_order(spark, tables, name):
     import duckdb
 
