@@ -111,3 +111,29 @@ def test_rows_are_made_once_for_all_fits(spark):
     counted = rows.withColumn("a", F.udf(seen, "double").asNondeterministic()("a"))
     window_classes.walk(counted, FEATURES, ["symbol", "t", "y"], Settings(rounds=1, depth=1, clusters=[Clusters(2, 2)]))
     assert made.value == n
+
+
+def test_grouped_query_learns_with_all_rounds_and_clusters(spark, monkeypatch):
+    """200 rounds of depth 5 at 0.05, six, six and four clusters: nothing is cut to save time."""
+    from tidemark.plans import models
+
+    class Seen(Exception):
+        pass
+
+    def walk(dealt, features, keep, settings, **_):
+        raise Seen(settings)
+
+    monkeypatch.setattr(window_classes, "walk", walk)
+    monkeypatch.setattr(models, "_classed", lambda *_: None)
+    with pytest.raises(Seen) as seen:
+        models.grouped_class_windows(spark, "")
+    settings = seen.value.args[0]
+    assert (settings.rounds, settings.depth, settings.rate, [c.k for c in settings.clusters], [c.components for c in settings.clusters]) == (200, 5, 0.05, [6, 6, 4], [10, 10, 8])
+    assert Settings() == Settings(rounds=200, depth=5, rate=0.05, clusters=[Clusters(8, 10)])
+
+
+def test_windows_fitted_together_answer_as_alone(spark):
+    windows = dealt(spark, panel())
+    names = [r["window"] for r in windows.where("test").select("window").distinct().orderBy("window").collect()]
+    of = lambda rows: sorted((r["window"], r["symbol"], r["t"], r["regime"], r["predicted"], round(r["p_up"], 9)) for r in window_classes.walk(rows, FEATURES, ["symbol", "t"], FEW).collect())
+    assert len(names) > 1 and of(windows) == [r for w in names for r in of(windows.where(f"window = {w}"))]
